@@ -175,4 +175,5 @@ def bronze_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "case when id % 2 = 0 then cast(array() as "
         f"{lines.schema['products'].dataType.simpleString()}) end as products",
     )
-    return bare.unionByName(lines.join(orders, "key")).drop("key")
+    # Both sides are large tables, however few rows a test has: join them by shuffle.
+    return bare.unionByName(lines.join(orders.hint("merge"), "key")).drop("key")

@@ -26,7 +26,7 @@ def exact(value: Column | str) -> Column:
 
 def exact_sum(value: Column | str, digits: int) -> Column:
     """Aggregate: rounded sum."""
-    return F.round(F.sum(exact(value)).cast("double"), digits)
+    return rounded(F.sum(exact(value)), digits)
 
 
 def exact_mean(value: Column | str, digits: int) -> Column:
@@ -34,5 +34,10 @@ def exact_mean(value: Column | str, digits: int) -> Column:
     return ratio(F.sum(exact(value)), F.count(value), digits)
 
 
+def rounded(total: Column, digits: int) -> Column:
+    """Half up on the decimal text of the double."""
+    return F.round(total.cast("double"), digits)
+
+
 def ratio(total: Column, count: Column, digits: int) -> Column:
     return F.round(F.try_divide(total.cast("double"), count), digits)

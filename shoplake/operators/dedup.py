@@ -1,19 +1,30 @@
-"""Deduplication that keeps the same row on every run."""
+"""Deduplication that keeps the same row on every run.
+
+Of the rows with equal keys the smallest is kept, comparing the other columns from left to
+right with nulls first. Both forms cut a key to one row per task before the shuffle, so a
+key that holds a large part of the table does not end up in one task with all its copies.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoplake.operators.ranking import first_per_group
+
 COPIES = "copies"
 
 
+def without_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key."""
+    return first_per_group(df, keys, [F.asc(c) for c in df.columns if c not in keys])
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], tallies: Sequence[Column] = ()) -> DataFrame:
-    """One row per key, plus how many copies it had and any further aggregates over them.
+    """The same rows, plus how many copies there were and any further aggregates over them.
 
-    The row kept is the smallest one, comparing the other columns from left to right with
-    nulls first. As an aggregate it is combined before the shuffle, so a key that holds a
-    large part of the table sends one row per map task, not all of its copies.
+    Costs more than ``without_copies``, as Spark sorts to find a smallest struct; still less
+    than a second pass over the source to count it.
     """
     rest = [name for name in df.columns if name not in keys]
     grouped = df.groupBy(*keys).agg(
@@ -22,7 +33,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], tallies: Sequence[Column] = (
     extra = grouped.columns[len(keys) + 1 :]
     kept = [F.col(name) if name in keys else F.col(f"first.{name}") for name in df.columns]
     return grouped.select(*kept, *extra)
-
-
-def without_copies(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return keep_first(df, keys).select(*df.columns)

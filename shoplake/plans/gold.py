@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import coverage_ratio, demand_tier, exact, exact_mean, exact_sum
-from shoplake.functions.numbers import ratio
+from shoplake.functions.numbers import ratio, rounded
 from shoplake.functions.tiers import CRITICAL, HIGH, MEDIUM, risk_level
 from shoplake.operators.ranking import first_per_group
 from shoplake.plans.silver import with_audit
@@ -44,13 +44,13 @@ def user_purchases(items: DataFrame) -> DataFrame:
         .agg(
             F.count("cart_id").alias("total_carts"),
             F.sum("cart_quantity").alias("total_items_bought"),
-            exact_sum("cart_spend", 2).alias("total_spend"),
-            exact_mean("cart_spend", 2).alias("avg_cart_value"),
+            rounded(F.sum("cart_spend"), 2).alias("total_spend"),
+            ratio(F.sum("cart_spend"), F.count("cart_spend"), 2).alias("avg_cart_value"),
             ratio(F.sum("cart_quantity"), F.count("cart_quantity"), 1).alias("avg_basket_size"),
             ratio(F.sum("discount_sum"), F.sum("discount_lines"), 2).alias(
                 "avg_discount_captured_pct"
             ),
-            exact_sum("cart_savings", 2).alias("total_savings"),
+            rounded(F.sum("cart_savings"), 2).alias("total_savings"),
         )
     )
 

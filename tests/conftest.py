@@ -1,0 +1,140 @@
+import json
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from shoplake.sources.session import create_spark  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = create_spark(
+        "shoplake-tests",
+        **{
+            "spark.master": "local[8]",
+            "spark.driver.memory": "6g",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """Rows of a frame as plain tuples, sorted."""
+
+    def collect(df, *columns):
+        found = (df.select(*columns) if columns else df).collect()
+        return sorted((tuple(r) for r in found), key=lambda r: [(v is not None, v) for v in r])
+
+    return collect
+
+
+PRODUCT = {
+    "id": 1,
+    "title": " Lamp ",
+    "description": "A lamp",
+    "category": " HOME ",
+    "price": 10.5,
+    "discountPercentage": 5.0,
+    "rating": 4.5,
+    "stock": 7,
+    "brand": " Acme ",
+    "availabilityStatus": " In Stock ",
+    "sku": " S-1 ",
+    "weight": 2,
+}
+USER = {
+    "id": 1,
+    "firstName": " Ada ",
+    "lastName": " Lee ",
+    "age": 28,
+    "gender": "FEMALE ",
+    "email": " Ada@Example.com ",
+    "phone": "+1",
+    "username": "ada",
+    "birthDate": "1996-5-30",
+    "bloodGroup": "A+",
+    "height": 170.5,
+    "weight": 60,
+    "eyeColor": "Green",
+    "university": "X",
+    "role": " Admin",
+    "hair": {"color": "Black", "type": "Curly"},
+    "address": {
+        "address": "1 Road",
+        "city": " Town ",
+        "state": "Ohio",
+        "stateCode": "OH",
+        "postalCode": "123",
+        "country": " Chile ",
+        "coordinates": {"lat": -1.5, "lng": 2.5},
+    },
+    "company": {"name": " Co ", "department": " Dept ", "title": "Boss"},
+    "bank": {
+        "cardType": "Visa",
+        "currency": "Euro",
+        "cardExpire": "01/29",
+        "cardNumber": "4111",
+        "iban": "XX1",
+    },
+    "password": "secret",
+    "ssn": "1",
+    "ein": "2",
+    "ip": "10.0.0.1",
+    "macAddress": "00",
+    "userAgent": "b",
+    "crypto": {"coin": "c", "wallet": "w"},
+    "image": "i.png",
+}
+LINE = {
+    "id": 1,
+    "title": " Lamp ",
+    "price": 10.0,
+    "quantity": 2,
+    "total": 20.0,
+    "discountPercentage": 10.0,
+    "discountedTotal": 18.0,
+}
+CART = {
+    "id": 1,
+    "userId": 1,
+    "totalProducts": 1,
+    "totalQuantity": 2,
+    "total": 20.0,
+    "discountedTotal": 18.0,
+    "products": [LINE],
+}
+
+
+@pytest.fixture
+def samples():
+    """Clean raw records to vary."""
+    return {"products": PRODUCT, "users": USER, "carts": CART, "line": LINE}
+
+
+@pytest.fixture
+def raw(spark, tmp_path):
+    """Raw records through a JSON document, as a source would deliver them."""
+    from shoplake.sources.bronze import read_records
+
+    def read(entity, records, layout="documents"):
+        folder = tmp_path / f"{entity}-{len(os.listdir(tmp_path))}"
+        folder.mkdir()
+        if layout == "documents":
+            text = json.dumps({entity: records, "total": len(records), "skip": 0}, indent=1)
+        else:
+            text = "\n".join(json.dumps(record) for record in records)
+        (folder / "part.json").write_text(text)
+        return read_records(spark, str(folder), entity, layout)
+
+    return read

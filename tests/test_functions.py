@@ -1,0 +1,94 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from shoplake import functions as fn
+
+
+
+def test_whole_numbers(spark):
+    df = spark.createDataFrame(
+        [("7",), ("7.9",), ("-3.2",), ("x",), ("",), (None,), ("1e2",), ("3000000000",), (" 5 ",)],
+        "x string",
+    )
+    found = [r[0] for r in df.select(fn.whole("x")).collect()]
+    assert found == [7, 7, -3, None, None, None, 100, None, 5]
+    wide = [r[0] for r in df.select(fn.whole("x", "bigint")).collect()]
+    assert wide[7] == 3_000_000_000
+    exact = spark.createDataFrame([("9007199254740993",)], "x string")
+    assert exact.select(fn.whole("x", "bigint")).first()[0] == 9007199254740993
+
+
+def test_real_numbers(spark):
+    df = spark.createDataFrame([("1.5",), ("abc",), (None,)], "x string")
+    assert [r[0] for r in df.select(fn.real("x")).collect()] == [1.5, None, None]
+
+
+def test_text(spark):
+    df = spark.createDataFrame([("  Ab ",), ("   ",), ("",), (None,), ("\tx ",)], "x string")
+    assert [r[0] for r in df.select(fn.clean_lower("x")).collect()] == ["ab", "", "", None, "\tx"]
+    filled = df.select(fn.or_unknown(fn.clean("x")))
+    assert [r[0] for r in filled.collect()] == ["Ab", "unknown", "unknown", "unknown", "\tx"]
+
+
+def test_age(spark):
+    born = [dt.date(1996, 5, 30), dt.date(2000, 2, 29), dt.date(2000, 3, 1), None]
+    df = spark.createDataFrame([(b,) for b in born], "born date")
+    found = df.select(fn.age_on(dt.date(2019, 2, 28), F.col("born")))
+    assert [r[0] for r in found.collect()] == [22, 19, 18, None]
+    assert df.select(fn.age_on(None, F.col("born"))).first()[0] >= 29
+
+
+def test_age_bands(spark):
+    df = spark.createDataFrame([(a,) for a in (15, 16, 25, 26, 35, 36, 50, 51, None)], "a int")
+    found = [r[0] for r in df.select(fn.age_band(F.col("a"))).collect()]
+    assert found == ["51+", "16-25", "16-25", "26-35", "26-35", "36-50", "36-50", "51+", "51+"]
+
+
+def test_full_name_is_null_if_a_part_is(spark):
+    df = spark.createDataFrame([("A", "B"), ("A", None)], "f string, l string")
+    assert [r[0] for r in df.select(fn.full_name("f", "l")).collect()] == ["A B", None]
+
+
+def test_demand_tiers(spark):
+    df = spark.createDataFrame([(u,) for u in (0, 1, 4, 5, 19, 20, None)], "u bigint")
+    found = [r[0] for r in df.select(fn.demand_tier(F.col("u"))).collect()]
+    assert found == ["no_sales", "low", "low", "medium", "medium", "high", "high"]
+
+
+def test_risk_levels(spark):
+    df = spark.createDataFrame([(n,) for n in (-1, 0, 1, 5, 6, 20, 21)], "n bigint")
+    found = [r[0] for r in df.select(fn.risk_level(F.col("n"))).collect()]
+    assert found == ["critical", "critical", "high", "high", "medium", "medium", "healthy"]
+    found = [r[0] for r in df.select(fn.risk_level(F.col("n"), -1, 0, 1)).collect()]
+    assert found == ["critical", "high", "medium"] + ["healthy"] * 4
+
+
+def test_coverage_needs_demand(spark):
+    df = spark.createDataFrame([(3, 2), (3, 0), (0, 4)], "s int, d bigint")
+    found = [r[0] for r in df.select(fn.coverage_ratio(F.col("s"), F.col("d"))).collect()]
+    assert found == [1.5, None, 0.0]
+
+
+def test_buckets(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 9.9, 10.0, None)], "v double")
+    found = [r[0] for r in df.select(fn.bucket(F.col("v"), [1, 10])).collect()]
+    assert found == ["<1", "1-10", "1-10", "10+", None]
+    for bad in ([], [2, 1], [1, 1]):
+        with pytest.raises(ValueError):
+            fn.bucket(F.col("v"), bad)
+
+
+def test_sums_do_not_depend_on_row_order(spark):
+    values = [(0.1,)] * 10 + [(1e9,), (-1e9,), (None,)]
+    results = set()
+    for rows in (values, values[::-1], values[5:] + values[:5]):
+        df = spark.createDataFrame(rows, "x double").repartition(3)
+        results.add(tuple(df.agg(fn.exact_sum("x", 2), fn.exact_mean("x", 4)).first()))
+    assert results == {(1.0, 0.0833)}
+
+
+def test_mean_of_nothing_is_null(spark):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert tuple(df.agg(fn.exact_sum("x", 2), fn.exact_mean("x", 2)).first()) == (None, None)
