@@ -1,0 +1,227 @@
+import datetime as dt
+
+import pytest
+
+from shoplake.plans import dashboard, gold, reports
+from shoplake.schemas import TABLES
+from pyspark.sql import types as T
+
+RUN_TS = dt.datetime(2025, 1, 1, 6)
+
+ITEMS = """cart_id bigint, user_id bigint, product_id bigint, product_title string,
+    unit_price double, quantity int, line_total double, discount_percentage double,
+    line_discounted_total double, line_total_recomputed double, line_total_discrepancy double"""
+
+
+def item(cart, user, product, quantity, price=10.0, discount=10.0, gap=0.0):
+    total = price * quantity
+    paid = round(total * (100 - discount) / 100, 2)
+    title = f"Product {product}"
+    return (cart, user, product, title, price, quantity, total, discount, paid, total - gap, gap)
+
+
+@pytest.fixture
+def items(spark):
+    rows = [
+        item(1, 1, 1, 2),
+        item(1, 1, 2, 1, price=3.33, discount=0.0),
+        item(2, 1, 1, 3, price=12.0),
+        item(3, 2, 3, 4),
+        item(3, 2, 2, 4, gap=0.5),
+        item(4, None, 1, 9, gap=-2.0),
+        item(5, 3, 99, 7),  # not in the catalogue
+        item(6, 9, 2, 1),  # unknown user
+    ]
+    return spark.createDataFrame(rows, ITEMS).repartition(4)
+
+
+@pytest.fixture
+def products(spark):
+    schema = """id bigint, title string, category string, brand string, sku string,
+        price double, rating double, stock int, availability_status string, weight double"""
+    rows = [
+        (1, "A", "home", "b", "s1", 10.5, 4.0, 15, "in stock", 1.0),
+        (2, "B", "garden", "unknown", "s2", 3.0, 0.0, 8, "in stock", 0.0),
+        (3, "C", "beauty", "b", "s3", 9.0, 5.0, 10, "in stock", 2.0),
+        (4, "D", "home", "b", "s4", 1.0, 2.0, 0, "low stock", 2.0),
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+@pytest.fixture
+def users(spark):
+    schema = """id bigint, first_name string, last_name string, email string, gender string,
+        age int, age_derived int, address_city string, address_country string,
+        company_department string, role string"""
+    rows = [
+        (1, "Ada", "Lee", "a@x", "female", 30, 28, "T", "Chile", "D", "admin"),
+        (2, "Bo", None, "b@x", "male", 40, 40, "T", "Peru", "D", "user"),
+        (3, "Cy", "Fox", "c@x", "other", 20, 60, "T", "Peru", None, "user"),
+        (4, "Di", "Roe", "d@x", "male", 22, 22, "T", None, "D", "user"),
+    ]
+    return spark.createDataFrame(rows, schema)
+
+
+def declared(name):
+    schema = T.StructType.fromDDL(TABLES[name])
+    return sorted((f.name, f.dataType.simpleString()) for f in schema)
+
+
+def actual(df):
+    return sorted((f.name, f.dataType.simpleString()) for f in df.schema)
+
+
+def test_user_figures(items, rows):
+    assert rows(gold.user_cart_aggregate(items)) == [
+        (None, 1, 9, 81.0, 81.0, 9.0),
+        (1, 2, 6, 53.73, 26.87, 3.0),
+        (2, 1, 8, 72.0, 72.0, 8.0),
+        (3, 1, 7, 63.0, 63.0, 7.0),
+        (9, 1, 1, 9.0, 9.0, 1.0),
+    ]
+    combined = gold.user_purchases(items)
+    assert rows(gold.discount_aggregate(items)) == rows(
+        combined, "user_id", "avg_discount_captured_pct", "total_savings"
+    )
+    assert rows(gold.discount_aggregate(items))[1] == (1, 6.67, 5.6)
+
+
+def test_favourite_category(items, products, rows):
+    # Users 2's two categories are tied; user 3 bought something without a category.
+    assert rows(gold.favourite_category(items, products)) == [
+        (None, "home"),
+        (1, "home"),
+        (2, "beauty"),
+        (3, None),
+        (9, "garden"),
+    ]
+
+
+def test_customer_360_keeps_every_user(users, items, products, rows):
+    found = gold.customer_360(users, items, products, RUN_TS)
+    assert actual(found) == declared("customer_360")
+    figures = "user_id age total_carts total_items_bought total_spend avg_cart_value".split()
+    assert rows(found, *figures) == [
+        (1, 28, 2, 6, 53.73, 26.87),
+        (2, 40, 1, 8, 72.0, 72.0),
+        (3, 60, 1, 7, 63.0, 63.0),
+        (4, 22, 0, 0, 0.0, 0.0),
+    ]
+    without = found.filter("user_id = 4").first()
+    assert (without.favourite_category, without.avg_discount_captured_pct) == (None, None)
+    assert (without.total_savings, without.avg_basket_size) == (0.0, 0.0)
+    assert without.gold_processed_at == RUN_TS
+
+
+@pytest.mark.parametrize("unique_lines", [False, True])
+def test_product_performance(products, items, rows, unique_lines):
+    found = gold.product_performance(products, items, RUN_TS, unique_lines)
+    assert actual(found) == declared("product_performance")
+    columns = "product_id total_units_sold times_added_to_cart unique_buyers".split()
+    assert rows(found, *columns, "avg_sold_price", "price_drift", "demand_tier") == [
+        (1, 14, 3, 1, 10.6667, 0.1667, "medium"),
+        (2, 6, 3, 3, 7.7767, 4.7767, "medium"),
+        (3, 4, 1, 1, 10.0, 1.0, "low"),
+        (4, 0, 0, 0, None, None, "no_sales"),
+    ]
+    literal = gold.product_performance(products, items, RUN_TS, unique_lines, True)
+    assert rows(literal, "product_id", "demand_tier")[3] == (4, "high")
+
+
+def test_carts_are_counted_once_when_lines_repeat(spark, rows):
+    df = spark.createDataFrame([item(1, 1, 1, 2), item(1, 1, 1, 3), item(2, 1, 1, 1)], ITEMS)
+    assert gold.product_demand(df).first().times_added_to_cart == 2
+    assert reports.top_products_sold(df).first().carts_appeared_in == 2
+    assert reports.cart_overview(df).first().avg_products_per_cart == 1.0
+
+
+def test_stock_risk(products, items, rows):
+    found = gold.stock_risk(products, items, RUN_TS)
+    assert actual(found) == declared("stock_risk")
+    columns = "product_id pending_demand net_stock stock_coverage_ratio risk_level".split()
+    assert rows(found, *columns) == [
+        (1, 14, 1, 15 / 14, "high"),
+        (2, 6, 2, 8 / 6, "high"),
+        (3, 4, 6, 2.5, "medium"),
+        (4, 0, 0, None, "critical"),
+    ]
+    assert rows(gold.tier_counts(found, "risk_level")) == [
+        ("critical", 1),
+        ("high", 2),
+        ("medium", 1),
+    ]
+    shifted = gold.stock_risk(products, items, critical=1, high=2, medium=3)
+    assert [r[1] for r in rows(shifted, "product_id", "risk_level")] == [
+        "critical",
+        "high",
+        "healthy",
+        "critical",
+    ]
+
+
+def test_product_reports(products, items, rows):
+    assert rows(reports.products_audit(products)) == [(4, 1, 1, 1, 1)]
+    assert [tuple(r) for r in reports.category_distribution(products).collect()] == [
+        ("home", 2, 5.75, 3.0, 15),
+        ("beauty", 1, 9.0, 5.0, 10),
+        ("garden", 1, 3.0, 0.0, 8),
+    ]
+    assert [r.id for r in reports.most_expensive(products, 2).collect()] == [1, 3]
+    sold = [tuple(r) for r in reports.top_products_sold(items, 2).collect()]
+    assert sold == [(1, "Product 1", 14, 3, 10.67), (99, "Product 99", 7, 1, 10.0)]
+    # Strictly below five, and only products that are in a cart.
+    assert [tuple(r) for r in reports.nearly_out_of_stock(products, items).collect()] == [
+        (1, "A", "home", 15, 14, 1),
+        (2, "B", "garden", 8, 6, 2),
+    ]
+
+
+def test_user_reports(users, items, rows):
+    assert [tuple(r) for r in reports.age_discrepancies(users).collect()] == [
+        (3, "Cy", 20, 60, -40),
+        (1, "Ada", 30, 28, 2),
+    ]
+    assert reports.gender_distribution(users).first() == ("male", 2)
+    assert reports.role_distribution(users).first() == ("user", 3)
+    assert [tuple(r) for r in reports.top_countries(users, 2).collect()] == [
+        ("Peru", 2),
+        (None, 1),
+    ]
+    spenders = [tuple(r) for r in reports.top_spenders(users, items, 2).collect()]
+    assert spenders == [(2, None, "Peru", 1, 8, 72.0), (3, "Cy Fox", "Peru", 1, 7, 63.0)]
+    assert [tuple(r) for r in reports.basket_by_age_band(users, items).collect()] == [
+        ("26-35", 2, 3.0, 26.87),
+        ("36-50", 1, 8.0, 72.0),
+        ("51+", 1, 7.0, 63.0),
+    ]
+
+
+def test_cart_reports(items, products):
+    assert [tuple(r) for r in reports.float_audit(items).collect()] == [
+        (4, 1, "Product 1", 90.0, 92.0, -2.0),
+        (3, 2, "Product 2", 40.0, 39.5, 0.5),
+    ]
+    assert tuple(reports.cart_overview(items).first()) == (6, 1.3, 5.2, 51.56, 46.46)
+    assert [tuple(r) for r in reports.revenue_by_category(items, products).collect()] == [
+        ("home", 3, 14, 131.4, 4.0),
+        ("garden", 3, 6, 48.33, 0.0),
+        ("beauty", 1, 4, 36.0, 5.0),
+    ]
+
+
+def test_dashboard(users, products, items, rows):
+    performance = gold.product_performance(products, items)
+    assert [tuple(r) for r in dashboard.revenue_panel(performance).collect()] == [
+        ("home", 131.4),
+        ("garden", 48.33),
+        ("beauty", 36.0),
+    ]
+    customers = gold.customer_360(users, items, products)
+    assert rows(dashboard.spend_tier_panel(customers, [1, 60])) == [
+        ("1-60", 1),
+        ("60+", 2),
+        ("<1", 1),
+    ]
+    assert [r.user_id for r in dashboard.top_customers_panel(customers, 2).collect()] == [2, 3]
+    alert = dashboard.stock_alert_panel(gold.stock_risk(products, items))
+    assert rows(alert, "product_id") == [(1,), (2,), (4,)]
