@@ -136,8 +136,23 @@ def _struct(expressions: dict[str, str], prefix: str = "") -> str:
     return f"named_struct({', '.join(fields)})"
 
 
+# Schemas of the test tables used, so that reading them takes no job to look them up.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": """c_custkey bigint, c_name string, c_nationkey int, c_acctbal double,
+        c_mktsegment string""",
+    "part": """p_partkey bigint, p_name string, p_brand string, p_type string, p_size int,
+        p_retailprice double""",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string,
+        o_totalprice double, o_orderdate timestamp, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+        l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+        l_returnflag string, l_linestatus string, l_shipdate timestamp""",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _copied(df: DataFrame, copies: str) -> DataFrame:
@@ -161,19 +176,17 @@ def bronze_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Records of the same order are not gathered into one: that would put all lines of an
     order into one row, however many there are. Some lines come twice in their record.
     """
-    orders = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey as key", *[f"{sql} as {name}" for name, sql in CART.items()]
-    )
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    header = [f"{sql} as {name}" for name, sql in CART.items()]
     bumped = LINE | {"quantity": f"({LINE['quantity']}) + 1"}
-    lines = table(spark, sf_dir, "lineitem").selectExpr(
-        "l_orderkey as key",
+    # Both sides are large tables, however few rows a test has: join them by shuffle.
+    sold = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey).selectExpr(
+        *header,
         f"case when l_linenumber = 7 then array({_struct(LINE)}, {_struct(bumped)}) "
         f"else array({_struct(LINE)}) end as products",
     )
+    array_type = sold.schema["products"].dataType.simpleString()
     bare = orders.selectExpr(
-        "*",
-        "case when id % 2 = 0 then cast(array() as "
-        f"{lines.schema['products'].dataType.simpleString()}) end as products",
+        *header, f"case when o_orderkey % 2 = 0 then cast(array() as {array_type}) end as products"
     )
-    # Both sides are large tables, however few rows a test has: join them by shuffle.
-    return bare.unionByName(lines.join(orders.hint("merge"), "key")).drop("key")
+    return bare.unionByName(sold)

@@ -34,6 +34,27 @@ def _observe(df: DataFrame, metrics: list[Column]) -> tuple[DataFrame, Observati
     return df.observe(observation, *metrics), observation
 
 
+def write_silver_table(
+    table: silver.SilverTable,
+    raw: DataFrame,
+    root: str,
+    as_of: dt.date | None = None,
+    run_ts: dt.datetime | None = None,
+    partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
+) -> dict[str, int]:
+    """Write one silver table from raw records; returns the observed counts."""
+    by = partitions[table.name]
+    cleaned = table.clean(raw, as_of) if table is silver.USERS else table.clean(raw)
+    if USER_BUCKET in by:
+        cleaned = with_user_bucket(cleaned)
+    assessed, counts = _observe(
+        gather(table.assess(cleaned), by), stage_metrics(table.rules(), table.watched)
+    )
+    accepted = table.accept(assessed, cleaned, run_ts)
+    save_table(accepted, table_path(root, table.name), by, gathered=True)
+    return counts.get
+
+
 def write_silver(
     raw: Mapping[str, DataFrame],
     root: str,
@@ -41,20 +62,37 @@ def write_silver(
     run_ts: dt.datetime | None = None,
     partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
 ) -> dict[str, dict[str, int]]:
-    """Write the four silver tables from raw records per entity; returns the observed counts."""
-    observed = {}
-    for table in (silver.PRODUCTS, silver.USERS, silver.CART_SUMMARY, silver.CART_ITEMS):
-        records = raw[table.entity]
-        cleaned = table.clean(records, as_of) if table is silver.USERS else table.clean(records)
-        by = partitions[table.name]
-        if USER_BUCKET in by:
-            cleaned = with_user_bucket(cleaned)
-        assessed = gather(table.assess(cleaned), by)
-        assessed, counts = _observe(assessed, stage_metrics(table.rules(), table.watched))
-        accepted = table.accept(assessed, cleaned, run_ts)
-        save_table(accepted, table_path(root, table.name), by, gathered=True)
-        observed[table.name] = counts.get
-    return observed
+    """Write the four silver tables from the raw records of the three entities."""
+    return {
+        table.name: write_silver_table(table, raw[table.entity], root, as_of, run_ts, partitions)
+        for table in (silver.PRODUCTS, silver.USERS, silver.CART_SUMMARY, silver.CART_ITEMS)
+    }
+
+
+def write_gold_table(
+    name: str,
+    tables: Mapping[str, DataFrame],
+    root: str,
+    run_ts: dt.datetime | None = None,
+    partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
+) -> dict[str, int]:
+    """Write one gold table from silver tables; returns the observed counts."""
+    products, items = tables["products"], tables["cart_items"]
+    if name == "customer_360":
+        df = gold.customer_360(tables["users"], items, products, run_ts)
+        metrics = [F.count(F.lit(1)).alias("steps/row_count")]
+    elif name == "product_performance":
+        df = gold.product_performance(products, items, run_ts, unique_lines=True)
+        metrics = share_metrics("demand_tier", DEMAND_TIERS)
+    elif name == "stock_risk":
+        df = gold.stock_risk(products, items, run_ts)
+        metrics = share_metrics("risk_level", RISK_LEVELS)
+    else:
+        raise ValueError(f"no gold table {name}")
+    by = partitions[name]
+    observed, counts = _observe(gather(df, by), metrics)
+    save_table(observed, table_path(root, name), by, gathered=True)
+    return counts.get
 
 
 def write_gold(
@@ -63,28 +101,8 @@ def write_gold(
     run_ts: dt.datetime | None = None,
     partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
 ) -> dict[str, dict[str, int]]:
-    """Write the three gold tables from silver tables; returns the observed counts."""
-    products, users, items = (tables[n] for n in ("products", "users", "cart_items"))
-    plans = {
-        "customer_360": (
-            gold.customer_360(users, items, products, run_ts),
-            [F.count(F.lit(1)).alias("steps/row_count")],
-        ),
-        "product_performance": (
-            gold.product_performance(products, items, run_ts, unique_lines=True),
-            share_metrics("demand_tier", DEMAND_TIERS),
-        ),
-        "stock_risk": (
-            gold.stock_risk(products, items, run_ts),
-            share_metrics("risk_level", RISK_LEVELS),
-        ),
-    }
-    observed = {}
-    for name, (df, metrics) in plans.items():
-        watched, counts = _observe(gather(df, partitions[name]), metrics)
-        save_table(watched, table_path(root, name), partitions[name], gathered=True)
-        observed[name] = counts.get
-    return observed
+    """Write the three gold tables from silver tables."""
+    return {name: write_gold_table(name, tables, root, run_ts, partitions) for name in GOLD}
 
 
 def silver_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[str, int]]:

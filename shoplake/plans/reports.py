@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shoplake.functions import age_band, exact, exact_mean, exact_sum, full_name
 from shoplake.functions.numbers import ratio
+from shoplake.operators.quality import health_check
 from shoplake.operators.ranking import top
 from shoplake.plans.gold import cart_totals, count_carts, pending_demand, user_purchases
 
@@ -184,3 +185,23 @@ def nearly_out_of_stock(products: DataFrame, items: DataFrame, below: int = 5) -
         .filter(F.col("net_stock") < below)
         .orderBy("net_stock", "id")
     )
+
+
+# Reports by name, each over the stored silver tables.
+REPORTS = {
+    "health_check": lambda t: health_check(t),
+    "products_audit": lambda t: products_audit(t["products"]),
+    "category_distribution": lambda t: category_distribution(t["products"]),
+    "most_expensive": lambda t: most_expensive(t["products"]),
+    "age_discrepancies": lambda t: age_discrepancies(t["users"]),
+    "gender_distribution": lambda t: gender_distribution(t["users"]),
+    "top_countries": lambda t: top_countries(t["users"]),
+    "role_distribution": lambda t: role_distribution(t["users"]),
+    "float_audit": lambda t: float_audit(t["cart_items"]),
+    "top_products_sold": lambda t: top_products_sold(t["cart_items"], unique_lines=True),
+    "cart_overview": lambda t: cart_overview(t["cart_items"], unique_lines=True),
+    "revenue_by_category": lambda t: revenue_by_category(t["cart_items"], t["products"]),
+    "top_spenders": lambda t: top_spenders(t["users"], t["cart_items"]),
+    "basket_by_age_band": lambda t: basket_by_age_band(t["users"], t["cart_items"]),
+    "nearly_out_of_stock": lambda t: nearly_out_of_stock(t["products"], t["cart_items"]),
+}

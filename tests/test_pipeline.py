@@ -4,7 +4,9 @@ from unittest import mock
 
 import pytest
 
+from shoplake.__main__ import main
 from shoplake.plans import gold, pipeline, silver
+from shoplake.plans.reports import REPORTS
 from shoplake.sources.bronze import land, read_records
 from shoplake.sources.tables import GOLD, SILVER, read_layer, read_reports
 
@@ -100,3 +102,26 @@ def test_a_second_run_replaces_the_first(spark, landed, tmp_path):
     for _ in range(2):
         pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS)
     assert read_layer(spark, out, ["customer_360"])["customer_360"].count() == 6
+
+
+def test_command_line(spark, samples, tmp_path, capsys):
+    for entity in ("products", "users", "carts"):
+        folder = tmp_path / "in" / entity
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text(json.dumps({entity: [samples[entity]]}))
+    source, root, out = (str(tmp_path / name) for name in ("in", "bronze", "out"))
+    main(["land", "--source", source, "--bronze", root])
+    main(["run", "--bronze", root, "--out", out, "--as-of", "2025-01-01"])
+    capsys.readouterr()
+    main(["report", "top_spenders", "--out", out])
+    assert "Ada Lee" in capsys.readouterr().out
+    with pytest.raises(SystemExit):
+        main(["report", "nothing", "--out", out])
+    tables = read_layer(spark, out, SILVER)
+    for name, report in REPORTS.items():
+        assert report(tables).collect() is not None, name
+
+
+def test_unknown_gold_table(spark):
+    with pytest.raises(ValueError):
+        pipeline.write_gold_table("nothing", {"products": None, "cart_items": None}, "/nowhere")

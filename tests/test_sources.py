@@ -96,15 +96,17 @@ def test_landing_keeps_the_text_and_counts(spark, tmp_path, samples, layout):
 
 def test_malformed_lines_are_counted(spark, tmp_path, samples):
     good = json.dumps(samples["products"])
-    put(tmp_path / "in", "a.json", f'{good}\n{{"id": 5, \n{good}')
-    assert bronze.count_records(spark, str(tmp_path / "in"), "products", "lines") == (2, 1)
+    put(tmp_path / "in", "a.json", f'{good}\n{{"id": 5, \n\n{good}')
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    assert bronze.copy_raw(spark, source, target, "products", "lines") == (2, 1)
     put(tmp_path / "doc", "a.json", '{"products": [{"id": 1}]}')
     put(tmp_path / "doc", "b.json", '{"products": [')
-    assert bronze.count_records(spark, str(tmp_path / "doc"), "products") == (1, 1)
+    put(tmp_path / "doc", "c.json", '{"products": null}')
+    assert bronze.copy_raw(spark, str(tmp_path / "doc"), target, "products") == (1, 1)
+    with pytest.raises(ValueError):
+        bronze.copy_raw(spark, source, target, "products", "csv")
     with pytest.raises(Exception, match="(?i)malformed|corrupt"):
-        bronze.read_records(
-            spark, str(tmp_path / "in"), "products", "lines", mode="FAILFAST"
-        ).collect()
+        bronze.read_records(spark, source, "products", "lines", mode="FAILFAST").collect()
 
 
 def test_a_failed_landing_is_recorded_and_raised(spark, tmp_path, samples):
