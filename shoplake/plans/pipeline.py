@@ -140,7 +140,7 @@ def run_all(
 
     With ``jdbc`` options the gold tables are also loaded into a database, from their files.
     """
-    run_ts = run_ts or dt.datetime.now(dt.UTC).replace(tzinfo=None)
+    run_ts = run_ts or dt.datetime.now(dt.UTC)
     raw = {
         entity: read_records(spark, f"{bronze_root.rstrip('/')}/{entity}", entity, layout)
         for entity in ("products", "users", "carts")

@@ -125,3 +125,28 @@ def test_command_line(spark, samples, tmp_path, capsys):
 def test_unknown_gold_table(spark):
     with pytest.raises(ValueError):
         pipeline.write_gold_table("nothing", {"products": None, "cart_items": None}, "/nowhere")
+
+
+def test_empty_sources(spark, raw, tmp_path):
+    records = {entity: raw(entity, []) for entity in ("products", "users", "carts")}
+    out = str(tmp_path / "out")
+    observed = pipeline.write_silver(records, out, AS_OF, RUN_TS)
+    reports = pipeline.silver_reports(observed)
+    assert {v for counts in reports.values() for v in counts.values()} == {0}
+    tables = read_layer(spark, out, SILVER)
+    for name, counts in pipeline.write_gold(tables, out, RUN_TS).items():
+        assert set(counts.values()) == {0}, name
+    assert read_layer(spark, out, GOLD)["customer_360"].count() == 0
+
+
+def test_sources_without_a_valid_row(spark, raw, samples, tmp_path):
+    records = {
+        "products": raw("products", [samples["products"] | {"price": 0}]),
+        "users": raw("users", [samples["users"] | {"email": None}]),
+        "carts": raw("carts", [samples["carts"] | {"total": -1, "products": None}]),
+    }
+    out = str(tmp_path / "out")
+    counts = pipeline.silver_reports(pipeline.write_silver(records, out, AS_OF, RUN_TS))
+    assert counts["products_silver"]["dropped/failed_quality_filters"] == 1
+    assert counts["carts_silver"]["rejected/cart_summary.total_not_negative"] == 1
+    assert read_layer(spark, out, ["users"])["users"].count() == 0

@@ -54,6 +54,7 @@ def large_joins(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "10k",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.shuffle.partitions": "16",
@@ -133,6 +134,19 @@ def test_a_hot_product_is_split_in_the_join(tables, large_joins, rows):
     assert "SortMergeJoin(skew=true)" in plan(df)
 
 
+def test_a_hot_key_is_split_before_grouping_by_something_else(tables, large_joins, spark):
+    items, products = tables["cart_items"].repartition(12), tables["products"]
+    revenue = reports.revenue_by_category(items, products)
+    units = sum(r.units_sold for r in revenue.collect())
+    assert units == items.filter("product_id < 190").agg(F.sum("quantity")).first()[0]
+    assert "SortMergeJoin(skew=true)" in plan(revenue)
+
+    users = spark.range(500).select("id", (F.col("id") % 60 + 16).cast("int").alias("age_derived"))
+    baskets = reports.basket_by_age_band(users, items)
+    assert sum(r.carts for r in baskets.collect()) == 60_000
+    assert "SortMergeJoin(skew=true)" in plan(baskets)
+
+
 def test_hot_keys_reach_catalogue_joins_as_one_row(tables, large_joins):
     items, products = tables["cart_items"], tables["products"]
     text = plan(reports.nearly_out_of_stock(products, items))
