@@ -14,6 +14,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from harness.queries import Shop, queries  # noqa: E402
 from shoplake.sources.session import create_spark  # noqa: E402
+from shoplake.sources.tables import GOLD, SILVER  # noqa: E402
 
 HEADLINE = (
     "silver_products silver_users silver_cart_summary silver_cart_items stage_counts "
@@ -48,7 +49,7 @@ def main() -> None:
     run("customer_360")
     times = {name: run(name) for name in HEADLINE}
     started = time.perf_counter()
-    Shop(spark, sf_dir).stored()
+    Shop(spark, sf_dir).stored(*SILVER, *GOLD)
     times["pipeline"] = round(time.perf_counter() - started, 3)
     total = round(sum(times.values()), 3)
     print(

@@ -12,19 +12,19 @@ from shoplake.operators.rules import rejects_by_rule
 from shoplake.plans import dashboard, gold, pipeline, reports, silver
 from shoplake.sources import bronze
 from shoplake.sources.session import scratch_dir
-from shoplake.sources.tables import (
-    GOLD,
-    SILVER,
-    read_layer,
-    read_reports,
-    register_views,
-    save_report,
-)
+from shoplake.sources.tables import read_layer, read_reports, register_views, save_report
 
 AS_OF = dt.date(2025, 1, 1)
 RUN_TS = dt.datetime(2025, 1, 1, 6)
 SPEND_BOUNDS = (1.0, 500_000.0, 1_000_000.0, 2_000_000.0)
 
+# Silver tables each gold table is made from.
+NEEDS = {
+    "customer_360": ("users", "cart_items", "products"),
+    "product_performance": ("products", "cart_items"),
+    "stock_risk": ("products", "cart_items"),
+}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -78,11 +78,18 @@ class Shop:
     def stock_risk(self) -> DataFrame:
         return gold.stock_risk(self.products, self.items, RUN_TS)
 
-    def stored(self) -> str:
-        """Write the silver and gold tables to a new folder; later reads go to the files."""
+    def stored(self, *names: str) -> str:
+        """Write tables, and those they need, to a new folder; reads then go to the files."""
         root = scratch_dir(self.spark)
-        pipeline.write_silver(self.raw, root, AS_OF, RUN_TS)
-        pipeline.write_gold(read_layer(self.spark, root, SILVER), root, RUN_TS)
+        needed = {name for wanted in names for name in (NEEDS.get(wanted, ()) or (wanted,))}
+        for table in (silver.PRODUCTS, silver.USERS, silver.CART_SUMMARY, silver.CART_ITEMS):
+            if table.name in needed:
+                raw = getattr(self, f"raw_{table.entity}")
+                pipeline.write_silver_table(table, raw, root, AS_OF, RUN_TS)
+        tables = read_layer(self.spark, root, needed)
+        for name in names:
+            if name in NEEDS:
+                pipeline.write_gold_table(name, tables, root, RUN_TS)
         return root
 
 
@@ -168,12 +175,13 @@ def _quality_reports(s: Shop) -> DataFrame:
 
 
 def _stored(s: Shop, name: str) -> DataFrame:
-    return read_layer(s.spark, s.stored(), SILVER + GOLD)[name]
+    return read_layer(s.spark, s.stored(name), [name])[name]
 
 
 def _stored_sql(s: Shop) -> DataFrame:
     """Plain SQL over views of the stored silver tables."""
-    register_views(s.spark, s.stored())
+    names = ("cart_items", "products")
+    register_views(s.spark, s.stored(*names), names)
     return s.spark.sql(
         """select p.category, count(distinct ci.cart_id) as carts, sum(ci.quantity) as units_sold
         from cart_items ci join products p on ci.product_id = p.id group by p.category"""
