@@ -494,13 +494,10 @@ _QUERIES = {
         {_units("quantity")} as units_sold, {_sum("line_discounted_total", 2)} as revenue,
         {_mean("rating", 2)} as avg_product_rating
         from cart_items join products on product_id = id group by category""",
-    "top10_spenders": f"""select u.id as user_id, u.first_name || ' ' || u.last_name as full_name,
-        u.address_country, count(distinct ci.cart_id) as total_carts,
-        {_units("ci.quantity")} as total_items_bought,
-        {_sum("ci.line_discounted_total", 2)} as total_spend
-        from users u join cart_items ci on u.id = ci.user_id
-        group by u.id, u.first_name, u.last_name, u.address_country
-        order by total_spend desc, u.id limit 10""",
+    "top10_spenders": """select id as user_id, first_name || ' ' || last_name as full_name,
+        address_country, total_carts, total_items_bought, total_spend
+        from users join purchases on id = purchases.user_id
+        order by total_spend desc, id limit 10""",
     "basket_by_age_band": f"""select case when age_derived between 16 and 25 then '16-25'
         when age_derived between 26 and 35 then '26-35'
         when age_derived between 36 and 50 then '36-50' else '51+' end as age_group,
@@ -509,12 +506,10 @@ _QUERIES = {
             as avg_basket_size,
         {_mean("cart_spend", 2)} as avg_cart_value
         from users join user_carts on id = user_id group by 1""",
-    "stock_risk_report": f"""select p.id, p.title, p.category, p.stock,
-        {_units("ci.quantity")} as pending_demand,
-        p.stock - {_units("ci.quantity")} as net_stock
-        from products p join cart_items ci on p.id = ci.product_id
-        group by p.id, p.title, p.category, p.stock
-        having p.stock - sum(ci.quantity) < 5""",
+    "stock_risk_report": """select id, title, category, stock, pending.pending_demand,
+        stock - pending.pending_demand as net_stock
+        from products join pending on id = product_id
+        where stock - pending.pending_demand < 5""",
     "panel_revenue": f"""select category, {_sum("total_revenue", 2)} as revenue
         from product_performance group by category""",
     "panel_spend_tiers": """select case when total_spend < 1 then '<1'

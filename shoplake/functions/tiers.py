@@ -5,8 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Highest net stock of each risk level.
+# Highest net stock of each risk level, and units from which a tier starts.
 CRITICAL, HIGH, MEDIUM = 0, 5, 20
+MEDIUM_UNITS, HIGH_UNITS = 5, 20
 
 RISK_LEVELS = ("critical", "high", "medium", "healthy")
 DEMAND_TIERS = ("no_sales", "low", "medium", "high")
@@ -16,8 +17,8 @@ def demand_tier(units: Column) -> Column:
     """Tier by units sold. A null count falls through to ``high``; fill it first."""
     return (
         F.when(units == 0, "no_sales")
-        .when(units < 5, "low")
-        .when(units < 20, "medium")
+        .when(units < MEDIUM_UNITS, "low")
+        .when(units < HIGH_UNITS, "medium")
         .otherwise("high")
     )
 
