@@ -12,9 +12,10 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from harness.queries import Shop, queries  # noqa: E402
-from shoplake.sources.session import create_spark  # noqa: E402
-from shoplake.sources.tables import GOLD, SILVER  # noqa: E402
+from harness.queries import AS_OF, RUN_TS, Shop, queries  # noqa: E402
+from shoplake.plans import pipeline  # noqa: E402
+from shoplake.sources.session import create_spark, scratch_dir  # noqa: E402
+from shoplake.sources.tables import SILVER, read_layer  # noqa: E402
 
 HEADLINE = (
     "silver_products silver_users silver_cart_summary silver_cart_items stage_counts "
@@ -49,7 +50,9 @@ def main() -> None:
     run("customer_360")
     times = {name: run(name) for name in HEADLINE}
     started = time.perf_counter()
-    Shop(spark, sf_dir).stored(*SILVER, *GOLD)
+    root = scratch_dir(spark)
+    pipeline.write_silver(Shop(spark, sf_dir).raw, root, AS_OF, RUN_TS)
+    pipeline.write_gold(read_layer(spark, root, SILVER), root, RUN_TS)
     times["pipeline"] = round(time.perf_counter() - started, 3)
     total = round(sum(times.values()), 3)
     print(

@@ -169,8 +169,8 @@ def _quality_reports(s: Shop) -> DataFrame:
     """Counts observed while the silver tables were written, saved and read back."""
     root = scratch_dir(s.spark)
     observed = pipeline.write_silver(s.raw, root, AS_OF, RUN_TS)
-    for name, counts in pipeline.silver_reports(observed).items():
-        save_report(quality.report_frame(s.raw_users, name, RUN_TS, counts), root)
+    reported = pipeline.silver_reports(observed)
+    save_report(quality.report_frame(s.spark, RUN_TS, reported), root)
     return read_reports(s.spark, root).select("pipeline", "section", "name", "value")
 
 

@@ -1,8 +1,9 @@
 """Data-quality metrics: counts per stage, drops by cause, nulls per column."""
 
+import datetime as dt
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,18 +67,18 @@ def as_rows(metrics: DataFrame) -> DataFrame:
 
 
 def report_frame(
-    like: DataFrame, pipeline: str, run_ts, observed: Mapping[str, int]
+    spark: SparkSession, run_ts: dt.datetime, reports: Mapping[str, Mapping[str, int]]
 ) -> DataFrame:
-    """Observed metrics of one run as a small report frame."""
+    """Observed metrics of one run, by pipeline, as a small frame."""
     rows = [
         (pipeline, run_ts, *name.split("/", 1), int(value))
+        for pipeline, observed in reports.items()
         for name, value in observed.items()
         if value or not name.startswith("nulls/")
     ]
-    schema = T.StructType.fromDDL(
-        "pipeline string, run_ts timestamp, section string, name string, value bigint"
+    return spark.createDataFrame(
+        rows, "pipeline string, run_ts timestamp, section string, name string, value bigint"
     )
-    return like.sparkSession.createDataFrame(rows, schema)
 
 
 def null_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -5,7 +5,8 @@ Later steps read what was written, so a lost executor costs a stage, not the run
 """
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,13 @@ def _observe(df: DataFrame, metrics: list[Column]) -> tuple[DataFrame, Observati
     return df.observe(observation, *metrics), observation
 
 
+def _side_by_side(write: Callable, of: Sequence) -> list[dict[str, int]]:
+    """Run independent writes at the same time, so that the last tasks of one leave no cores
+    idle. The first failure is raised once all have ended."""
+    with ThreadPoolExecutor(len(of)) as pool:
+        return list(pool.map(write, of))
+
+
 def write_silver_table(
     table: silver.SilverTable,
     raw: DataFrame,
@@ -63,10 +71,12 @@ def write_silver(
     partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
 ) -> dict[str, dict[str, int]]:
     """Write the four silver tables from the raw records of the three entities."""
-    return {
-        table.name: write_silver_table(table, raw[table.entity], root, as_of, run_ts, partitions)
-        for table in (silver.PRODUCTS, silver.USERS, silver.CART_SUMMARY, silver.CART_ITEMS)
-    }
+
+    def write(table: silver.SilverTable) -> dict[str, int]:
+        return write_silver_table(table, raw[table.entity], root, as_of, run_ts, partitions)
+
+    tables = (silver.PRODUCTS, silver.USERS, silver.CART_SUMMARY, silver.CART_ITEMS)
+    return dict(zip([table.name for table in tables], _side_by_side(write, tables)))
 
 
 def write_gold_table(
@@ -102,7 +112,11 @@ def write_gold(
     partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
 ) -> dict[str, dict[str, int]]:
     """Write the three gold tables from silver tables."""
-    return {name: write_gold_table(name, tables, root, run_ts, partitions) for name in GOLD}
+
+    def write(name: str) -> dict[str, int]:
+        return write_gold_table(name, tables, root, run_ts, partitions)
+
+    return dict(zip(GOLD, _side_by_side(write, GOLD)))
 
 
 def silver_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[str, int]]:
@@ -136,7 +150,7 @@ def run_all(
     run_ts: dt.datetime | None = None,
     jdbc: Mapping[str, str] | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Run everything in order and save a quality report per job; returns the reports' counts.
+    """Run everything in order and save the quality reports; returns their counts.
 
     With ``jdbc`` options the gold tables are also loaded into a database, from their files.
     """
@@ -149,8 +163,7 @@ def run_all(
     tables = read_layer(spark, out_root, SILVER)
     for name, counts in write_gold(tables, out_root, run_ts).items():
         reports[f"gold_{name}"] = counts
-    for pipeline, counts in reports.items():
-        save_report(report_frame(tables["users"], pipeline, run_ts, counts), out_root)
+    save_report(report_frame(spark, run_ts, reports), out_root)
     if jdbc is not None:
         for name, df in read_layer(spark, out_root, GOLD).items():
             write_jdbc(df, f"gold_{name}", config=jdbc)

@@ -44,7 +44,7 @@ def test_counts_by_query_and_by_observation(raw, samples, tmp_path, spark):
 
     seen = Observation()
     assessed.observe(seen, *metrics).write.format("noop").mode("overwrite").save()
-    report = quality.report_frame(assessed, "products_silver", RUN_TS, seen.get)
+    report = quality.report_frame(spark, RUN_TS, {"products_silver": seen.get})
     save_report(report, str(tmp_path))
     save_report(report.limit(1), str(tmp_path))
     stored = read_reports(spark, str(tmp_path))
