@@ -4,18 +4,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplake.llm import exact
+from shoplake.llm import chat, exact, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]
+    probe = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    trees = chat.conversation_trees(given.where("conv_id is not null").unionByName(probe))
+    return chat.digested(chat.format_trees(trees))
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
+    return url_rules.judge(table(spark, sf_dir, "pages"), rules)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: list[Query] = [op9_exact_dedup]
-SQL = {"op9_exact_dedup": exact.SQL}
+QUERIES: list[Query] = [op2_chat_formatting, op8_url_filters, op9_exact_dedup]
+SQL = {
+    "op2_chat_formatting": chat.SQL,
+    "op8_url_filters": url_rules.SQL,
+    "op9_exact_dedup": exact.SQL,
+}
 
 
 def queries() -> dict[str, Query]:
