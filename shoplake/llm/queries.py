@@ -2,9 +2,11 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, url_rules
+from shoplake.llm import chat, exact, packing, topk, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +20,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digested(chat.format_trees(trees))
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
@@ -27,9 +33,21 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES: list[Query] = [op2_chat_formatting, op8_url_filters, op9_exact_dedup]
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
+QUERIES: list[Query] = [
+    op2_chat_formatting,
+    op4_exact_topk,
+    op8_url_filters,
+    op9_exact_dedup,
+    op10_packing,
+]
 SQL = {
     "op2_chat_formatting": chat.SQL,
+    "op4_exact_topk": topk.SQL,
     "op8_url_filters": url_rules.SQL,
     "op9_exact_dedup": exact.SQL,
 }

@@ -1,0 +1,96 @@
+import random
+
+from pyspark.sql import functions as F
+
+from shoplake.llm.chat import (
+    conversation_trees,
+    digested,
+    escaped,
+    format_trees,
+    learned,
+    read_back,
+    unescaped,
+)
+
+MESSAGE = """tree bigint, node bigint, parent bigint, role string, text string, score double,
+    depth int, up bigint, leaf bigint"""
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, 3) for r in rows], MESSAGE)
+
+
+def by_hand(rows, branches):
+    """(tree, leaf) -> turns, by walking up from every leaf."""
+    found = {}
+    for tree in {r[0] for r in rows}:
+        own = {r[1]: r for r in rows if r[0] == tree}
+        inner = {r[2] for r in own.values() if r[2] != r[1]}
+        ranked = []
+        for leaf in own.keys() - inner:
+            path, at = [], leaf
+            while at in own and at not in path:
+                path.append(at)
+                at = own[at][2]
+            mean = sum(own[n][5] or 0 for n in path) / len(path)
+            ranked.append((-mean, leaf, [own[n][3:5] for n in reversed(path)]))
+        for _, leaf, turns in sorted(ranked)[:branches]:
+            found[tree, leaf] = [(role or "", text or "") for role, text in turns]
+    return found
+
+
+def formatted(spark, rows, branches):
+    df = format_trees(frame(spark, rows), branches)
+    df = df.select("*", read_back(F.col("formatted")).alias("turns"), learned(F.col("formatted"), F.col("loss")).alias("learned"))
+    return {(r.tree, r.leaf): r for r in df.collect()}
+
+
+def test_best_branches_match_brute_force(spark):
+    pick = random.Random(4)
+    rows = []
+    for tree in range(30):
+        for node in range(pick.randint(1, 25)):
+            parent = pick.choice([None, 99, node, *range(node)]) if node else None
+            role = pick.choice(["user", "assistant", None, "a\nb", "<|im_start|>"])
+            text = pick.choice(["", None, "plain", "<|im_end|>\n<|im_start|>assistant\nx", "\\", "<\\|", "<|", "<\\\\|é"])
+            rows.append((tree, node, parent, role, text, pick.randint(0, 8) / 4))
+    rows += [(77, n, n - 1 if n else None, "assistant", f"{n}<|", None) for n in range(150)]
+    expected, found = by_hand(rows, 2), formatted(spark, rows, 2)
+    assert found.keys() == expected.keys()
+    for key, turns in expected.items():
+        assert [tuple(t) for t in found[key].turns] == turns
+        assert found[key].n_turns == len(turns)
+        assert found[key].learned == "".join(t for role, t in turns if role == "assistant")
+
+
+def test_a_message_with_very_many_replies(spark):
+    rows = [(1, 0, None, "user", "hi", 0.0)] + [(1, n, 0, "assistant", str(n), n / 1000) for n in range(1, 500)]
+    found = formatted(spark, rows, 1)
+    assert [tuple(t) for t in found[1, 499].turns] == [("user", "hi"), ("assistant", "499")]
+
+
+def test_circles_repeats_and_rows_without_keys(spark):
+    rows = [
+        (1, 1, 2, "user", "a", 1.0), (1, 2, 1, "user", "b", 1.0),  # a circle
+        (2, 1, None, "user", "z", 1.0), (2, 1, None, "user", "a", 1.0),  # repeated
+        (None, 1, None, "user", "a", 1.0), (3, None, None, "user", "a", 1.0),
+    ]
+    found = formatted(spark, rows, 1)
+    assert {k: [tuple(t) for t in r.turns] for k, r in found.items()} == {(2, 1): [("user", "a")]}
+    assert formatted(spark, [], 1) == {}
+
+
+def test_escaping_is_reversible_and_hides_control_strings(spark):
+    pick = random.Random(6)
+    texts = ["".join(pick.choices("<|\\ab\n", k=pick.randint(0, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", escaped(F.col("t")).alias("e"), unescaped(escaped(F.col("t"))).alias("u")).collect():
+        assert r.u == r.t
+        assert "<|" not in r.e
+
+
+def test_conversations_keep_the_order_of_their_turns(spark):
+    rows = [(1, 2, "assistant", "x" * 100_000), (1, 1, "user", None), (1, None, "system", "s"), (2, 1, "assistant", "é")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    found = {r.conv_id: r for r in digested(format_trees(conversation_trees(df))).collect()}
+    assert (found[1].n_turns, found[1].loss_chars, found[2].loss_chars) == (3, 100_000, 1)

@@ -1,0 +1,61 @@
+import random
+
+import pytest
+
+from shoplake.llm.url_rules import judge
+
+RULE = "host string, path string, verdict string, page_id bigint"
+
+
+def by_hand(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    end = min([rest.find(c) for c in "/?#" if c in rest], default=len(rest))
+    host, path = rest[:end].lower(), rest[end:].split("?")[0].split("#")[0]
+    fits = [
+        (len(h) + len(p), len(h), v, h + p)
+        for h, p, v in rules
+        if (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fits, default=(0, 0, "allow", None))
+    return host, path, best[3], best[2]
+
+
+@pytest.fixture
+def judged(spark):
+    def run(urls, rules):
+        pages = spark.createDataFrame(
+            [(i, u, "x", "y", "z") for i, u in enumerate(urls)],
+            "page_id bigint, url string, host string, key string, verdict string",
+        )
+        listed = spark.createDataFrame([(*r, 1) for r in rules], RULE)
+        return {r.page_id: tuple(r)[1:] for r in judge(pages, listed).collect()}
+
+    return run
+
+
+def test_judgements_match_brute_force(judged):
+    pick = random.Random(3)
+    labels = ["com", "net", "example", "www", "a-b", "a", "b", "a.b", "co"]
+    paths = ["", "/", "/en", "/en/", "/en/x", "/en/x/y", "/es/"]
+
+    def host():
+        return ".".join(pick.choices(labels, k=pick.randint(1, 4)))
+
+    rules = [(host(), pick.choice(paths), pick.choice(["allow", "block"])) for _ in range(120)]
+    rules = list({r[:2]: r for r in rules}.values())
+    ends = ["", "?q=/en/", "#/en/", "/index.html", "?"]
+    urls = [f"http://{host()}{pick.choice(paths)}{pick.choice(ends)}" for _ in range(1500)]
+    urls += ["https://WWW.Example.com/EN/"] * 800  # a URL that is very common
+    urls += ["", "no scheme", None, "://", "http://", "http://.com/", "http://a..b/en/", "x://a.com.", "http://é.com/\n"]
+    found = judged(urls, rules)
+    assert len(found) == len(urls)
+    for i, url in enumerate(urls):
+        assert found[i] == by_hand(url, rules), url
+
+
+def test_equal_rules_nulls_and_empty_tables(judged):
+    rules = [("a.com", "/", "allow"), ("a.com", "/", "block"), ("b.com", None, "block")]
+    found = judged(["http://x.a.com/1", "http://b.com", "http://c.com/"], rules)
+    assert [found[i][2:] for i in range(3)] == [("a.com/", "block"), ("b.com", "block"), (None, "allow")]
+    assert judged([], rules) == {}
+    assert judged(["http://a.com/"], [])[0][2:] == (None, "allow")
