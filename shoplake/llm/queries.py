@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, packing, topk, url_rules
+from shoplake.llm import chat, exact, near, packing, topk, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,10 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_rules.RULES, "host string, path string, verdict string")
     return url_rules.judge(table(spark, sf_dir, "pages"), rules)
@@ -41,6 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Query] = [
     op2_chat_formatting,
     op4_exact_topk,
+    op7_near_dedup,
     op8_url_filters,
     op9_exact_dedup,
     op10_packing,
