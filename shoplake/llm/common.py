@@ -1,5 +1,7 @@
 """What the operators share: reading tables, cutting lineage, and cutting texts into words."""
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,18 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+def slices(texts: list[str | None], step: int) -> Iterator[slice]:
+    """Texts in turn, about ``step`` characters at a time; a longer one comes alone."""
+    at = 0
+    while at < len(texts):
+        stop, size = at, 0
+        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= step):
+            size += len(texts[stop] or "")
+            stop += 1
+        yield slice(at, stop)
+        at = stop
+
+
 def mixed(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A one-to-one scrambling of 64-bit numbers."""
     x = x ^ np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import cut, mixed, stored, words
+from shoplake.llm.common import cut, mixed, slices, stored, words
 from shoplake.llm.graph import components
 from shoplake.llm.rolling import Joined
 
@@ -37,7 +37,7 @@ SETS = "doc_id bigint, shingles array<bigint>"
 
 def shingled(texts: list[str | None], size: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    joined = Joined([words(t.lower() if t and t.isascii() else lowered(t)) for t in texts])
+    joined = Joined.of([words(t.lower() if t and t.isascii() else lowered(t)) for t in texts])
     starts = joined.windows(size)
     hashes = joined.hashes(starts, size)
     cuts = np.searchsorted(starts, joined.begin)
@@ -84,22 +84,11 @@ def digest(hashes: np.ndarray) -> bytes:
     return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
 
 
-def slices(texts: list[str | None]) -> Iterator[slice]:
-    at = 0
-    while at < len(texts):
-        stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= STEP):
-            size += len(texts[stop] or "")
-            stop += 1
-        yield slice(at, stop)
-        at = stop
-
-
 def signed(size: int, per_band: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in slices(texts):
+            for part in slices(texts, STEP):
                 sets = shingled(texts[part], size)
                 full = [s for s in sets if len(s)]
                 keys = iter(banded(signatures(full, per_band * bands), per_band) if full else ())
@@ -123,7 +112,7 @@ def as_sets(size: int):
         seen: set[tuple[int, bytes]] = set()
         for batch in batches:
             ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
-            for part in slices(texts):
+            for part in slices(texts, STEP):
                 found: dict[tuple[int, bytes], np.ndarray] = {}
                 for doc_id, key, hashes in zip(ids[part], keys[part], shingled(texts[part], size)):
                     if digest(hashes) == key and (doc_id, key) not in seen:

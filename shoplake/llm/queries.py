@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, near, packing, topk, url_rules
+from shoplake.llm import chat, exact, near, packing, substring, topk, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.without_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_groups(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
@@ -45,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: list[Query] = [
     op2_chat_formatting,
     op4_exact_topk,
+    op6_substring_dedup,
     op7_near_dedup,
     op8_url_filters,
     op9_exact_dedup,
@@ -53,6 +59,7 @@ QUERIES: list[Query] = [
 SQL = {
     "op2_chat_formatting": chat.SQL,
     "op4_exact_topk": topk.SQL,
+    "op6_substring_dedup": substring.SQL,
     "op8_url_filters": url_rules.SQL,
     "op9_exact_dedup": exact.SQL,
 }

@@ -22,18 +22,22 @@ class Joined:
     ``place`` the word's number in it.
     """
 
-    def __init__(self, texts: list[list[bytes]]):
-        counts = np.array([len(t) for t in texts], dtype=np.int64)
-        self.buffer = b" ".join([b" ".join(t) for t in texts if t])
+    def __init__(self, buffer: bytes, counts: np.ndarray):
+        self.buffer = buffer
         spaces = np.flatnonzero(np.frombuffer(self.buffer, dtype=np.uint8) == 32)
         total = int(counts.sum())
         self.first = np.concatenate([[0], spaces + 1])[:total].astype(np.int64)
         self.last = np.concatenate([spaces, [len(self.buffer)]])[:total].astype(np.int64)
-        self.text = np.repeat(np.arange(len(texts)), counts)
+        self.text = np.repeat(np.arange(len(counts)), counts)
         self.begin = np.cumsum(counts) - counts
         self.place = np.arange(total) - np.repeat(self.begin, counts)
         self.counts = counts
 
+    @classmethod
+    def of(cls, texts: list[list[bytes]]) -> "Joined":
+        counts = np.array([len(t) for t in texts], dtype=np.int64)
+        return cls(b" ".join([b" ".join(t) for t in texts if t]), counts)
+
     def windows(self, size: int) -> np.ndarray:
         """Numbers of the words at which a window of ``size`` words of one text starts."""
         if size > len(self.text):

@@ -88,7 +88,7 @@ def test_signatures_are_of_two_permutations():
 
 def test_window_hashes_do_not_depend_on_where_they_stand():
     text = [b"ab", b"c", b"ab", b"c", b"x" * (BLOCK + 5), b"ab", b"c"]
-    joined = Joined([[], text, [b"q"], [], [b"ab", b"c"]])
+    joined = Joined.of([[], text, [b"q"], [], [b"ab", b"c"]])
     starts = joined.windows(2)
     hashes = joined.hashes(starts, 2)
     assert starts.tolist() == [0, 1, 2, 3, 4, 5, 8]
