@@ -73,11 +73,11 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
         .where(F.col("place") <= branches)
         .select("tree", "leaf", "branch_score", F.col("leaf").alias("node"))
     )
+    path = cut(path)
     for jumps in rounds:
-        both = F.filter(F.array("node", "up"), lambda x: x.isNotNull())
-        path = path.join(jumps, ["tree", "node"], "left").select(
-            "tree", "leaf", "branch_score", F.explode(both).alias("node")
-        )
+        # Only what a round adds is made anew: short branches don't pass through the long ones' rounds.
+        higher = path.join(jumps, ["tree", "node"]).select("tree", "leaf", "branch_score", F.col("up").alias("node"))
+        path = path.unionByName(cut(higher))
     return path.join(reached.drop("total"), ["tree", "node"])
 
 
