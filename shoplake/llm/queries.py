@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, near, packing, substring, topk, url_rules
+from shoplake.llm import chat, exact, near, packing, substring, topk, toxicity, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digested(chat.format_trees(trees))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -49,6 +53,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: list[Query] = [
     op2_chat_formatting,
+    op3_toxicity,
     op4_exact_topk,
     op6_substring_dedup,
     op7_near_dedup,
