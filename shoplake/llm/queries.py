@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, near, packing, substring, topk, toxicity, url_rules
+from shoplake.llm import chat, exact, mixing, near, packing, secret_scan, substring, topk, toxicity, url_rules
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.redacted(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = [(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]
@@ -28,6 +32,18 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.largest_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages, as known for the documents that people have labelled."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, labelled_languages(spark, sf_dir), mixing.LANGUAGES)
+
+
+def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = table(spark, sf_dir, "labels").select("doc_id").distinct()
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("domain"))
+    return docs.join(known, "doc_id", "left_semi")
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -52,9 +68,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: list[Query] = [
+    op1_secret_scan,
     op2_chat_formatting,
     op3_toxicity,
     op4_exact_topk,
+    op5_mixing,
     op6_substring_dedup,
     op7_near_dedup,
     op8_url_filters,

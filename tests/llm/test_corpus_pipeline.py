@@ -1,0 +1,47 @@
+import os
+from collections import defaultdict
+
+import pytest
+
+import corpus_pipeline
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def shingles(text):
+    w = (text or "").encode().lower().split()
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+
+def test_stages_one_by_one(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        kept[name] = corpus_pipeline.stored(stage(spark, docs, SF_DIR))
+        if name != "packing":
+            assert kept[name].columns == docs.columns
+            assert kept[name].exceptAll(docs).isEmpty()
+        docs = kept[name]
+
+    texts = {n: {r.doc_id: r.text for r in df.collect()} for n, df in kept.items() if n != "packing"}
+    groups = defaultdict(list)
+    for i, t in texts["toxicity"].items():
+        groups[(t or "").encode().lower()].append(i)
+    assert set(texts["exact_dedup"]) == {max(g) for g in groups.values()}
+
+    sets = {i: shingles(t) for i, t in sorted(texts["exact_dedup"].items())}
+    left = set(texts["near_dedup"])
+    for i, own in sets.items():
+        near = [j for j in sets if j < i and own and 100 * len(own & sets[j]) >= 80 * len(own | sets[j])]
+        assert (i in left) == (not near)  # no chains in these documents
+
+    assert set(texts["mixing"]) <= left
+    assert {r.doc_id for r in kept["packing"].select("doc_id").collect()} == set(texts["mixing"])
+    for r in kept["packing"].groupBy("sequence_id").agg({"length": "sum"}).collect():
+        assert r[1] <= 2048
+
+
+def test_run_gives_the_last_stage(spark):
+    assert "sequence_id" in corpus_pipeline.run(spark, SF_DIR).columns
