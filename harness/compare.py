@@ -11,7 +11,7 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from harness.oracle import oracle_sql
-from harness.queries import queries
+from harness.queries import ORDERED, queries
 from shoplake.sources.session import create_spark
 
 
@@ -19,9 +19,10 @@ def _key(row: tuple) -> tuple:
     return tuple((value is not None, str(value)) for value in row)
 
 
-def _rows(columns: list[str], rows: list[tuple]) -> list[tuple]:
+def _rows(columns: list[str], rows: list[tuple], ordered: bool) -> list[tuple]:
     order = sorted(range(len(columns)), key=columns.__getitem__)
-    return sorted((tuple(row[i] for i in order) for row in rows), key=_key)
+    found = [tuple(row[i] for i in order) for row in rows]
+    return found if ordered else sorted(found, key=_key)
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
@@ -50,8 +51,9 @@ def difference(
     df = queries()[name](spark, sf_dir)
     result = con.execute(oracle_sql()[name])
     columns = [d[0] for d in result.description]
-    theirs = _rows(columns, result.fetchall())
-    ours = _rows(df.columns, [tuple(row) for row in df.collect()])
+    ordered = name in ORDERED
+    theirs = _rows(columns, result.fetchall(), ordered)
+    ours = _rows(df.columns, [tuple(row) for row in df.collect()], ordered)
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} / {sorted(columns)}"
     their_types = dict(zip(columns, [str(d[1]) for d in result.description]))

@@ -7,7 +7,9 @@ the same here. Sums of amounts are taken in decimal on both sides.
 import re
 
 from harness.views import (
+    BROKEN,
     CART,
+    CART_OF_LINE,
     LINE,
     PRODUCT,
     PRODUCT_COPIES,
@@ -21,9 +23,17 @@ _AS_OF = "date '2025-01-01'"
 
 
 def _round(value: str, digits: int) -> str:
-    return (
-        f"cast(round(cast(cast({value} as varchar) as decimal(38, 18)), {digits}) as double)"
-    )
+    rounded = f"cast(round(cast(cast({value} as varchar) as decimal(38, 18)), {digits}) as double)"
+    # Numbers that a decimal can't hold are whole anyway.
+    return f"case when abs({value}) < 1e15 then {rounded} else {value} end"
+
+
+def _finite(column: str) -> str:
+    return f'case when isfinite("{column}") then "{column}" end'
+
+
+def _in_range(*columns: str) -> str:
+    return " and ".join(f"coalesce(abs({c}), 0) < 1e15" for c in columns)
 
 
 def _total(value: str) -> str:
@@ -118,6 +128,7 @@ _RULES = {
         "rating_0_to_5": "rating between 0 and 5",
         "stock_not_negative": "stock >= 0",
         "discount_0_to_100": "discount_percentage between 0 and 100",
+        "amounts_in_range": _in_range("price"),
     },
     "users": {
         "id_present": "id is not null",
@@ -130,6 +141,7 @@ _RULES = {
         "user_id_present": "user_id is not null",
         "total_not_negative": "cart_total >= 0",
         "has_products": "total_products > 0",
+        "amounts_in_range": _in_range("cart_total", "cart_discounted_total"),
     },
     "cart_items": {
         "cart_id_present": "cart_id is not null",
@@ -137,6 +149,7 @@ _RULES = {
         "quantity_positive": "quantity > 0",
         "price_positive": "unit_price > 0",
         "discount_0_to_100": "discount_percentage between 0 and 100",
+        "amounts_in_range": _in_range("unit_price", "line_total", "line_discounted_total"),
     },
 }
 _CLEAN = {
@@ -184,9 +197,9 @@ _CTES = {
         select o_orderkey, {CART["userId"]}, {listing(LINE | {"quantity": f"({LINE['quantity']}) + 1"})}
         from lineitem join orders on l_orderkey = o_orderkey where l_linenumber = 7""",
     "raw_carts": f"""select * from raw_headers
-        union all select {listing(CART)} from lineitem join orders on l_orderkey = o_orderkey""",
-    "typed_products": """select id, trim(title) as title, description,
-        lower(trim(category)) as category, price, "discountPercentage" as discount_percentage,
+        union all select {listing(CART_OF_LINE)} from lineitem join orders on l_orderkey = o_orderkey""",
+    "typed_products": f"""select id, trim(title) as title, description,
+        lower(trim(category)) as category, {_finite("price")} as price, "discountPercentage" as discount_percentage,
         rating, stock, trim(brand) as brand,
         lower(trim("availabilityStatus")) as availability_status, trim(sku) as sku, weight
         from raw_products""",
@@ -209,7 +222,7 @@ _CTES = {
         total as cart_total, "discountedTotal" as cart_discounted_total,
         {_round('total - "discountedTotal"', 2)} as total_savings,
         {_round('(total - "discountedTotal") / nullif(total, 0) * 100', 2)} as discount_rate
-        from raw_carts""",
+        from (select * replace ({_finite("total")} as total) from raw_carts)""",
     "one_summary": _first_copy(_SUMMARY_COLUMNS, ["cart_id"], "clean_summary"),
     "cart_summary": _valid("cart_summary"),
     "clean_items": f"""select *,
@@ -218,7 +231,9 @@ _CTES = {
             price as unit_price, quantity, total as line_total,
             "discountPercentage" as discount_percentage,
             "discountedTotal" as line_discounted_total,
-            {_round("price * quantity", 2)} as line_total_recomputed from raw_lines)""",
+            {_round("price * quantity", 2)} as line_total_recomputed
+            from (select * replace ({_finite("price")} as price, {_finite("total")} as total,
+                {_finite("discountedTotal")} as "discountedTotal") from raw_lines))""",
     "one_item": _first_copy(_ITEM_COLUMNS, ["cart_id", "product_id"], "clean_items"),
     "cart_items": _valid("cart_items"),
     "user_carts": f"""select user_id, cart_id, sum(quantity) as cart_quantity,
@@ -338,11 +353,21 @@ def _no_zero_nulls(sql: str) -> str:
     return f"select * from ({sql}) where section <> 'nulls' or value > 0"
 
 
+_SHARES = (
+    ("customer_360", "", ()),
+    ("product_performance", "demand_tier", ("no_sales", "low", "medium", "high")),
+    ("stock_risk", "risk_level", ("critical", "high", "medium", "healthy")),
+)
+_BOUNDS = (("critical", "0"), ("high", "5"), ("medium", "20"))
+
+
 def _pipeline_reports() -> list[str]:
     rows = []
     for table in ("products", "users"):
         for section, name, value in _stage_counts(table):
             rows.append((f"{table}_silver", section, name, value))
+        rows.append((f"{table}_silver", "steps", "05_written", f"(select count(*) from {table})"))
+    rows += [("users_silver", "removed_fields", name, "null") for name in SECRETS]
     summary, items = (
         {f"{s}/{n}": v for s, n, v in _stage_counts(t)} for t in ("cart_summary", "cart_items")
     )
@@ -351,6 +376,7 @@ def _pipeline_reports() -> list[str]:
         "steps/01_after_bronze_read": summary["steps/01_after_bronze_read"],
         "steps/02_cart_summary_ready": summary[kept],
         "steps/03_cart_items_ready": items[kept],
+        "steps/05_written": f"{summary[kept]} + {items[kept]}",
     }
     for name in ("duplicates", "failed_quality_filters", "total"):
         carts[f"dropped/{name}"] = f"{summary[f'dropped/{name}']} + {items[f'dropped/{name}']}"
@@ -359,6 +385,11 @@ def _pipeline_reports() -> list[str]:
             if key.startswith("rejected/"):
                 carts[f"rejected/{table}.{key.removeprefix('rejected/')}"] = value
     rows += [("carts_silver", *key.split("/", 1), value) for key, value in carts.items()]
+    for name, column, values in _SHARES:
+        count = f"(select count(*) from {name}"
+        rows.append((f"gold_{name}", "steps", "row_count", f"{count})"))
+        rows += [(f"gold_{name}", column, v, f"{count} where {column} = '{v}')") for v in values]
+    rows += [("gold_stock_risk", "thresholds", *bound) for bound in _BOUNDS]
     return [
         _row(pipeline=f"'{p}'", section=f"'{s}'", name=f"'{n}'", value=f"cast({v} as bigint)")
         for p, s, n, v in rows
@@ -381,14 +412,19 @@ _QUERIES = {
         union all select 'users', count(*) from raw_users
         union all select 'carts', count(*) from raw_carts
         union all select 'cart_lines', count(*) from raw_lines""",
-    "manifest": """select 'products' as entity, 'ok' as status, count(*) as record_count
-        from raw_products union all select 'users', 'ok', count(*) from raw_users
-        union all select 'carts', 'ok', count(*) from raw_carts""",
+    "malformed_counts": _union(
+        f"""select '{entity}' as entity,
+        case when n > 0 then 'malformed' else 'ok' end as status, m - n as record_count,
+        n as malformed_count, m - n as records_read, n as set_aside
+        from (select count(*) filter (where id % {by} = 0) as n, count(*) as m
+            from raw_{entity})"""
+        for entity, by in BROKEN.items()
+    ),
     "landing_manifest": """select 'products' as entity, 'ok' as status,
         count(*) as record_count, cast(0 as bigint) as malformed_count
         from raw_products union all select 'users', 'ok', count(*), 0 from raw_users
         union all select 'carts', 'ok', count(*), 0 from raw_carts""",
-    "products_exploded": """select id, title, description, category, price,
+    "products_selected": f"""select id, title, description, category, {_finite("price")} as price,
         "discountPercentage" as discount_percentage, rating, stock, brand,
         "availabilityStatus" as availability_status, sku, weight from raw_products""",
     "products_typed": "select * from typed_products",
@@ -396,15 +432,19 @@ _QUERIES = {
     "products_dedup": "select * from one_product",
     "silver_products": "select * from products",
     "silver_products_from_json": "select * from products",
+    "silver_products_from_documents": "select * from products",
     "users_flat": f"select id, {_FLAT} from raw_users",
     "users_age": "select id, email, birth_date, age_derived from clean_users",
     "silver_users": "select * from users",
     "silver_users_from_json": "select * from users",
-    "carts_exploded": """select cart_id, user_id, id, title, price, quantity, total,
-        "discountPercentage", "discountedTotal" from raw_lines""",
+    "silver_users_from_documents": "select * from users",
+    "carts_exploded": f"""select cart_id, user_id, id, title, {_finite("price")} as price, quantity,
+        {_finite("total")} as total, "discountPercentage",
+        {_finite("discountedTotal")} as "discountedTotal" from raw_lines""",
     "silver_cart_summary": "select * from cart_summary",
     "silver_cart_items": "select * from cart_items",
     "silver_cart_items_from_json": "select * from cart_items",
+    "silver_cart_items_from_documents": "select * from cart_items",
     "rejects_by_rule": _union(
         f"""select '{table}' as "table", failed_rule, count(*) as rejected
         from (select {_failed(table)} as failed_rule from {_DISTINCT[table]})
@@ -462,16 +502,19 @@ _QUERIES = {
         count(*) filter (where weight = 0) as no_weight from products""",
     "category_distribution": f"""select category, count(*) as product_count,
         {_mean("price", 2)} as avg_price, {_mean("rating", 2)} as avg_rating,
-        {_units("stock")} as total_stock from products group by category""",
+        {_units("stock")} as total_stock from products group by category
+        order by count(*) desc, category""",
     "top5_price": """select id, title, category, price, stock, rating from products
         order by price desc, id limit 5""",
     "age_discrepancy": """select id, first_name, age as age_raw, age_derived,
         age - age_derived as discrepancy from users where abs(age - age_derived) > 1
         order by abs(age - age_derived) desc, id limit 10""",
-    "gender_distribution": """select gender, count(*) as "count" from users group by gender""",
+    "gender_distribution": """select gender, count(*) as "count" from users group by gender
+        order by count(*) desc, gender""",
     "country_top10": """select address_country, count(*) as users from users
         group by address_country order by count(*) desc, address_country limit 10""",
-    "role_distribution": """select role, count(*) as "count" from users group by role""",
+    "role_distribution": """select role, count(*) as "count" from users group by role
+        order by count(*) desc, role""",
     "float_audit": """select cart_id, product_id, product_title, line_total,
         line_total_recomputed, line_total_discrepancy from cart_items
         where abs(line_total_discrepancy) > 0.001
@@ -493,7 +536,8 @@ _QUERIES = {
     "revenue_by_category": f"""select category, count(distinct cart_id) as carts,
         {_units("quantity")} as units_sold, {_sum("line_discounted_total", 2)} as revenue,
         {_mean("rating", 2)} as avg_product_rating
-        from cart_items join products on product_id = id group by category""",
+        from cart_items join products on product_id = id group by category
+        order by revenue desc, category""",
     "top10_spenders": """select id as user_id, first_name || ' ' || last_name as full_name,
         address_country, total_carts, total_items_bought, total_spend
         from users join purchases on id = purchases.user_id
@@ -505,17 +549,18 @@ _QUERIES = {
         {_round("cast(sum(cart_quantity) as double) / count(cart_quantity)", 1)}
             as avg_basket_size,
         {_mean("cart_spend", 2)} as avg_cart_value
-        from users join user_carts on id = user_id group by 1""",
+        from users join user_carts on id = user_id group by 1 order by age_group""",
     "stock_risk_report": """select id, title, category, stock, pending.pending_demand,
         stock - pending.pending_demand as net_stock
         from products join pending on id = product_id
-        where stock - pending.pending_demand < 5""",
+        where stock - pending.pending_demand < 5 order by net_stock, id""",
     "panel_revenue": f"""select category, {_sum("total_revenue", 2)} as revenue
-        from product_performance group by category""",
+        from product_performance group by category order by revenue desc, category""",
     "panel_spend_tiers": """select case when total_spend < 1 then '<1'
         when total_spend < 500000 then '1-500000'
-        when total_spend < 1000000 then '500000-1e+06'
-        when total_spend < 2000000 then '1e+06-2e+06' else '2e+06+' end as spend_tier,
+        when total_spend < 1000000.1 then '500000-1000000.1'
+        when total_spend < 1000000.2 then '1000000.1-1000000.2'
+        when total_spend < 2000000 then '1000000.2-2000000' else '2000000+' end as spend_tier,
         count(*) as users from customer_360 group by 1""",
     "panel_stock_alert": "select * from stock_risk where risk_level in ('critical', 'high')",
     "panel_top10": """select user_id, first_name, last_name, email, total_spend
@@ -524,9 +569,10 @@ _QUERIES = {
     "stored_customer_360": "select * from customer_360",
     "stored_product_performance": "select * from product_performance",
     "stored_stock_alert": "select * from stock_risk where risk_level in ('critical', 'high')",
-    "stored_views_sql": f"""select category, count(distinct cart_id) as carts,
-        {_units("quantity")} as units_sold
-        from cart_items join products on product_id = id group by category""",
+    "stored_user_lines": "select * from cart_items where user_id = 4",
+    "stored_views_sql": """select address_country as country, role, count(*) as lines,
+        count(distinct brand) as brands from cart_items join users on user_id = users.id
+        left join products on product_id = products.id group by address_country, role""",
 }
 
 

@@ -12,11 +12,36 @@ from shoplake.operators.rules import rejects_by_rule
 from shoplake.plans import dashboard, gold, pipeline, reports, silver
 from shoplake.sources import bronze
 from shoplake.sources.session import scratch_dir
-from shoplake.sources.tables import read_layer, read_reports, register_views, save_report
+from shoplake.sources.tables import (
+    SILVER,
+    read_layer,
+    read_reports,
+    read_user_lines,
+    register_views,
+    save_report,
+)
 
 AS_OF = dt.date(2025, 1, 1)
 RUN_TS = dt.datetime(2025, 1, 1, 6)
-SPEND_BOUNDS = (1.0, 500_000.0, 1_000_000.0, 2_000_000.0)
+SPEND_BOUNDS = (1.0, 500_000.0, 1_000_000.1, 1_000_000.2, 2_000_000.0)
+
+# Queries whose rows come in a fixed order.
+ORDERED = [
+    "category_distribution",
+    "top5_price",
+    "age_discrepancy",
+    "gender_distribution",
+    "country_top10",
+    "role_distribution",
+    "float_audit",
+    "top10_products_sold",
+    "revenue_by_category",
+    "top10_spenders",
+    "basket_by_age_band",
+    "stock_risk_report",
+    "panel_revenue",
+    "panel_top10",
+]
 
 # Silver tables each gold table is made from.
 NEEDS = {
@@ -88,6 +113,8 @@ class Shop:
                 pipeline.write_silver_table(table, raw, root, AS_OF, RUN_TS)
         tables = read_layer(self.spark, root, needed)
         for name in names:
+            if name == "stock_risk":  # made from the stored performance
+                pipeline.write_gold_table("product_performance", tables, root, RUN_TS)
             if name in NEEDS:
                 pipeline.write_gold_table(name, tables, root, RUN_TS)
         return root
@@ -118,7 +145,7 @@ def _stage_counts(s: Shop) -> DataFrame:
     return _labelled(
         {
             name: quality.as_rows(
-                table.assess(cleaned).agg(*quality.stage_metrics(table.rules(), table.watched))
+                quality.stage_counts(cleaned, table.keys, table.rules(), table.watched)
             )
             for name, (table, cleaned) in _clean_tables(s).items()
         }
@@ -156,6 +183,51 @@ def _json_lines(s: Shop, entity: str) -> DataFrame:
     return bronze.read_records(s.spark, f"{root}/bronze/{entity}", entity, "lines")
 
 
+def _documents(s: Shop, entity: str) -> DataFrame:
+    """Raw records as documents that hold the records of a range of ids each, read back."""
+    root = scratch_dir(s.spark)
+    fields = s.raw[entity]
+    part = F.coalesce(F.floor(F.col("id") / views.PER_DOCUMENT), F.lit(-1))
+    # Records without an id, of which there may be many, are spread over as many documents.
+    part = F.when(F.col("id").isNull(), -1 - F.pmod(F.xxhash64(*_scalars(fields)), F.lit(64))).otherwise(part)
+    record = F.struct(*fields.columns)
+    documents = fields.groupBy(part.alias("part")).agg(F.collect_list(record).alias(entity))
+    text = documents.select(F.to_json(F.struct(entity)).alias("value"))
+    text.write.option("maxRecordsPerFile", 1).text(f"{root}/{entity}")
+    return bronze.read_records(s.spark, f"{root}/{entity}", entity, "documents")
+
+
+def _scalars(df: DataFrame) -> list[str]:
+    return [name for name, kind in df.dtypes if "<" not in kind]
+
+
+def _malformed_counts(s: Shop) -> DataFrame:
+    """Lines that are cut off, by key: as landed, as read, and as set aside."""
+    root = scratch_dir(s.spark)
+    sources = {entity: f"{root}/incoming/{entity}" for entity in s.raw}
+    found = None
+    for entity, df in s.raw.items():
+        line = F.to_json(F.struct(*df.columns))
+        cut_off = F.coalesce(F.col("id") % views.BROKEN[entity] == 0, F.lit(False))
+        df.select(F.when(cut_off, F.left(line, F.length(line) - 3)).otherwise(line)).write.text(sources[entity])
+    landed = bronze.land(s.spark, sources, f"{root}/bronze", "lines", RUN_TS)
+    for entity in s.raw:
+        path = f"{root}/bronze/{entity}"
+        read = bronze.read_records(s.spark, path, entity, "lines", "aside")
+        aside = bronze.read_malformed(s.spark, path, entity, "lines")
+        counts = [
+            df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(entity).alias("entity"), F.lit(kind).alias("kind"), "records")
+            for df, kind in ((read, "read"), (aside, "aside"))
+        ]
+        both = counts[0].union(counts[1])
+        found = both if found is None else found.union(both)
+    pivoted = found.groupBy("entity").agg(
+        F.sum(F.when(F.col("kind") == "read", F.col("records"))).alias("records_read"),
+        F.sum(F.when(F.col("kind") == "aside", F.col("records"))).alias("set_aside"),
+    )
+    return landed.select("entity", "status", "record_count", "malformed_count").join(pivoted, "entity")
+
+
 def _landing_manifest(s: Shop) -> DataFrame:
     root = scratch_dir(s.spark)
     sources = {entity: f"{root}/incoming/{entity}" for entity in s.raw}
@@ -166,11 +238,13 @@ def _landing_manifest(s: Shop) -> DataFrame:
 
 
 def _quality_reports(s: Shop) -> DataFrame:
-    """Counts observed while the silver tables were written, saved and read back."""
+    """Counts observed while all tables were written, saved twice and read back."""
     root = scratch_dir(s.spark)
-    observed = pipeline.write_silver(s.raw, root, AS_OF, RUN_TS)
-    reported = pipeline.silver_reports(observed)
-    save_report(quality.report_frame(s.spark, RUN_TS, reported), root)
+    reported = pipeline.silver_reports(pipeline.write_silver(s.raw, root, AS_OF, RUN_TS))
+    tables = read_layer(s.spark, root, SILVER)
+    reported |= pipeline.gold_reports(pipeline.write_gold(tables, root, RUN_TS))
+    for _ in range(2):
+        save_report(quality.report_frame(s.spark, RUN_TS, reported), root)
     return read_reports(s.spark, root).select("pipeline", "section", "name", "value")
 
 
@@ -179,22 +253,34 @@ def _stored(s: Shop, name: str) -> DataFrame:
 
 
 def _stored_sql(s: Shop) -> DataFrame:
-    """Plain SQL over views of the stored silver tables."""
-    names = ("cart_items", "products")
-    register_views(s.spark, s.stored(*names), names)
+    """Plain SQL over views of three stored tables."""
+    names = ("users", "products", "cart_items")
+    register_views(s.spark, s.stored(*names), names, "stored_")
     return s.spark.sql(
-        """select p.category, count(distinct ci.cart_id) as carts, sum(ci.quantity) as units_sold
-        from cart_items ci join products p on ci.product_id = p.id group by p.category"""
+        """select address_country as country, role, count(1) as lines,
+            count(distinct brand) as brands
+        from stored_cart_items lines join stored_users on user_id = stored_users.id
+            left join stored_products on product_id = stored_products.id
+        group by address_country, role"""
     )
 
 
+def _stored_user_lines(s: Shop) -> DataFrame:
+    return _timeless(read_user_lines(s.spark, s.stored("cart_items"), 4))
+
+
+def _finite(df: DataFrame, *names: str) -> DataFrame:
+    """NaN and infinity, which compare unlike in different engines, as null."""
+    return df.withColumns({n: F.when(F.abs(F.col(n)) < float("inf"), F.col(n)) for n in names})
+
+
 QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     # raw
     "bronze_counts": lambda s: reports.bronze_counts(s.raw_products, s.raw_users, s.raw_carts),
-    "manifest": lambda s: bronze.manifest(s.raw),
+    "malformed_counts": _malformed_counts,
     "landing_manifest": _landing_manifest,
     # products
-    "products_exploded": lambda s: silver.select_products(s.raw_products),
+    "products_selected": lambda s: _finite(silver.select_products(s.raw_products), "price"),
     "products_typed": lambda s: silver.type_products(s.raw_products),
     "products_filled": lambda s: silver.clean_products(s.raw_products),
     "products_dedup": lambda s: silver.without_copies(
@@ -204,6 +290,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_products_from_json": lambda s: _timeless(
         silver.products(_json_lines(s, "products"), RUN_TS)
     ),
+    "silver_products_from_documents": lambda s: _timeless(
+        silver.products(_documents(s, "products"), RUN_TS)
+    ),
     # users
     "users_flat": lambda s: silver.flatten_users(s.raw_users),
     "users_age": lambda s: silver.clean_users(s.raw_users, AS_OF).select(
@@ -213,13 +302,21 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_users_from_json": lambda s: _timeless(
         silver.users(_json_lines(s, "users"), AS_OF, RUN_TS)
     ),
+    "silver_users_from_documents": lambda s: _timeless(
+        silver.users(_documents(s, "users"), AS_OF, RUN_TS)
+    ),
     # carts
-    "carts_exploded": lambda s: silver.explode_carts(s.raw_carts),
+    "carts_exploded": lambda s: _finite(
+        silver.explode_carts(s.raw_carts), "price", "total", "discountedTotal"
+    ),
     "silver_cart_summary": lambda s: _timeless(s.cart_summary),
     "silver_cart_items": lambda s: _timeless(s.items),
     "silver_cart_items_from_json": lambda s: _timeless(
         silver.cart_items(_json_lines(s, "carts"), RUN_TS)
     ),
+    "silver_cart_items_from_documents": lambda s: _timeless(
+        silver.cart_items(_documents(s, "carts"), RUN_TS)
+    ),
     # quality
     "rejects_by_rule": _rejects,
     "stage_counts": _stage_counts,
@@ -267,10 +364,16 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "basket_by_age_band": lambda s: reports.basket_by_age_band(s.users, s.items),
     "stock_risk_report": lambda s: reports.nearly_out_of_stock(s.products, s.items),
     # dashboard
-    "panel_revenue": lambda s: dashboard.revenue_panel(s.product_performance),
-    "panel_spend_tiers": lambda s: dashboard.spend_tier_panel(s.customer_360, SPEND_BOUNDS),
+    "panel_revenue": lambda s: dashboard.revenue_panel(
+        gold.product_revenue(s.products, s.items)
+    ),
+    "panel_spend_tiers": lambda s: dashboard.spend_tier_panel(
+        gold.customer_spend(s.users, s.items), SPEND_BOUNDS
+    ),
     "panel_stock_alert": lambda s: _timeless(dashboard.stock_alert_panel(s.stock_risk)),
-    "panel_top10": lambda s: dashboard.top_customers_panel(s.customer_360),
+    "panel_top10": lambda s: dashboard.top_customers_panel(
+        gold.customer_spend(s.users, s.items)
+    ),
     # stored tables
     "stored_users": lambda s: _timeless(_stored(s, "users")),
     "stored_customer_360": lambda s: _timeless(_stored(s, "customer_360")),
@@ -278,6 +381,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "stored_stock_alert": lambda s: _timeless(
         dashboard.stock_alert_panel(_stored(s, "stock_risk"))
     ),
+    "stored_user_lines": _stored_user_lines,
     "stored_views_sql": _stored_sql,
 }
 

@@ -18,6 +18,9 @@ PRODUCT = {
     "description": "p_name",
     "category": "concat(' ', p_type, ' ')",
     "price": """case when p_partkey % 101 = 0 then cast(-1 as double)
+        when p_partkey % 103 = 1 then cast('NaN' as double)
+        when p_partkey % 107 = 1 then cast('Infinity' as double)
+        when p_partkey % 109 = 1 then cast(1e30 as double)
         else p_retailprice + cast(copy - 1 as double) * (p_partkey % 100) end""",
     "discountPercentage": """case when p_partkey % 31 = 0 then null
         else cast(p_partkey % 110 as double) end""",
@@ -96,6 +99,8 @@ CART = {
     "totalProducts": "case when o_orderkey % 41 = 0 then 0 else cast(1 + o_orderkey % 7 as int) end",
     "totalQuantity": "cast(10 + o_orderkey % 70 as int)",
     "total": """case when o_orderkey % 350 = 0 then cast(0 as double)
+        when o_orderkey % 353 = 1 then cast('NaN' as double)
+        when o_orderkey % 359 = 1 then cast(1e30 as double)
         when o_orderkey % 211 = 0 then cast(-1 as double) else o_totalprice end""",
     "discountedTotal": "floor(o_totalprice * (100 - o_orderkey % 11) + 0.5) / 100",
 }
@@ -104,18 +109,33 @@ LINE = {
     "id": "case when l_partkey % 307 = 4 then null else l_partkey end",
     "title": "concat(' Part ', cast(l_partkey as varchar(20)), ' ')",
     "price": """case when l_partkey % 59 = 0 then cast(0 as double)
+        when l_partkey % 103 = 2 then cast('NaN' as double)
+        when l_partkey % 107 = 2 then cast('Infinity' as double)
         else floor(l_extendedprice * 100 / l_quantity + 0.5) / 100 end""",
     "quantity": """case when l_partkey % 43 = 0 then 0
         when l_partkey % 7 = 1
             then case when l_linenumber = 1 and l_suppkey % 3 = 0 then 1 else 0 end
         when l_partkey % 7 = 2 then case when l_linenumber < 4 then 1 else 0 end
         else cast(l_quantity as int) end""",
-    "total": "l_extendedprice",
+    "total": """case when l_partkey % 113 = 3 then cast('Infinity' as double)
+        when l_partkey % 109 = 3 then cast(1e30 as double) else l_extendedprice end""",
     "discountPercentage": """case when l_partkey % 61 = 0 then cast(101 as double)
         else cast(floor(l_discount * 100 + 0.5) as double) end""",
-    "discountedTotal": "floor(l_extendedprice * (100 - floor(l_discount * 100 + 0.5)) + 0.5) / 100",
+    "discountedTotal": """case when l_partkey % 127 = 5 then cast(1e30 as double)
+        when l_partkey % 131 = 6 then cast('NaN' as double)
+        else floor(l_extendedprice * (100 - floor(l_discount * 100 + 0.5)) + 0.5) / 100 end""",
 }
 
+# Some headers differ between the records of an order.
+CART_OF_LINE = CART | {
+    "totalQuantity": f"""({CART["totalQuantity"]})
+        + case when o_orderkey % 29 = 0 then cast(l_linenumber as int) else 0 end"""
+}
+
+# Raw records whose id can be divided by this are cut off in their text; ids per document.
+BROKEN = {"products": 13, "users": 17, "carts": 19}
+PER_DOCUMENT = 5000
+
 
 def listing(expressions: dict[str, str]) -> str:
     return ", ".join(f'{sql} as "{name}"' for name, sql in expressions.items())
@@ -178,10 +198,11 @@ def bronze_carts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     header = [f"{sql} as {name}" for name, sql in CART.items()]
+    own = [f"{sql} as {name}" for name, sql in CART_OF_LINE.items()]
     bumped = LINE | {"quantity": f"({LINE['quantity']}) + 1"}
     # Both sides are large tables, however few rows a test has: join them by shuffle.
     sold = lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey).selectExpr(
-        *header,
+        *own,
         f"case when l_linenumber = 7 then array({_struct(LINE)}, {_struct(bumped)}) "
         f"else array({_struct(LINE)}) end as products",
     )

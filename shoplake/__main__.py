@@ -2,7 +2,7 @@
 
 python -m shoplake land  --source DIR --bronze DIR [--layout lines]
 python -m shoplake run   --bronze DIR --out DIR [--layout lines] [--as-of DATE] [--jdbc]
-python -m shoplake report NAME --out DIR
+python -m shoplake report NAME --out DIR (--to DIR | --rows N)
 """
 
 import argparse
@@ -10,10 +10,10 @@ import datetime as dt
 
 from shoplake.plans.pipeline import run_all
 from shoplake.plans.reports import REPORTS
-from shoplake.sources.bronze import LAYOUTS, land
+from shoplake.sources.bronze import LAYOUTS, MALFORMED, land
 from shoplake.sources.jdbc import jdbc_config
 from shoplake.sources.session import create_spark
-from shoplake.sources.tables import SILVER, read_layer
+from shoplake.sources.tables import BUCKETS, SILVER, read_layer
 
 ENTITIES = ("products", "users", "carts")
 
@@ -27,12 +27,19 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     running.add_argument("--out", required=True)
     running.add_argument("--as-of", type=dt.date.fromisoformat)
     running.add_argument("--jdbc", action="store_true", help="load the gold tables as well")
+    running.add_argument(
+        "--malformed", choices=MALFORMED, default="fail", help="stop at it, or set it aside"
+    )
+    running.add_argument("--user-buckets", type=int, default=BUCKETS)
     for command in (landing, running):
         command.add_argument("--bronze", required=True)
         command.add_argument("--layout", choices=LAYOUTS, default="documents")
     report = commands.add_parser("report")
     report.add_argument("name", choices=sorted(REPORTS))
     report.add_argument("--out", required=True)
+    shown = report.add_mutually_exclusive_group(required=True)
+    shown.add_argument("--to", help="write all rows to this folder, as CSV with a header")
+    shown.add_argument("--rows", type=int, help="print so many rows at most")
     return parser.parse_args(argv)
 
 
@@ -44,9 +51,22 @@ def main(argv: list[str] | None = None) -> None:
         land(spark, sources, args.bronze, args.layout).show(truncate=False)
     elif args.command == "run":
         jdbc = jdbc_config() if args.jdbc else None
-        run_all(spark, args.bronze, args.out, args.layout, args.as_of, jdbc=jdbc)
+        run_all(
+            spark,
+            args.bronze,
+            args.out,
+            args.layout,
+            args.as_of,
+            jdbc=jdbc,
+            malformed=args.malformed,
+            user_buckets=args.user_buckets,
+        )
     else:
-        REPORTS[args.name](read_layer(spark, args.out, SILVER)).show(1000, truncate=False)
+        report = REPORTS[args.name](read_layer(spark, args.out, SILVER))
+        if args.to:
+            report.write.mode("overwrite").csv(args.to, header=True)
+        else:
+            report.show(args.rows, truncate=False)
 
 
 if __name__ == "__main__":

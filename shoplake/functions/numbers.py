@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 # or retries the work.
 EXACT = "decimal(30,6)"
 
+# Amounts have to be below this, or their row fails a rule: sums of a billion of them still fit.
+LARGEST = 1e15
+
 
 def real(name: str) -> Column:
-    """As double; null if malformed."""
-    return F.col(name).try_cast("double")
+    """As double; null if malformed, NaN or infinite."""
+    value = F.col(name).try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
+def in_range(*names: str) -> Column:
+    """Whether all amounts are ones that ``exact`` can hold; nulls are."""
+    return F.greatest(F.lit(0.0), *[F.abs(F.col(name)) for name in names]) < LARGEST
 
 
 def whole(name: str, to: str = "int") -> Column:
@@ -21,7 +30,8 @@ def whole(name: str, to: str = "int") -> Column:
 
 
 def exact(value: Column | str) -> Column:
-    return (F.col(value) if isinstance(value, str) else value).cast(EXACT)
+    """As decimal with six places; null if it doesn't fit (see ``in_range``), NaN or infinite."""
+    return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
 
 
 def exact_sum(value: Column | str, digits: int) -> Column:
@@ -30,8 +40,8 @@ def exact_sum(value: Column | str, digits: int) -> Column:
 
 
 def exact_mean(value: Column | str, digits: int) -> Column:
-    """Aggregate: rounded mean of the values that are not null."""
-    return ratio(F.sum(exact(value)), F.count(value), digits)
+    """Aggregate: rounded mean of the values that are summed."""
+    return ratio(F.sum(exact(value)), F.count(exact(value)), digits)
 
 
 def rounded(total: Column, digits: int) -> Column:

@@ -40,10 +40,12 @@ def coverage_ratio(stock: Column, demand: Column) -> Column:
 
 
 def bucket(value: Column, bounds: Sequence[float]) -> Column:
-    """Label of the half-open interval ``[low, high)`` a value falls in."""
+    """Label of the half-open interval ``[low, high)`` a value falls in. Bounds are written out
+    in full, so different intervals have different labels."""
     if not bounds or sorted(set(bounds)) != list(bounds):
         raise ValueError("bounds must be ascending and at least one")
-    label = F.when(value < bounds[0], f"<{bounds[0]:g}")
-    for low, high in zip(bounds, bounds[1:]):
-        label = label.when(value < high, f"{low:g}-{high:g}")
-    return label.when(value >= bounds[-1], f"{bounds[-1]:g}+")
+    names = [str(int(b)) if b == int(b) else repr(float(b)) for b in bounds]
+    label = F.when(value < bounds[0], f"<{names[0]}")
+    for low, name, high in zip(names, names[1:], bounds[1:]):
+        label = label.when(value < high, f"{low}-{name}")
+    return label.when(value >= bounds[-1], f"{names[-1]}+")

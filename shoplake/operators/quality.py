@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoplake.operators.dedup import COPIES, keep_first
+from shoplake.operators.dedup import COPIES, keep_first, without_copies
 from shoplake.operators.rules import FAILED_RULE, Rules, first_failure
 
 _NULLS = "nulls_in_"
@@ -26,10 +26,32 @@ def assess(
     return keep_first(cleaned, keys, tallies).withColumn(FAILED_RULE, first_failure(rules))
 
 
+# The names of a report's steps, and what each stands for.
+NOTES = {
+    "steps/01_after_bronze_read": "records read",
+    "steps/02_after_cleaning": "records with typed and cleaned fields",
+    "steps/03_after_dedup": "one record per key",
+    "steps/04_after_quality_filters": "records that pass all rules",
+    "steps/05_written": "rows written to the table",
+    "steps/02_cart_summary_ready": "carts that pass all rules",
+    "steps/03_cart_items_ready": "lines that pass all rules",
+    "steps/row_count": "rows written to the table",
+    "dropped/duplicates": "further copies of a key",
+    "dropped/failed_quality_filters": "records that fail a rule",
+    "dropped/total": "all records that were read and not kept",
+    "dropped/malformed": "documents or lines that could not be read, set aside",
+}
+
+
 def accepted(assessed: DataFrame, columns: Sequence[str]) -> DataFrame:
     return assessed.filter(F.col(FAILED_RULE).isNull()).select(*columns)
 
 
+def written() -> list[Column]:
+    """Of the rows as they are written."""
+    return [F.count(F.lit(1)).alias("steps/05_written")]
+
+
 def stage_metrics(rules: Iterable[str], watched: Sequence[str] = ()) -> list[Column]:
     """Aggregates over assessed rows, for ``agg`` or ``observe``."""
     read, distinct = F.coalesce(F.sum(COPIES), F.lit(0)), F.count(F.lit(1))
@@ -48,6 +70,36 @@ def stage_metrics(rules: Iterable[str], watched: Sequence[str] = ()) -> list[Col
     return [value.cast("bigint").alias(name) for name, value in metrics.items()]
 
 
+def stage_counts(
+    cleaned: DataFrame, keys: Sequence[str], rules: Rules, watched: Sequence[str] = ()
+) -> DataFrame:
+    """The same metrics as one row, where reading twice is cheap: rows read and nulls are counted
+    as they come, drops on one row per key, and no row is carried along to be sorted."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls/{c}") for c in watched]
+    read = cleaned.agg(F.count(F.lit(1)).alias("read"), *nulls)
+    failed = without_copies(cleaned, keys).select(first_failure(rules).alias(FAILED_RULE))
+    rejected = [F.count_if(F.col(FAILED_RULE) == r).alias(f"rejected/{r}") for r in rules]
+    kept = failed.agg(
+        F.count(F.lit(1)).alias("distinct"),
+        F.count_if(F.col(FAILED_RULE).isNull()).alias("kept"),
+        *rejected,
+    )
+    # A row on either side.
+    both = read.withColumn("one", F.lit(1)).join(kept.withColumn("one", F.lit(1)), "one")
+    metrics = {
+        "steps/01_after_bronze_read": F.col("read"),
+        "steps/02_after_cleaning": F.col("read"),
+        "steps/03_after_dedup": F.col("distinct"),
+        "steps/04_after_quality_filters": F.col("kept"),
+        "dropped/duplicates": F.col("read") - F.col("distinct"),
+        "dropped/failed_quality_filters": F.col("distinct") - F.col("kept"),
+        "dropped/total": F.col("read") - F.col("kept"),
+    }
+    names = [f"rejected/{r}" for r in rules] + [f"nulls/{c}" for c in watched]
+    metrics |= {name: F.col(f"`{name}`") for name in names}
+    return both.select([value.cast("bigint").alias(name) for name, value in metrics.items()])
+
+
 def share_metrics(column: str, values: Sequence[str]) -> list[Column]:
     """Row count and rows per known value of a column."""
     return [F.count(F.lit(1)).alias("steps/row_count")] + [
@@ -69,18 +121,30 @@ def as_rows(metrics: DataFrame) -> DataFrame:
 def report_frame(
     spark: SparkSession, run_ts: dt.datetime, reports: Mapping[str, Mapping[str, int]]
 ) -> DataFrame:
-    """Observed metrics of one run, by pipeline, as a small frame."""
+    """Metrics of one run, by pipeline, as a small frame; each with a note on what it is."""
     rows = [
-        (pipeline, run_ts, *name.split("/", 1), int(value))
+        (pipeline, run_ts, *name.split("/", 1), value, note_on(name))
         for pipeline, observed in reports.items()
         for name, value in observed.items()
         if value or not name.startswith("nulls/")
     ]
     return spark.createDataFrame(
-        rows, "pipeline string, run_ts timestamp, section string, name string, value bigint"
+        rows,
+        "pipeline string, run_ts timestamp, section string, name string, value bigint, note string",
     )
 
 
+def note_on(name: str) -> str:
+    section = name.split("/", 1)[0]
+    sections = {
+        "rejected": "records whose first failed rule this is",
+        "nulls": "nulls before deduplication",
+        "removed_fields": "field of the raw records that the table leaves out",
+        "thresholds": "highest net stock of the level",
+    }
+    return NOTES.get(name) or sections.get(section, "rows with this value")
+
+
 def null_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Null count of each column that has any, in one pass."""
     names = list(columns or df.columns)

@@ -1,8 +1,8 @@
 """Business tables over the silver tables.
 
-``unique_lines=True`` says that the cart lines hold each product once per cart, as the
-silver table does. Then lines can be counted where carts are meant, which spares a distinct
-count; the result is the same.
+``unique_lines=True`` may be given if the cart lines hold each product once per cart, as the
+silver table does. Then lines are counted where carts are meant, which spares a distinct
+count. It is not checked: over lines that repeat, counts come out too large.
 """
 
 import datetime as dt
@@ -76,12 +76,13 @@ def discount_aggregate(items: DataFrame) -> DataFrame:
 
 
 def category_quantities(items: DataFrame, products: DataFrame) -> DataFrame:
+    """Lines are summed by user and product before they meet the catalogue."""
     categories = products.select(F.col("id").alias("product_id"), "category")
+    bought = items.groupBy("user_id", "product_id").agg(F.sum("quantity").alias("units"))
     return (
-        items.select("user_id", "product_id", "quantity")
-        .join(categories, "product_id", "left")
+        bought.join(categories, "product_id", "left")
         .groupBy("user_id", "category")
-        .agg(F.sum("quantity").alias("qty_in_category"))
+        .agg(F.sum("units").alias("qty_in_category"))
     )
 
 
@@ -158,6 +159,22 @@ def product_performance(
     return with_audit(result, "gold", run_ts, "silver")
 
 
+def customer_spend(users: DataFrame, items: DataFrame) -> DataFrame:
+    """Name, address and total spend per user: what the customer panels show."""
+    people = users.select(F.col("id").alias("user_id"), "first_name", "last_name", "email")
+    spend = user_purchases(items).select("user_id", "total_spend")
+    return people.join(spend, "user_id", "left").fillna(0, ["total_spend"])
+
+
+def product_revenue(products: DataFrame, items: DataFrame) -> DataFrame:
+    """Category and total revenue per product."""
+    revenue = items.groupBy(F.col("product_id").alias("id")).agg(
+        exact_sum("line_discounted_total", 2).alias("total_revenue")
+    )
+    joined = products.select("id", "category").join(revenue, "id", "left")
+    return joined.select("category", F.coalesce("total_revenue", F.lit(0.0)).alias("total_revenue"))
+
+
 def pending_demand(items: DataFrame) -> DataFrame:
     return items.groupBy("product_id").agg(F.sum("quantity").alias("pending_demand"))
 
@@ -176,15 +193,33 @@ def stock_risk(
         *["title", "category", "brand", "sku", "availability_status"],
         F.col("stock").alias("current_stock"),
     )
-    stock, demand = F.col("current_stock"), F.col("pending_demand")
-    result = (
-        catalogue.join(pending_demand(items), "product_id", "left")
-        .fillna(0, ["pending_demand"])
-        .withColumns(
-            {"net_stock": stock - demand, "stock_coverage_ratio": coverage_ratio(stock, demand)}
-        )
-        .withColumn("risk_level", risk_level(F.col("net_stock"), critical, high, medium))
+    known = catalogue.join(pending_demand(items), "product_id", "left")
+    return _risk(known.fillna(0, ["pending_demand"]), run_ts, critical, high, medium)
+
+
+def stock_risk_of(
+    product_performance: DataFrame,
+    run_ts: dt.datetime | None = None,
+    critical: int = CRITICAL,
+    high: int = HIGH,
+    medium: int = MEDIUM,
+) -> DataFrame:
+    """The same table from ``product_performance``, which has summed up the lines already."""
+    known = product_performance.select(
+        *["product_id", "title", "category", "brand", "sku", "availability_status"],
+        F.col("stock").alias("current_stock"),
+        F.col("total_units_sold").alias("pending_demand"),
     )
+    return _risk(known, run_ts, critical, high, medium)
+
+
+def _risk(
+    known: DataFrame, run_ts: dt.datetime | None, critical: int, high: int, medium: int
+) -> DataFrame:
+    stock, demand = F.col("current_stock"), F.col("pending_demand")
+    result = known.withColumns(
+        {"net_stock": stock - demand, "stock_coverage_ratio": coverage_ratio(stock, demand)}
+    ).withColumn("risk_level", risk_level(F.col("net_stock"), critical, high, medium))
     return with_audit(result, "gold", run_ts, "silver")
 
 

@@ -11,17 +11,26 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.functions.tiers import DEMAND_TIERS, RISK_LEVELS
-from shoplake.operators.quality import report_frame, share_metrics, stage_metrics
+from shoplake.functions.tiers import CRITICAL, DEMAND_TIERS, HIGH, MEDIUM, RISK_LEVELS
+from shoplake.operators.quality import (
+    leaf_fields,
+    report_frame,
+    share_metrics,
+    stage_metrics,
+    written,
+)
 from shoplake.plans import gold, silver
-from shoplake.sources.bronze import read_records
+from shoplake.schemas import RECORDS
+from shoplake.sources.bronze import read_records, set_aside
 from shoplake.sources.jdbc import write_jdbc
 from shoplake.sources.tables import (
     GOLD,
     PARTITIONS,
     SILVER,
+    BUCKETS,
     USER_BUCKET,
     gather,
+    partitions_with,
     read_layer,
     save_report,
     save_table,
@@ -35,7 +44,7 @@ def _observe(df: DataFrame, metrics: list[Column]) -> tuple[DataFrame, Observati
     return df.observe(observation, *metrics), observation
 
 
-def _side_by_side(write: Callable, of: Sequence) -> list[dict[str, int]]:
+def _side_by_side(write: Callable, of: Sequence) -> list[dict]:
     """Run independent writes at the same time, so that the last tasks of one leave no cores
     idle. The first failure is raised once all have ended."""
     with ThreadPoolExecutor(len(of)) as pool:
@@ -53,14 +62,15 @@ def write_silver_table(
     """Write one silver table from raw records; returns the observed counts."""
     by = partitions[table.name]
     cleaned = table.clean(raw, as_of) if table is silver.USERS else table.clean(raw)
-    if USER_BUCKET in by:
-        cleaned = with_user_bucket(cleaned)
+    for column in by:
+        if column.startswith(USER_BUCKET):
+            cleaned = with_user_bucket(cleaned, column)
     assessed, counts = _observe(
         gather(table.assess(cleaned), by), stage_metrics(table.rules(), table.watched)
     )
-    accepted = table.accept(assessed, cleaned, run_ts)
-    save_table(accepted, table_path(root, table.name), by, gathered=True)
-    return counts.get
+    kept, rows = _observe(table.accept(assessed, cleaned, run_ts), written())
+    save_table(kept, table_path(root, table.name), by, gathered=True)
+    return counts.get | rows.get
 
 
 def write_silver(
@@ -95,7 +105,9 @@ def write_gold_table(
         df = gold.product_performance(products, items, run_ts, unique_lines=True)
         metrics = share_metrics("demand_tier", DEMAND_TIERS)
     elif name == "stock_risk":
-        df = gold.stock_risk(products, items, run_ts)
+        # Lines are summed once: performance comes from them, risk from the stored performance.
+        performance = read_layer(products.sparkSession, root, ["product_performance"])
+        df = gold.stock_risk_of(performance["product_performance"], run_ts)
         metrics = share_metrics("risk_level", RISK_LEVELS)
     else:
         raise ValueError(f"no gold table {name}")
@@ -111,12 +123,16 @@ def write_gold(
     run_ts: dt.datetime | None = None,
     partitions: Mapping[str, tuple[str, ...]] = PARTITIONS,
 ) -> dict[str, dict[str, int]]:
-    """Write the three gold tables from silver tables."""
+    """Write the three gold tables from silver tables, stock risk after product performance."""
 
-    def write(name: str) -> dict[str, int]:
-        return write_gold_table(name, tables, root, run_ts, partitions)
+    def write(*names: str) -> dict[str, dict[str, int]]:
+        return {name: write_gold_table(name, tables, root, run_ts, partitions) for name in names}
 
-    return dict(zip(GOLD, _side_by_side(write, GOLD)))
+    chains = (("customer_360",), ("product_performance", "stock_risk"))
+    counts = {}
+    for found in _side_by_side(lambda names: write(*names), chains):
+        counts |= found
+    return {name: counts[name] for name in GOLD}
 
 
 def silver_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[str, int]]:
@@ -126,6 +142,7 @@ def silver_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[
         "steps/01_after_bronze_read": summary["steps/01_after_bronze_read"],
         "steps/02_cart_summary_ready": summary["steps/04_after_quality_filters"],
         "steps/03_cart_items_ready": items["steps/04_after_quality_filters"],
+        "steps/05_written": summary["steps/05_written"] + items["steps/05_written"],
     }
     for name in ("duplicates", "failed_quality_filters", "total"):
         key = f"dropped/{name}"
@@ -134,13 +151,23 @@ def silver_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[
         for key, value in counts.items():
             if key.startswith("rejected/"):
                 carts[f"rejected/{table}.{key.removeprefix('rejected/')}"] = value
+    left_out = [f for f in leaf_fields(RECORDS["users"]) if f not in silver.USER_FIELDS.values()]
     return {
         "products_silver": dict(observed["products"]),
-        "users_silver": dict(observed["users"]),
+        "users_silver": observed["users"] | {f"removed_fields/{name}": None for name in left_out},
         "carts_silver": carts,
     }
 
 
+def gold_reports(observed: Mapping[str, Mapping[str, int]]) -> dict[str, dict[str, int]]:
+    """Counts per gold table, and the bounds that the risk levels stand for."""
+    found = {f"gold_{name}": dict(counts) for name, counts in observed.items()}
+    bounds = {"critical": CRITICAL, "high": HIGH, "medium": MEDIUM}
+    if "gold_stock_risk" in found:
+        found["gold_stock_risk"] |= {f"thresholds/{name}": value for name, value in bounds.items()}
+    return found
+
+
 def run_all(
     spark: SparkSession,
     bronze_root: str,
@@ -149,20 +176,27 @@ def run_all(
     as_of: dt.date | None = None,
     run_ts: dt.datetime | None = None,
     jdbc: Mapping[str, str] | None = None,
+    malformed: str = "fail",
+    user_buckets: int = BUCKETS,
 ) -> dict[str, dict[str, int]]:
     """Run everything in order and save the quality reports; returns their counts.
 
+    Malformed input ends the run. With ``malformed="aside"`` it goes to ``malformed/`` below
+    the raw files instead and is counted as such. Lines are stored in ``user_buckets`` folders.
     With ``jdbc`` options the gold tables are also loaded into a database, from their files.
     """
     run_ts = run_ts or dt.datetime.now(dt.UTC)
-    raw = {
-        entity: read_records(spark, f"{bronze_root.rstrip('/')}/{entity}", entity, layout)
-        for entity in ("products", "users", "carts")
-    }
-    reports = silver_reports(write_silver(raw, out_root, as_of, run_ts))
+    root = bronze_root.rstrip("/")
+    entities = ("products", "users", "carts")
+    raw = {e: read_records(spark, f"{root}/{e}", e, layout, malformed) for e in entities}
+    partitions = partitions_with(user_buckets)
+    reports = silver_reports(write_silver(raw, out_root, as_of, run_ts, partitions))
+    if malformed == "aside":
+        for entity in entities:
+            aside = set_aside(spark, f"{root}/{entity}", entity, layout, f"{root}/malformed/{entity}")
+            reports[f"{entity}_silver"]["dropped/malformed"] = aside
     tables = read_layer(spark, out_root, SILVER)
-    for name, counts in write_gold(tables, out_root, run_ts).items():
-        reports[f"gold_{name}"] = counts
+    reports |= gold_reports(write_gold(tables, out_root, run_ts, partitions))
     save_report(report_frame(spark, run_ts, reports), out_root)
     if jdbc is not None:
         for name, df in read_layer(spark, out_root, GOLD).items():

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.functions import age_on, clean, clean_lower, or_unknown, real, whole
+from shoplake.functions.numbers import in_range
 from shoplake.operators.dedup import without_copies
 from shoplake.operators.nested import explode_keeping
 from shoplake.operators.quality import accepted, assess
@@ -20,27 +21,40 @@ from shoplake.operators.rules import Rules, passing
 # Genders the user rules accept.
 GENDERS = ("male", "female", "other")
 
+# The raw product fields that go on, and the names of raw fields in clean tables.
+PRODUCT_FIELDS = [
+    "id",
+    "title",
+    "description",
+    "category",
+    "price",
+    "discountPercentage",
+    "rating",
+    "stock",
+    "brand",
+    "availabilityStatus",
+    "sku",
+    "weight",
+]
 PRODUCT_NAMES = {
     "discountPercentage": "discount_percentage",
     "availabilityStatus": "availability_status",
 }
-USER_NAMES = {
-    "firstName": "first_name",
-    "lastName": "last_name",
-    "birthDate": "birth_date",
-    "bloodGroup": "blood_group",
-    "eyeColor": "eye_color",
-}
-
-# The only raw user fields that go on, by the name they end up under.
+# The only raw user fields that go on, by the name they end up under.
 USER_FIELDS = {
-    **{
-        USER_NAMES.get(name, name): name
-        for name in (
-            "id firstName lastName age gender email phone username birthDate bloodGroup "
-            "height weight eyeColor"
-        ).split()
-    },
+    "id": "id",
+    "first_name": "firstName",
+    "last_name": "lastName",
+    "age": "age",
+    "gender": "gender",
+    "email": "email",
+    "phone": "phone",
+    "username": "username",
+    "birth_date": "birthDate",
+    "blood_group": "bloodGroup",
+    "height": "height",
+    "weight": "weight",
+    "eye_color": "eyeColor",
     "hair_color": "hair.color",
     "hair_type": "hair.type",
     "address_street": "address.address",
@@ -72,10 +86,7 @@ def with_audit(df: DataFrame, layer: str, run_ts: dt.datetime | None, source: st
 
 
 def select_products(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *"id title description category price discountPercentage rating stock brand".split(),
-        *"availabilityStatus sku weight".split(),
-    ).withColumnsRenamed(PRODUCT_NAMES)
+    return raw.select(*PRODUCT_FIELDS).withColumnsRenamed(PRODUCT_NAMES)
 
 
 def type_products(raw: DataFrame) -> DataFrame:
@@ -111,6 +122,7 @@ def product_rules() -> Rules:
         "rating_0_to_5": F.col("rating").between(0, 5),
         "stock_not_negative": F.col("stock") >= 0,
         "discount_0_to_100": F.col("discount_percentage").between(0, 100),
+        "amounts_in_range": in_range("price"),
     }
 
 
@@ -181,6 +193,7 @@ def cart_summary_rules() -> Rules:
         "user_id_present": F.col("user_id").isNotNull(),
         "total_not_negative": F.col("cart_total") >= 0,
         "has_products": F.col("total_products") > 0,
+        "amounts_in_range": in_range("cart_total", "cart_discounted_total"),
     }
 
 
@@ -220,6 +233,7 @@ def cart_item_rules() -> Rules:
         "quantity_positive": F.col("quantity") > 0,
         "price_positive": F.col("unit_price") > 0,
         "discount_0_to_100": F.col("discount_percentage").between(0, 100),
+        "amounts_in_range": in_range("unit_price", "line_total", "line_discounted_total"),
     }
 
 

@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame
 def jdbc_config(env: Mapping[str, str] | None = None) -> dict[str, str]:
     """Connection options from POSTGRES_HOST, _PORT, _DB, _USER and _PASSWORD.
 
-    There is no default password. POSTGRES_DB must be set too.
+    Only host and port have defaults.
     """
     env = os.environ if env is None else env
-    missing = [k for k in ("POSTGRES_DB", "POSTGRES_PASSWORD") if not env.get(k)]
+    needed = ("POSTGRES_DB", "POSTGRES_USER", "POSTGRES_PASSWORD")
+    missing = [k for k in needed if not env.get(k)]
     if missing:
         raise ValueError(f"not set: {', '.join(missing)}")
     host, port = env.get("POSTGRES_HOST", "localhost"), env.get("POSTGRES_PORT", "5432")
     return {
         "url": f"jdbc:postgresql://{host}:{port}/{env['POSTGRES_DB']}",
-        "user": env.get("POSTGRES_USER", "admin"),
+        "user": env["POSTGRES_USER"],
         "password": env["POSTGRES_PASSWORD"],
         "driver": "org.postgresql.Driver",
     }

@@ -8,23 +8,51 @@ from pyspark.sql import types as T
 
 from shoplake.schemas import TABLES
 
-# Partition columns per table. Lines are spread over a fixed number of user buckets: a
-# folder per user would mean as many folders as users.
-USER_BUCKET = "user_bucket"
+# Lines are spread over a fixed number of user buckets: a folder per user would mean as many
+# folders as users. The column's name holds the number, so that a reader needs no telling.
+USER_BUCKET = "user_bucket_of_"
+BUCKETS = 64
+
+
+def user_bucket(buckets: int = BUCKETS) -> str:
+    return f"{USER_BUCKET}{buckets}"
+
+
+# Partition columns per table.
 PARTITIONS = {
     "products": ("category",),
     "users": ("address_country",),
     "cart_summary": (),
-    "cart_items": (USER_BUCKET,),
+    "cart_items": (user_bucket(),),
     "customer_360": (),
     "product_performance": ("category",),
     "stock_risk": ("risk_level",),
 }
 
 
-def with_user_bucket(df: DataFrame, buckets: int = 64) -> DataFrame:
-    number = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
-    return df.withColumn(USER_BUCKET, number)
+def partitions_with(buckets: int) -> dict[str, tuple[str, ...]]:
+    return PARTITIONS | {"cart_items": (user_bucket(buckets),)}
+
+
+def bucket_of(user_id: Column, column: str) -> Column:
+    buckets = int(column.removeprefix(USER_BUCKET))
+    return F.pmod(F.xxhash64(user_id), F.lit(buckets)).cast("int")
+
+
+def with_user_bucket(df: DataFrame, column: str) -> DataFrame:
+    return df.withColumn(column, bucket_of(F.col("user_id"), column))
+
+
+def read_user_lines(spark: SparkSession, root: str, user_id: int) -> DataFrame:
+    """The stored lines of one user, from that user's bucket alone."""
+    path = table_path(root, "cart_items")
+    column = next(c for c in spark.read.parquet(path).columns if c.startswith(USER_BUCKET))
+    schema = T.StructType.fromDDL(TABLES["cart_items"])
+    stored = T.StructType([*schema, T.StructField(column, T.IntegerType())])
+    wanted = F.lit(user_id).cast("bigint")
+    found = spark.read.schema(stored).parquet(path)
+    found = found.filter((F.col(column) == bucket_of(wanted, column)) & (F.col("user_id") == wanted))
+    return found.select(*schema.names)
 
 
 def gather(df: DataFrame, by: Iterable[str | Column]) -> DataFrame:
@@ -65,21 +93,24 @@ def read_layer(spark: SparkSession, root: str, names: Iterable[str]) -> dict[str
 
 
 def register_views(
-    spark: SparkSession, root: str, names: Iterable[str] = SILVER
+    spark: SparkSession, root: str, names: Iterable[str] = SILVER, prefix: str = ""
 ) -> dict[str, DataFrame]:
-    """Make stored tables available to ``spark.sql`` under their names."""
+    """Make stored tables available to ``spark.sql`` under their names, after the prefix."""
     tables = read_layer(spark, root, names)
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(prefix + name)
     return tables
 
 
 def save_report(report: DataFrame, root: str) -> None:
-    """Append one run's metrics; each row carries its pipeline and run time."""
+    """Keep one run's metrics, in place of those of the same pipelines and run time."""
     path = f"{root.rstrip('/')}/quality_reports"
-    report.coalesce(1).write.mode("append").partitionBy("pipeline").json(path)
+    run = F.date_format("run_ts", "yyyyMMdd'T'HHmmss.SSSSSS").alias("run")
+    writer = report.select("*", run).coalesce(1).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy("pipeline", "run").json(path)
 
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
-    schema = "run_ts timestamp, section string, name string, value bigint, pipeline string"
-    return spark.read.schema(schema).json(f"{root.rstrip('/')}/quality_reports")
+    schema = """run_ts timestamp, section string, name string, value bigint, note string,
+        pipeline string, run string"""
+    return spark.read.schema(schema).json(f"{root.rstrip('/')}/quality_reports").drop("run")

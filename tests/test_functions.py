@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shoplake import functions as fn
+from shoplake.functions.numbers import in_range
+
 
 
 
@@ -80,6 +82,40 @@ def test_buckets(spark):
             fn.bucket(F.col("v"), bad)
 
 
+def test_close_and_large_bounds_have_labels_of_their_own(spark):
+    bounds = [1000000.1, 1000000.2, 1000000.3, 1e15]
+    df = spark.createDataFrame([(v,) for v in (0.0, *bounds, -1.0)], "v double")
+    found = [r[0] for r in df.select(fn.bucket(F.col("v"), bounds)).collect()]
+    assert found == [
+        "<1000000.1",
+        "1000000.1-1000000.2",
+        "1000000.2-1000000.3",
+        "1000000.3-1000000000000000",
+        "1000000000000000+",
+        "<1000000.1",
+    ]
+
+
+def test_numbers_that_are_not_finite_are_null(spark):
+    texts = ["NaN", "Infinity", "-Infinity", "1e400", "1e30", "-2.5", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r[0] for r in df.select(fn.real("t")).collect()]
+    assert found == [None, None, None, None, 1e30, -2.5, None, None]
+
+
+def test_means_count_what_they_sum(spark):
+    for odd in (float("nan"), float("inf"), 1e30):
+        df = spark.createDataFrame([(4.0,), (odd,), (None,), (6.0,)], "x double")
+        assert tuple(df.agg(fn.exact_sum("x", 2), fn.exact_mean("x", 2)).first()) == (10.0, 5.0)
+
+
+def test_amounts_in_range(spark):
+    rows = [(1.0, None), (1e15, 0.0), (0.0, -1e30), (None, None), (-9e14, 9e14)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    found = [r[0] for r in df.select(in_range("a", "b")).collect()]
+    assert found == [True, False, False, True, True]
+
+
 def test_sums_do_not_depend_on_row_order(spark):
     values = [(0.1,)] * 10 + [(1e9,), (-1e9,), (None,)]
     results = set()

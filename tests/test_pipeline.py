@@ -102,6 +102,57 @@ def test_a_second_run_replaces_the_first(spark, landed, tmp_path):
     for _ in range(2):
         pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS)
     assert read_layer(spark, out, ["customer_360"])["customer_360"].count() == 6
+    reports = read_reports(spark, out)
+    assert reports.count() == reports.distinct().count()
+
+
+def test_reports_say_what_was_written_removed_and_where_levels_end(spark, landed, tmp_path):
+    (root, layout), out = landed, str(tmp_path / "out")
+    pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS, user_buckets=3)
+    found = {(r.pipeline, r.section, r.name): r for r in read_reports(spark, out).collect()}
+    assert found["users_silver", "steps", "05_written"].value == 6
+    assert found["carts_silver", "steps", "05_written"].value == 6 + 12
+    assert found["gold_stock_risk", "thresholds", "high"].value == 5
+    removed = {name for p, section, name in found if section == "removed_fields"}
+    assert {"password", "bank.iban", "crypto"} <= removed and "email" not in removed
+    assert all(r.note for r in found.values())
+    assert (tmp_path / "out/silver/cart_items/user_bucket_of_3=0").exists()
+
+
+@pytest.mark.parametrize("layout", ["documents", "lines"])
+def test_malformed_input_ends_the_run_or_is_counted_apart(spark, samples, tmp_path, layout):
+    cart = samples["carts"]
+    for entity in ("products", "users", "carts"):
+        folder = tmp_path / "bronze" / entity
+        folder.mkdir(parents=True)
+        record = json.dumps(samples[entity])
+        (folder / "a.json").write_text(record if layout == "lines" else f'{{"{entity}": [{record}]}}')
+    many = [json.dumps(cart | {"id": 100 + i}) for i in range(3)]
+    broken = [m[:-5] for m in many] if layout == "lines" else [f'{{"carts": [{", ".join(many)}'[:-5]]
+    (tmp_path / "bronze/carts/b.json").write_text("\n".join(broken))
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    with pytest.raises(Exception, match="(?i)malformed|corrupt"):
+        pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS)
+    counts = pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS, malformed="aside")
+    carts = counts["carts_silver"]
+    assert carts["dropped/malformed"] == len(broken)
+    assert (carts["steps/01_after_bronze_read"], carts["dropped/duplicates"]) == (1, 0)
+    assert counts["products_silver"]["dropped/malformed"] == 0
+    aside = " ".join(r.value for r in spark.read.text(f"{root}/malformed/carts").collect())
+    assert all(f'"id": {100 + i}' in aside for i in range(3))
+
+
+def test_no_job_dies_of_one_amount(spark, raw, samples):
+    line = samples["line"]
+    odd = [("discountedTotal", 1e30), ("price", "NaN"), ("total", "Infinity"), ("quantity", 3)]
+    lines = [line | {"id": i, name: value} for i, (name, value) in enumerate(odd)]
+    items = silver.cart_items(raw("carts", [samples["carts"] | {"products": lines}]), RUN_TS)
+    assert sorted(r.product_id for r in items.collect()) == [2, 3]
+    assert gold.product_demand(items).count() == 2
+    (bought,) = gold.user_purchases(items).collect()
+    assert bought.total_spend == 36.0
+    kept = silver.products(raw("products", [samples["products"] | {"price": p} for p in ("NaN", 1e30)]))
+    assert kept.count() == 0
 
 
 def test_command_line(spark, samples, tmp_path, capsys):
@@ -113,15 +164,30 @@ def test_command_line(spark, samples, tmp_path, capsys):
     main(["land", "--source", source, "--bronze", root])
     main(["run", "--bronze", root, "--out", out, "--as-of", "2025-01-01"])
     capsys.readouterr()
-    main(["report", "top_spenders", "--out", out])
+    main(["report", "top_spenders", "--out", out, "--rows", "5"])
     assert "Ada Lee" in capsys.readouterr().out
-    with pytest.raises(SystemExit):
-        main(["report", "nothing", "--out", out])
+    for wrong in (["nothing", "--out", out, "--rows", "5"], ["top_spenders", "--out", out]):
+        with pytest.raises(SystemExit):
+            main(["report", *wrong])
     tables = read_layer(spark, out, SILVER)
     for name, report in REPORTS.items():
         assert report(tables).collect() is not None, name
 
 
+def test_a_report_is_written_whole(spark, samples, tmp_path):
+    products = [samples["products"] | {"id": i, "stock": 0} for i in range(1500)]
+    line = samples["line"]
+    carts = [samples["carts"] | {"id": i, "products": [line | {"id": i}]} for i in range(1500)]
+    for entity, rows in (("products", products), ("users", [samples["users"]]), ("carts", carts)):
+        folder = tmp_path / "bronze" / entity
+        folder.mkdir(parents=True)
+        (folder / "a.json").write_text("\n".join(map(json.dumps, rows)))
+    root, out, to = (str(tmp_path / name) for name in ("bronze", "out", "report"))
+    main(["run", "--bronze", root, "--out", out, "--layout", "lines", "--user-buckets", "2"])
+    main(["report", "nearly_out_of_stock", "--out", out, "--to", to])
+    assert spark.read.csv(to, header=True).select("id").distinct().count() == 1500
+
+
 def test_unknown_gold_table(spark):
     with pytest.raises(ValueError):
         pipeline.write_gold_table("nothing", {"products": None, "cart_items": None}, "/nowhere")
@@ -132,7 +198,7 @@ def test_empty_sources(spark, raw, tmp_path):
     out = str(tmp_path / "out")
     observed = pipeline.write_silver(records, out, AS_OF, RUN_TS)
     reports = pipeline.silver_reports(observed)
-    assert {v for counts in reports.values() for v in counts.values()} == {0}
+    assert {v for counts in reports.values() for v in counts.values()} == {0, None}
     tables = read_layer(spark, out, SILVER)
     for name, counts in pipeline.write_gold(tables, out, RUN_TS).items():
         assert set(counts.values()) == {0}, name

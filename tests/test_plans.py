@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from shoplake.plans import gold, reports
+from shoplake.operators import quality
+from shoplake.plans import dashboard, gold, reports
 from shoplake.sources.tables import SILVER, read_layer, save_table, table_path
 
 
@@ -131,7 +132,34 @@ def test_a_hot_product_is_split_in_the_join(tables, large_joins, rows):
     df = gold.category_quantities(items.repartition(12), products)
     total = sum(r.qty_in_category for r in df.collect())
     assert total == items.agg(F.sum("quantity")).first()[0]
-    assert "SortMergeJoin(skew=true)" in plan(df)
+    # Lines are summed by user and product below the join.
+    text = plan(df)
+    assert text.index("SortMergeJoin") < text.rindex("partial_sum(quantity")
+
+
+def test_risk_from_performance_reads_no_lines(tables):
+    performance = gold.product_performance(tables["products"], tables["cart_items"])
+    risk = gold.stock_risk_of(performance.select("*"))
+    columns = gold.stock_risk(tables["products"], tables["cart_items"]).columns
+    assert risk.columns == columns
+    theirs = gold.stock_risk(tables["products"], tables["cart_items"]).drop("gold_processed_at")
+    assert risk.drop("gold_processed_at").exceptAll(theirs).isEmpty()
+
+
+def test_customer_panels_need_no_favourite_category(tables, spark):
+    users = spark.range(500).select(
+        "id", *[F.lit("x").alias(c) for c in ("first_name", "last_name", "email")]
+    )
+    text = plan(dashboard.top_customers_panel(gold.customer_spend(users, tables["cart_items"])))
+    assert "category" not in text and "product_id" not in text
+    assert len(re.findall(r"\w+Join\b", text)) == 1
+
+
+def test_stage_counts_sort_no_structs(tables):
+    counts = quality.stage_counts(
+        tables["cart_items"], ["cart_id", "product_id"], {"sold": F.col("quantity") > 0}
+    )
+    assert "SortAggregate" not in plan(counts)
 
 
 def test_a_hot_key_is_split_before_grouping_by_something_else(tables, large_joins, spark):

@@ -1,6 +1,7 @@
 import datetime as dt
 
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from shoplake.operators import quality
 from shoplake.plans import silver
@@ -29,6 +30,7 @@ EXPECTED = {
     ("rejected", "rating_0_to_5", 0),
     ("rejected", "stock_not_negative", 1),
     ("rejected", "discount_0_to_100", 0),
+    ("rejected", "amounts_in_range", 0),
     ("nulls", "id", 1),
     ("nulls", "price", 1),
     ("nulls", "category", 1),
@@ -41,14 +43,21 @@ def test_counts_by_query_and_by_observation(raw, samples, tmp_path, spark):
     metrics = quality.stage_metrics(table.rules(), table.watched)
     found = {tuple(r) for r in quality.as_rows(assessed.agg(*metrics)).collect()}
     assert found == EXPECTED
+    cleaned = silver.clean_products(raw("products", product_changes(samples)))
+    counts = quality.stage_counts(cleaned, table.keys, table.rules(), table.watched)
+    assert {tuple(r) for r in quality.as_rows(counts).collect()} == EXPECTED
 
     seen = Observation()
     assessed.observe(seen, *metrics).write.format("noop").mode("overwrite").save()
     report = quality.report_frame(spark, RUN_TS, {"products_silver": seen.get})
     save_report(report, str(tmp_path))
-    save_report(report.limit(1), str(tmp_path))
+    save_report(report, str(tmp_path))
     stored = read_reports(spark, str(tmp_path))
-    assert stored.count() == len(EXPECTED) + 1
+    assert stored.count() == len(EXPECTED)
+    assert all(r.note for r in stored.collect())
+    later = report.withColumn("run_ts", F.lit(RUN_TS + dt.timedelta(microseconds=1)))
+    save_report(later, str(tmp_path))
+    assert read_reports(spark, str(tmp_path)).count() == 2 * len(EXPECTED)
     assert {tuple(r) for r in stored.select("section", "name", "value").collect()} == EXPECTED
     assert stored.select("pipeline", "run_ts").distinct().collect() == [
         ("products_silver", RUN_TS)

@@ -11,11 +11,13 @@ from shoplake.sources import bronze
 from shoplake.sources.jdbc import jdbc_config, write_jdbc
 from shoplake.sources.session import scratch_dir
 from shoplake.sources.tables import (
-    PARTITIONS,
     read_table,
     register_views,
     save_table,
     table_path,
+    partitions_with,
+    read_user_lines,
+    user_bucket,
     with_user_bucket,
 )
 
@@ -45,8 +47,8 @@ def test_documents_in_several_files(spark, tmp_path, samples):
 
 def test_numbers_and_text_mix(raw, samples):
     records = [samples["products"] | {"id": i} for i in (1, "2", 3.0, "x", None)]
-    found = [r.id for r in raw("products", records).select("id").collect()]
-    assert found == ["1", "2", "3.0", "x", None]
+    found = {r.id for r in raw("products", records).select("id").collect()}
+    assert found == {"1", "2", "3.0", "x", None}
 
 
 def test_unknown_layout(spark):
@@ -106,7 +108,36 @@ def test_malformed_lines_are_counted(spark, tmp_path, samples):
     with pytest.raises(ValueError):
         bronze.copy_raw(spark, source, target, "products", "csv")
     with pytest.raises(Exception, match="(?i)malformed|corrupt"):
-        bronze.read_records(spark, source, "products", "lines", mode="FAILFAST").collect()
+        bronze.read_records(spark, source, "products", "lines").collect()
+    with pytest.raises(ValueError):
+        bronze.read_records(spark, source, "products", "lines", "skip")
+
+
+@pytest.mark.parametrize("layout", bronze.LAYOUTS)
+def test_malformed_input_stops_the_read_or_is_set_aside(spark, tmp_path, samples, layout):
+    cart = json.dumps(samples["carts"])
+    if layout == "lines":
+        put(tmp_path / "in", "a.json", f"{cart}\n{cart[:-9]}\n{cart}\n{{")
+    else:
+        put(tmp_path / "in", "a.json", f'{{"carts": [{cart}, {cart}]}}')
+        put(tmp_path / "in", "b.json", f'{{"carts": [{", ".join([cart] * 48)}'[:-20])
+        put(tmp_path / "in", "c.json", "{")
+    source, target = str(tmp_path / "in"), str(tmp_path / "aside")
+    with pytest.raises(Exception, match="(?i)malformed|corrupt"):
+        bronze.read_records(spark, source, "carts", layout).collect()
+    read = bronze.read_records(spark, source, "carts", layout, "aside")
+    assert read.count() == 2 and "_corrupt_record" not in read.columns
+    assert {r.id for r in read.collect()} == {"1"}
+    assert bronze.set_aside(spark, source, "carts", layout, target) == 2
+    kept = " ".join(r.value for r in spark.read.text(target).collect())
+    assert kept.count("discountedTotal") > 1
+    landed = bronze.land(spark, {"carts": source}, str(tmp_path / "bronze"), layout, RUN_TS).first()
+    assert (landed.status, landed.record_count, landed.malformed_count) == ("malformed", 2, 2)
+
+
+def test_records_of_documents_are_spread(spark, raw, samples):
+    found = raw("products", [samples["products"] | {"id": i} for i in range(9)])
+    assert "REBALANCE_PARTITIONS_BY_NONE" in found._jdf.queryExecution().toString()
 
 
 def test_a_failed_landing_is_recorded_and_raised(spark, tmp_path, samples):
@@ -212,20 +243,37 @@ def items(spark):
 def test_lines_by_bucket_or_by_user(spark, tmp_path, rows):
     df, columns = items(spark), ["cart_id", "user_id", "unit_price", "source_layer"]
     for name, frame, by in (
-        ("bucket", with_user_bucket(df, 4), PARTITIONS["cart_items"]),
+        ("bucket", with_user_bucket(df, user_bucket(4)), [user_bucket(4)]),
         ("user", df, ["user_id"]),
     ):
         path = str(tmp_path / name)
         save_table(frame, path, by)
         found = read_table(spark, path, "cart_items")
-        assert "user_bucket" not in found.columns
+        assert sorted(found.columns) == sorted(df.columns)
         assert rows(found, *columns) == rows(df, *columns)
     assert len(folders(str(tmp_path / "bucket"))) <= 5
     assert len(folders(str(tmp_path / "user"))) == 10
 
 
+@pytest.mark.parametrize("buckets", [1, 5])
+def test_lines_of_a_user_come_from_one_bucket(spark, tmp_path, rows, buckets):
+    df = items(spark)
+    path = table_path(str(tmp_path), "cart_items")
+    by = partitions_with(buckets)["cart_items"]
+    save_table(with_user_bucket(df, *by), path, by)
+    found = read_user_lines(spark, str(tmp_path), 7)
+    assert sorted(found.columns) == sorted(df.columns)
+    assert rows(found, "cart_id") == [(i,) for i in range(7, 100, 10)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({by[0]}" in plan
+    assert read_user_lines(spark, str(tmp_path), 10**9).count() == 0
+
+
 def test_views_answer_sql(spark, tmp_path, rows):
     save_table(items(spark), table_path(str(tmp_path), "cart_items"), [])
+    spark.range(1).createOrReplaceTempView("cart_items")
+    register_views(spark, str(tmp_path), ["cart_items"], "my_")
+    assert spark.table("cart_items").columns == ["id"] and spark.table("my_cart_items").count() == 100
     register_views(spark, str(tmp_path), ["cart_items"])
     found = spark.sql(
         "select user_id, sum(quantity) as units from cart_items group by user_id having units > 5"
@@ -243,13 +291,13 @@ def test_scratch_folder_is_the_shared_one(spark):
 
 # --- database ---------------------------------------------------------------------------
 
-ENV = {"POSTGRES_DB": "shop", "POSTGRES_PASSWORD": "p"}
+ENV = {"POSTGRES_DB": "shop", "POSTGRES_USER": "me", "POSTGRES_PASSWORD": "p"}
 
 
 def test_jdbc_config():
     assert jdbc_config(ENV) == {
         "url": "jdbc:postgresql://localhost:5432/shop",
-        "user": "admin",
+        "user": "me",
         "password": "p",
         "driver": "org.postgresql.Driver",
     }
