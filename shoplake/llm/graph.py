@@ -9,24 +9,21 @@ from shoplake.llm.common import cut
 def components(edges: DataFrame) -> DataFrame:
     """``node, component``: the smallest node that can be reached, for every node of ``a, b``.
 
-    Each round a node, and the node it points to, take the smallest grandparent among their
-    neighbours, so distances halve and the rounds grow with the logarithm of a component's
-    diameter. Only minima are gathered per node, never its neighbours.
+    Each round a node takes the smallest label among its neighbours', and then the label of
+    the node that its label names, so what a label spans about doubles. Only minima are
+    gathered per node, never its neighbours.
     """
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = cut(both.where("a <> b"))
-    parent = cut(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("up")))
+    turned = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    both = cut(edges.select("a", "b").unionByName(turned).where("a <> b"))
+    label = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    label = cut(label.select("node", F.least("node", "least").alias("component")))
     while True:
-        above = parent.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        far = cut(parent.join(above, "up").select("node", "up", "top"))
-        near = far.select(F.col("node").alias("b"), F.col("top").alias("found"))
-        offers = both.join(near, "b").groupBy("a").agg(F.min("found").alias("found"))
-        offers = cut(offers.select(F.col("a").alias("node"), "found"))
-        to_parent = far.join(offers, "node").select(F.col("up").alias("node"), "found")
-        own = far.select("node", F.col("top").alias("found"))
-        best = offers.unionByName(to_parent).unionByName(own).groupBy("node").agg(F.min("found").alias("found"))
-        moved = cut(parent.join(best, "node").select("node", "up", F.least("up", "found").alias("new")))
-        changed = not moved.where("new <> up").isEmpty()
-        parent = moved.select("node", F.col("new").alias("up"))
-        if not changed:
-            return parent.select("node", F.col("up").alias("component"))
+        near = label.select(F.col("node").alias("b"), F.col("component").alias("found"))
+        offered = both.join(near, "b").groupBy(F.col("a").alias("node")).agg(F.min("found").alias("found"))
+        taken = label.join(offered, "node")
+        taken = cut(taken.select("node", "component", F.least("component", "found").alias("next")))
+        named = taken.select(F.col("node").alias("next"), F.col("next").alias("far"))
+        moved = cut(taken.join(named, "next").select("node", "component", "far"))
+        label = moved.select("node", F.col("far").alias("component"))
+        if moved.where("far <> component").isEmpty():
+            return label

@@ -9,11 +9,13 @@ misses all buckets with probability (1 - s^ROWS)^BANDS, 1.3e-7 at 0.8.
 Documents with the same set are one class, with its smallest id. Links are sought in three
 steps, so that a bucket of m near copies takes some m comparisons, and no pairs within a group
 are listed:
-1. every class with the smallest class it meets anywhere;
-2. with the smallest class of each of its buckets;
-3. with every class of its buckets.
-Steps 2 and 3 leave out pairs that the links found so far already connect, and all steps those
-whose sizes rule a link out. Each pair is confirmed on the two full sets.
+1. every class with the busiest class it meets anywhere (the one that meets most others);
+2. with the busiest class of each of its buckets;
+3. where that leaves more than one component in a bucket: with all classes that have the same
+   busiest class (in blocks of ``BLOCK`` by ``BLOCK``, each compared within a task, which
+   returns links only), and with classes of another one in the same bucket.
+Steps 2 and 3 leave out pairs that the links found so far already connect, and sizes that rule
+a link out. Each pair is confirmed on the two full sets.
 """
 
 import hashlib
@@ -29,7 +31,8 @@ from shoplake.llm.graph import components
 from shoplake.llm.rolling import Joined
 
 ROWS, BANDS = 5, 40
-STEP = 1 << 21  # characters of text at a time, about
+BLOCK = 512  # classes
+STEP = 1 << 21  # bytes of text at a time, about
 
 SIGNED = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>"
 SETS = "doc_id bigint, shingles array<bigint>"
@@ -87,9 +90,9 @@ def digest(hashes: np.ndarray) -> bytes:
 def signed(size: int, per_band: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in slices(texts, STEP):
-                sets = shingled(texts[part], size)
+            ids = batch.column(0)
+            for part, texts in slices(batch.column(1), STEP):
+                sets = shingled(texts, size)
                 full = [s for s in sets if len(s)]
                 keys = iter(banded(signatures(full, per_band * bands), per_band) if full else ())
                 yield pa.RecordBatch.from_arrays(
@@ -111,10 +114,10 @@ def as_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, bytes]] = set()
         for batch in batches:
-            ids, texts, keys = (batch.column(i).to_pylist() for i in range(3))
-            for part in slices(texts, STEP):
+            ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            for part, texts in slices(batch.column(1), STEP):
                 found: dict[tuple[int, bytes], np.ndarray] = {}
-                for doc_id, key, hashes in zip(ids[part], keys[part], shingled(texts[part], size)):
+                for doc_id, key, hashes in zip(ids[part], keys[part], shingled(texts, size)):
                     if digest(hashes) == key and (doc_id, key) not in seen:
                         found[doc_id, key] = hashes.view(np.int64)
                 seen.update(found)
@@ -139,6 +142,57 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return measured.where(100 * F.col("i") >= percent * F.col("u")).select("a", "b")
 
 
+def linked_in_block(percent: int):
+    """Links of the probes of a block to its targets, one for each component they lead to."""
+
+    def run(block: pa.Table) -> pa.Table:
+        classes, parts = (block.column(n).to_numpy() for n in ("class", "component"))
+        probing = block.column("probe").to_numpy(zero_copy_only=False)
+        sets = block.column("shingles").combine_chunks()
+        ends, tokens = sets.offsets.to_numpy(), sets.values.to_numpy()
+        sizes = np.diff(ends)
+        targets = np.flatnonzero(~probing)
+        owner = np.repeat(np.arange(len(targets)), sizes[targets])
+        pool = np.concatenate([tokens[ends[t] : ends[t + 1]] for t in targets] or [tokens[:0]])
+        order = np.argsort(pool, kind="stable")
+        pool, owner = pool[order], owner[order]
+        links = []
+        for p in np.flatnonzero(probing):
+            own = tokens[ends[p] : ends[p + 1]]
+            low, high = np.searchsorted(pool, own, "left"), np.searchsorted(pool, own, "right")
+            many = high - low
+            at = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            common = np.bincount(owner[at], minlength=len(targets))
+            either = sizes[p] + sizes[targets] - common
+            near = targets[(100 * common >= percent * either) & (parts[targets] != parts[p])]
+            _, one = np.unique(parts[near], return_index=True)
+            links += [(int(classes[near[i]]), int(classes[p])) for i in one]
+        a, b = zip(*links) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def linked_by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between ``class, component, hub, hub_component`` of the same hub.
+
+    Of two classes in different components one at least is not in the hub's, so only those
+    are probes; they meet all others of their hub.
+    """
+    sizes = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    shingles = sets.select(F.col("doc_id").alias("class"), "shingles")
+    each = members.join(sizes, "hub").join(shingles, "class")
+    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    probe = F.col("component") != F.col("hub_component")
+    columns = ["hub", "class", "component", "shingles"]
+    probes = each.where(probe).select(*columns, own.alias("i"), other.alias("j"))
+    targets = each.select(*columns, own.alias("j"), other.alias("i"))
+    both = probes.withColumn("probe", F.lit(True)).unionByName(targets.withColumn("probe", F.lit(False)))
+    blocks = both.groupBy("hub", "i", "j")
+    return blocks.applyInArrow(linked_in_block(percent), "a bigint, b bigint")
+
+
 def near_groups(
     docs: DataFrame,
     shingle: int = 5,
@@ -158,7 +212,8 @@ def near_groups(
     count as one. A null id is linked with nothing, has a null component and is kept. Other
     columns play no part. No rows in, no rows out.
     """
-    given = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    doc_id, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
+    given = docs.select(doc_id.alias("doc_id"), text.alias("text"))
     read = stored(given.mapInArrow(signed(shingle, rows, bands), SIGNED))
     linkable = read.where("doc_id is not null and n_shingles > 0")
     classes = linkable.groupBy("key").agg(
@@ -166,42 +221,54 @@ def near_groups(
     )
     classes = stored(classes)
     buckets = classes.select(F.explode("bands").alias("bucket"), "class", "n")
-    shared = buckets.groupBy("bucket").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("m"))
-    shared = shared.where("m > 1").select("bucket", "least")
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = stored(buckets.join(shared, "bucket"))
+    busy = met.groupBy("class").agg(F.sum("m").alias("meets"))
+    ranked = met.select("bucket", "class", "n").join(busy, "class")
+    hub = F.max(F.struct("meets", (-F.col("class")).alias("least"))).alias("hub")
+    hubs = ranked.groupBy("bucket").agg(hub).select("bucket", "hub.meets", (-F.col("hub.least")).alias("a"))
+    starred = cut(
+        ranked.select("bucket", F.col("class").alias("b")).join(hubs, "bucket").where("a <> b")
+        .groupBy("a", "b").agg(F.max("meets").alias("meets"))
+    )
 
     wanted = classes.join(met.select("class").distinct(), "class", "left_semi")
     wanted = wanted.select(F.col("class").alias("doc_id"), "key")
     texts = given.join(wanted, "doc_id").select("doc_id", "text", "key")
     sets = stored(texts.mapInArrow(as_sets(shingle), SETS))
 
-    smallest = met.where("class <> least").groupBy(F.col("class").alias("b")).agg(F.min("least").alias("a"))
-    links = cut(confirmed(smallest, sets, percent))
-    found = components(links)
-
-    def apart(pairs: DataFrame, known: DataFrame) -> DataFrame:
-        """Those of the pairs that the links found so far don't connect."""
-        first = known.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        second = known.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-        marked = pairs.join(first, "a", "left").join(second, "b", "left")
-        return marked.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+    first = starred.groupBy("b").agg(F.max(F.struct("meets", (-F.col("a")).alias("a"))).alias("hub"))
+    links = cut(confirmed(first.select((-F.col("hub.a")).alias("a"), "b"), sets, percent))
 
-    stars = met.where("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
-    more = cut(confirmed(apart(stars, found), sets, percent))
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        found = components(links)
+    # Pairs that go to the same first hub, or to each other, are connected already.
+    one = links.select(F.col("a").alias("ha"), F.col("b").alias("a"))
+    two = links.select(F.col("a").alias("hb"), "b")
+    pairs = starred.select("a", "b").join(one, "a", "left").join(two, "b", "left")
+    pairs = pairs.where(F.coalesce("ha", "a") != F.coalesce("hb", "b")).where("hb is null or hb <> a")
+    more = cut(confirmed(pairs.select("a", "b"), sets, percent))
+    links = links.unionByName(more)
+    found = components(links)
 
-    # Buckets in which more than one component is left.
+    # Classes of buckets in which more than one component is left.
     known = found.select(F.col("node").alias("class"), "component")
-    members = met.select("bucket", "class", "n").join(known, "class", "left")
-    members = members.withColumn("component", F.coalesce("component", "class"))
-    open_ = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-    members = cut(members.join(open_.where("x <> y").select("bucket"), "bucket", "left_semi"))
-    other = members.select("bucket", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    close = (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb")) & (F.col("component") < F.col("cb"))
-    rest = members.join(other, "bucket").where(close).select(F.col("class").alias("a"), "b").distinct()
-    last = cut(confirmed(rest, sets, percent))
+    hub_of = first.select(F.col("b").alias("class"), (-F.col("hub.a")).alias("hub"))
+    members = met.select("bucket", "class", "n")
+    members = members.join(known, "class", "left").join(hub_of, "class", "left").withColumns(
+        {"component": F.coalesce("component", "class"), "hub": F.coalesce("hub", "class")}
+    )
+    mixed_ = members.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    open_ = cut(members.join(mixed_.where("x <> y").select("bucket"), "bucket", "left_semi"))
+    of_hub = known.select(F.col("class").alias("hub"), F.col("component").alias("hub_component"))
+    single = open_.select("class", "component", "hub").distinct().join(of_hub, "hub", "left")
+    single = single.withColumn("hub_component", F.coalesce("hub_component", "hub"))
+    blocked = linked_by_blocks(single, sets, percent)
+    other = open_.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("class", "n", "component", "hub")])
+    close = (100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")) & (
+        (F.col("component") < F.col("component_")) & (F.col("hub") != F.col("hub_"))
+    )
+    rest = open_.join(other, "bucket").where(close)
+    rest = rest.select(F.col("class").alias("a"), F.col("class_").alias("b")).distinct()
+    last = cut(confirmed(rest, sets, percent).unionByName(blocked))
     if not last.isEmpty():
         found = components(links.unionByName(last))
 
@@ -217,7 +284,13 @@ def near_groups(
     )
 
 
-def drop_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    shingle: int = 5,
+    percent: int = 80,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """The documents that stay, with all their columns: the smallest id of each component."""
     groups = near_groups(docs, shingle, percent, id_col=id_col, text_col=text_col)
     gone = groups.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
