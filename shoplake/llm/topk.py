@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import cut, tasks
 
 SHARD = 100_000  # vectors in a shard, about
-LEAF = 64
+LEAF = 512
 SCALE = 256
 EXACT = float(2**53)  # doubles below are exact integers
 LONG = 2**63
@@ -29,66 +29,82 @@ FOUND = "query_id bigint, vec_id bigint, score bigint"
 
 
 class Tree:
-    """Points of one dimension with their ids; boxes and children by node."""
+    """Points of one dimension with their ids, in the order of the leaves; boxes and children
+    by node. A leaf is a range of points, with ids ascending."""
 
     def __init__(self, ids: np.ndarray, points: np.ndarray):
-        self.ids, self.points = ids, points
-        self.low, self.high, self.children, self.rows = [], [], [], []
-        todo = [(np.arange(len(ids)), None)]
+        low, high, order = [], [], []
+        self.children: list[list[int]] = []
+        self.leaf: list[slice | None] = []
+        todo, placed = [(np.arange(len(ids)), None)], 0
         while todo:
             rows, parent = todo.pop()
-            node = len(self.rows)
+            node = len(self.leaf)
             if parent is not None:
                 self.children[parent].append(node)
-            low, high = points[rows].min(axis=0), points[rows].max(axis=0)
-            self.low.append(low)
-            self.high.append(high)
+            own = points[rows]
+            low.append(own.min(axis=0))
+            high.append(own.max(axis=0))
             self.children.append([])
-            width = high - low
+            width = high[-1] - low[-1]
             if len(rows) <= LEAF or not width.size or width.max() <= 0:
-                self.rows.append(np.sort(rows))
+                self.leaf.append(slice(placed, placed + len(rows)))
+                order.append(np.sort(rows))
+                placed += len(rows)
                 continue
-            self.rows.append(None)
-            values = points[rows, width.argmax()]
+            self.leaf.append(None)
+            values = own[:, width.argmax()]
             middle = np.median(values)
             below = values < middle if middle == values.max() else values <= middle
             todo += [(rows[below], node), (rows[~below], node)]
-        self.low, self.high = np.array(self.low), np.array(self.high)
+        self.low, self.high = np.array(low), np.array(high)
+        order = np.concatenate(order)
+        self.ids, self.points = ids[order], points[order]
         self.largest = np.abs(points).max(initial=0)
 
-    def scores(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        if np.abs(query).max(initial=0) * self.largest * max(1, len(query)) < EXACT:
-            return (self.points[rows] @ query).astype(np.int64)
+    def scores(self, query: np.ndarray, leaf: slice, exact: bool) -> np.ndarray:
+        if exact:
+            return self.points[leaf] @ query
         ints = [int(x) for x in query]
-        sums = [sum(int(a) * b for a, b in zip(self.points[r], ints)) for r in rows]
+        sums = [sum(int(a) * b for a, b in zip(row, ints)) for row in self.points[leaf]]
         return np.array([min(max(s, -LONG), LONG - 1) for s in sums], dtype=np.int64)
 
     def search(self, own: int, query: np.ndarray, k: int, floor: int | None) -> list[tuple[int, int]]:
         """Up to k (score, -id), best first, of which none is below ``floor``."""
+        exact = np.abs(query).max(initial=0) * self.largest * max(1, len(query)) < EXACT
         bound = self.high @ np.maximum(query, 0) + self.low @ np.minimum(query, 0)
-        # Beyond exact doubles a bound may be rounded: leave room for it.
-        bound = bound + np.abs(bound) * 1e-9 if np.abs(bound).max(initial=0) >= EXACT else bound
+        if not exact:  # such bounds may be rounded: leave room for it
+            bound = bound + np.abs(bound) * 1e-9
+        bound = bound.tolist()
+        limit = -LONG if floor is None else floor
         best: list[tuple[int, int]] = []  # a heap, the worst on top
         queue = [(-bound[0], 0)]
         while queue:
-            limit = max(best[0][0] if len(best) == k else -LONG, -LONG if floor is None else floor)
             most, node = heapq.heappop(queue)
             if -most < limit:
                 break
-            rows = self.rows[node]
-            if rows is None:
+            leaf = self.leaf[node]
+            if leaf is None:
                 for child in self.children[node]:
                     if bound[child] >= limit:
                         heapq.heappush(queue, (-bound[child], child))
                 continue
-            scores = self.scores(query, rows)
-            order = np.flatnonzero((scores >= limit) & (self.ids[rows] != own))
-            for i in order[np.lexsort((self.ids[rows[order]], -scores[order]))][:k]:
-                found = (int(scores[i]), -int(self.ids[rows[i]]))
+            scores = self.scores(query, leaf, exact)
+            good = np.flatnonzero(scores >= limit)
+            if not len(good):
+                continue
+            # Ids ascend, so a stable sort puts the smaller of equal scores first.
+            good = good[np.argsort(-scores[good], kind="stable")][: k + 1]
+            for score, vec_id in zip(scores[good].tolist(), self.ids[leaf][good].tolist()):
+                found = (int(score), -vec_id)
+                if vec_id == own:
+                    continue
                 if len(best) < k:
                     heapq.heappush(best, found)
                 elif found > best[0]:
                     heapq.heapreplace(best, found)
+            if len(best) == k:
+                limit = max(limit, best[0][0])
         return sorted(best, reverse=True)
 
 
