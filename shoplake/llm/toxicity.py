@@ -10,6 +10,7 @@ all four parts. They are scored where they lie; nothing but the model moves.
 
 import math
 import re
+import string
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ NAMES = [
     "disguised_hits", "mixed_words", "length", "word_length",
 ]
 
-EDGES = re.compile(r"^[\W_]+|[\W_]+$")
+EDGES = string.punctuation + "«»„“”‘’…–—¡¿"
 INNER = re.compile(r"[\W_]+")
 LONG_RUN = re.compile(r"(.)\1{2,}")
 CAPITALS = bytes(range(65, 91))
@@ -50,7 +51,7 @@ MARKS = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
 def plain(word: str) -> str:
-    return EDGES.sub("", word).lower()
+    return word.strip(EDGES).lower()
 
 
 def undisguised(word: str) -> str:
@@ -71,18 +72,23 @@ class Codes(dict):
         self.lexicon = lexicon
 
     def weight(self, word: str) -> float:
-        return max((self.lexicon.get(s, 0.0) for s in stems(word)), default=0.0)
+        # As over ``stems``, without making a list for each new word.
+        known = self.lexicon.get
+        best = known("=" + word, 0.0)
+        for n in (4, 5, 6):
+            if len(word) > n:
+                best = max(best, known(word[:n], 0.0))
+        return best
 
     def __missing__(self, raw: str) -> int:
         word = plain(raw)
+        letters = word.isalpha()
         weight, disguised = self.weight(word), 0
-        if not weight:
-            other = undisguised(raw)
-            if other != word:
-                weight = self.weight(other)
-                disguised = 4 if weight else 0
+        if not weight and (not letters or LONG_RUN.search(word)):
+            weight = self.weight(undisguised(raw))
+            disguised = 4 if weight else 0
         shouted = 2 if len(word) > 2 and raw.isupper() else 0
-        mixed = 8 if not word.isalpha() and any(c.isalpha() for c in word) else 0
+        mixed = 8 if not letters and any(c.isalpha() for c in word) else 0
         code = (word in SECOND_PERSON) | shouted | disguised | mixed | int(weight * 64) << 4
         if len(self) >= 400_000:
             self.clear()
