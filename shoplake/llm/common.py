@@ -3,6 +3,8 @@
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +51,16 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
-def slices(texts: list[str | None], step: int) -> Iterator[slice]:
-    """Texts in turn, about ``step`` characters at a time; a longer one comes alone."""
+def slices(texts: pa.Array, step: int) -> Iterator[tuple[slice, list[str | None]]]:
+    """Texts in turn, about ``step`` bytes at a time; a longer one comes alone."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
     at = 0
-    while at < len(texts):
+    while at < len(sizes):
         stop, size = at, 0
-        while stop < len(texts) and (stop == at or size + len(texts[stop] or "") <= step):
-            size += len(texts[stop] or "")
+        while stop < len(sizes) and (stop == at or size + sizes[stop] <= step):
+            size += sizes[stop]
             stop += 1
-        yield slice(at, stop)
+        yield slice(at, stop), texts[at:stop].to_pylist()
         at = stop
 
 

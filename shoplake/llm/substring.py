@@ -26,8 +26,8 @@ from shoplake.llm.common import mixed, slices, stored, tasks, words
 from shoplake.llm.rolling import Joined
 
 MMER = 2
-STEP = 1 << 22  # characters of text at a time, about
-BUCKET = 300_000  # super-k-mers
+STEP = 3 << 20  # bytes of text at a time, about
+BUCKET = 100_000  # super-k-mers
 LOCAL = 2000  # a minimiser is counted in a chunk if it has this share there: 1 / LOCAL
 
 CUTS = "bucket int, doc_id bigint, key bigint, data binary"
@@ -89,19 +89,23 @@ def repeated(hashes: np.ndarray, rank: np.ndarray, text) -> np.ndarray:
     return found
 
 
-def packed(*parts: np.ndarray | bytes) -> bytes:
-    raw = [p if isinstance(p, bytes) else p.astype(np.int64).tobytes() for p in parts]
-    whole = struct.pack(f"<{len(raw)}q", *map(len, raw)) + b"".join(raw)
-    return zstandard.ZstdCompressor(level=1).compress(whole)
+# Of each super-k-mer: its document, the checksum of the text, first word and windows.
+KINDS = [np.dtype(k) for k in ("<i8", "<u4", "<i4", "<i4")]
 
 
-def unpacked(data: bytes, parts: int) -> list[bytes]:
+def packed(text: bytes, *numbers: np.ndarray) -> bytes:
+    columns = [n.astype(kind).tobytes() for n, kind in zip(numbers, KINDS)]
+    whole = struct.pack("<q", len(numbers[0])) + b"".join(columns) + text
+    return zstandard.ZstdCompressor(level=3).compress(whole)
+
+
+def unpacked(data: bytes) -> tuple[bytes, list[np.ndarray]]:
     whole = zstandard.ZstdDecompressor().decompress(data)
-    at, found = 8 * parts, []
-    for size in struct.unpack_from(f"<{parts}q", whole):
-        found.append(whole[at : at + size])
-        at += size
-    return found
+    (n,), at, numbers = struct.unpack_from("<q", whole), 8, []
+    for kind in KINDS:
+        numbers.append(np.frombuffer(whole, dtype=kind, count=n, offset=at).astype(np.int64))
+        at += n * kind.itemsize
+    return whole[at:], numbers
 
 
 def spans_by_document(doc_id: np.ndarray, key: np.ndarray, place: np.ndarray) -> Iterator[tuple]:
@@ -112,7 +116,8 @@ def spans_by_document(doc_id: np.ndarray, key: np.ndarray, place: np.ndarray) ->
     doc_id, key, place = doc_id[order], key[order], place[order]
     fresh = np.concatenate([[True], (doc_id[1:] != doc_id[:-1]) | (key[1:] != key[:-1])])
     begins = np.flatnonzero(fresh | np.concatenate([[True], place[1:] > place[:-1] + 1]))
-    pairs = np.stack([place[begins], place[np.append(begins[1:], len(place)) - 1] - place[begins] + 1], axis=1)
+    last = place[np.append(begins[1:], len(place)) - 1]
+    pairs = np.stack([place[begins], last - place[begins] + 1], axis=1)
     first = np.flatnonzero(fresh[begins])
     for a, b in zip(first, np.append(first[1:], len(begins))):
         yield int(doc_id[begins[a]]), int(key[begins[a]]), pairs[a:b].astype(np.int64).tobytes()
@@ -123,9 +128,8 @@ def counted(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for part in slices(texts, STEP):
-                chunk = Chunk(texts[part], size)
+            for _, texts in slices(batch.column(0), STEP):
+                chunk = Chunk(texts, size)
                 none = np.zeros(len(chunk.starts), dtype=bool)
                 own = chunk.minimiser[run_starts(chunk.starts, chunk.minimiser, none)]
                 values, counts = np.unique(own, return_counts=True)
@@ -148,9 +152,8 @@ def cut_up(size: int, buckets: int, hot: list[int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (batch.column(i).to_numpy() for i in (0, 1))
-            texts = batch.column(2).to_pylist()
-            for part in slices(texts, STEP):
-                rows = list(cut_chunk(ids[part], keys[part], texts[part]))
+            for part, texts in slices(batch.column(2), STEP):
+                rows = list(cut_chunk(ids[part], keys[part], texts))
                 columns = zip(*rows) if rows else [()] * 4
                 kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
@@ -185,10 +188,11 @@ def cut_up(size: int, buckets: int, hot: list[int]):
         begins, ends, bucket = begins[order], ends[order], bucket[order]
         docs, place = joined.text[starts[begins]], joined.place[starts[begins]]
         low, high = joined.first[starts[begins]], joined.last[starts[ends - 1] + size - 1]
-        cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)]), len(bucket))
+        fresh = np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)]
+        cuts = np.append(np.flatnonzero(fresh), len(bucket))
         for a, b in zip(cuts[:-1], cuts[1:]):
             text = b" ".join([buffer[x:y] for x, y in zip(low[a:b].tolist(), high[a:b].tolist())])
-            data = packed(ids[docs[a:b]], keys[docs[a:b]], place[a:b], (ends - begins)[a:b], text)
+            data = packed(text, ids[docs[a:b]], keys[docs[a:b]], place[a:b], (ends - begins)[a:b])
             yield int(bucket[a]), None, None, data
 
     return run
@@ -204,23 +208,27 @@ def matched(size: int):
             yield settled.select(["doc_id", "key", "data"])
             waiting = batch.filter(batch.column("doc_id").is_null())
             for data in waiting.column("data"):
-                *numbers, text = unpacked(data.as_py(), 5)
-                ids, keys, place, count = (np.frombuffer(n, dtype=np.int64) for n in numbers)
+                text, (ids, keys, place, count) = unpacked(data.as_py())
                 joined = Joined(text, count + size - 1)
                 starts = joined.windows(size)
                 own = joined.text[starts]
                 parts.append(
                     (
-                        joined.hashes(starts, size), ids[own], keys[own], place[own] + joined.place[starts],
-                        np.full(len(starts), len(buffers)), joined.first[starts], joined.last[starts + size - 1],
+                        joined.hashes(starts, size),
+                        ids[own],
+                        keys[own],
+                        place[own] + joined.place[starts],
+                        np.full(len(starts), len(buffers), dtype=np.int32),
+                        joined.first[starts],
+                        (joined.last[starts + size - 1] - joined.first[starts]).astype(np.int32),
                     )
                 )
                 buffers.append(text)
         if not parts:
             return
-        hashes, ids, keys, place, source, first, last = map(np.concatenate, zip(*parts))
-        del parts
-        found = repeated(hashes, ids, lambda i: buffers[source[i]][first[i] : last[i]])
+        hashes, ids, keys, place, source, first, length = map(np.concatenate, zip(*parts))
+        parts.clear()
+        found = repeated(hashes, ids, lambda i: buffers[source[i]][first[i] : first[i] + length[i]])
         rows = list(spans_by_document(ids[found], keys[found], place[found]))
         if rows:
             kinds = (pa.int64(), pa.int64(), pa.binary())
@@ -267,7 +275,7 @@ def without_repeats(
     ``size`` words covers it whose words also start in a document with a smaller id; windows
     are judged on the input. ``kept`` has the other words, one space between. Null and empty
     texts have no words. A null id is larger than any other, and two null ids are equal. Rows
-    that repeat an id take nothing from each other. Other columns play no part. No rows in,
+    that repeat an id take nothing from each other, and are told apart by a checksum. Other columns play no part. No rows in,
     no rows out.
     """
     spark = docs.sparkSession
@@ -275,7 +283,7 @@ def without_repeats(
         F.col(id_col).cast("bigint").alias("id"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(2**63 - 1)).alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("key", F.xxhash64("text"))
+    ).withColumn("key", F.crc32(F.col("text").cast("binary")))
     counts = stored(given.select("text").mapInArrow(counted(size), "minimiser bigint, n bigint"))
     total = counts.where("minimiser is null").agg(F.sum("n")).first()[0] or 0
     buckets = max(tasks(spark), -(-total // BUCKET))
