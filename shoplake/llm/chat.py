@@ -76,7 +76,8 @@ def best_paths(nodes: DataFrame, branches: int = 1) -> DataFrame:
     path = cut(path)
     for jumps in rounds:
         # Only what a round adds is made anew: short branches don't pass through the long ones' rounds.
-        higher = path.join(jumps, ["tree", "node"]).select("tree", "leaf", "branch_score", F.col("up").alias("node"))
+        higher = path.join(jumps, ["tree", "node"])
+        higher = higher.select("tree", "leaf", "branch_score", F.col("up").alias("node"))
         path = path.unionByName(cut(higher))
     return path.join(reached.drop("total"), ["tree", "node"])
 
@@ -112,7 +113,8 @@ def format_trees(
     turns = turns.withColumn("at", F.sum(size).over(before) - size + F.length("head"))
     piece = F.concat("head", "body", F.lit(END)).alias("piece")
     span = F.struct(F.col("at").cast("int").alias("start"), F.length("body").alias("size"))
-    grouped = turns.select("tree", "leaf", "branch_score", F.struct("depth", piece, "learn", span.alias("span")).alias("t"))
+    turn = F.struct("depth", piece, "learn", span.alias("span"))
+    grouped = turns.select("tree", "leaf", "branch_score", turn.alias("t"))
     grouped = grouped.groupBy("tree", "leaf").agg(
         F.first("branch_score").alias("branch_score"), F.sort_array(F.collect_list("t")).alias("t")
     )

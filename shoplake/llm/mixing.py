@@ -22,7 +22,7 @@ SAMPLE = 20_000  # labelled documents that are learned from, at most
 FEATURES = 8192
 EVIDENCE = 20  # words: longer texts weigh as much as these many, so that membership stays soft
 SEED = 17
-FILL = 0.97  # of the tokens that the scarcest domain allows; at all of them its rates would be stuck at the top
+FILL = 0.97  # of the tokens that the scarcest domain allows: at all its rates would be at the top
 
 
 def features(text: Column) -> Column:
@@ -45,7 +45,8 @@ def learned(
     known = labelled.where(F.col("domain").isin(domains) & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.min("domain").alias("domain"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("text"))
     # At most ``sample`` rows.
     rows = rows.join(F.broadcast(known), "__id")
     said = rows.select("__id", "domain", features(F.col("text")).alias("word"))
@@ -56,7 +57,9 @@ def learned(
     sizes = {r.domain: r["count"] for r in known.groupBy("domain").count().collect()}
     total = sum(sizes.values())
     priors = [math.log((sizes.get(d, 0) + 1) / (total + len(domains))) for d in domains]
-    sums = counts.agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(domains))]).first()
+    zero = F.lit(0)
+    sums = [F.coalesce(F.sum(f"n{i}"), zero) for i in range(len(domains))]
+    sums = counts.agg(*sums).first()
     everything = docs.sparkSession.range(FEATURES).select(F.col("id").alias("feature"))
     model = everything.join(counts, "feature", "left").select(
         "feature",
@@ -74,7 +77,11 @@ def memberships(
     """``doc_id, tokens, p0, p1, ...`` for every row; tokens are words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # All words of a row are in one task, so they are summed before anything moves.
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("bigint").alias("doc_id"),
+        text.alias("text"),
+    )
     said = rows.select("row", "doc_id", features(F.col("text")).alias("word"))
     said = said.select("row", "doc_id", "word", hashed(F.col("word")).alias("feature"))
     # FEATURES rows.
@@ -142,8 +149,9 @@ def mix(
 
     ``labelled`` has the id and ``domain``; ``targets`` the weight of each domain. ``total``
     is how many tokens the mixture shall have, by default nearly as many as the scarcest domain
-    allows. Steps end when no domain is off by more than ``tolerance`` of its tokens. ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is
-    the rate. Labels of other domains and without an id play no part; of several labels of an
+    allows. Steps end when no domain is off by more than ``tolerance`` of its tokens.
+    ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the
+    rate. Labels of other domains and without an id play no part; of several labels of an
     id the first by name counts. Null and empty texts have no tokens and the domains' priors
     as membership, as all texts have without any label. Repeated rows get a row each. Domains
     that are nowhere in the corpus are left unmatched. Other columns play no part.
@@ -153,7 +161,8 @@ def mix(
     model, priors = learned(docs, labelled, domains, id_col, text_col, sample)
     scored = stored(memberships(docs, model, priors, id_col, text_col))
     rate = fitted(scored, weights, max_rate, total, steps, tolerance)
-    best = F.greatest(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d")) for i, d in enumerate(domains)], F.struct(F.lit(-1.0).alias("p"), F.lit("").alias("d")))
+    each = [F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d")) for i, d in enumerate(domains)]
+    best = F.greatest(*each, F.struct(F.lit(-1.0).alias("p"), F.lit("").alias("d")))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2**40)) / F.lit(2**40)
     return scored.select("doc_id", "tokens", best.alias("best"), rate.alias("rate")).select(
         "doc_id", F.col("best.d").alias("domain"), F.col("best.p").alias("probability"), "tokens", "rate",
@@ -161,7 +170,9 @@ def mix(
     )
 
 
-def drawn(docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id") -> DataFrame:
+def drawn(
+    docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id"
+) -> DataFrame:
     """The documents that the mixture takes, with all their columns."""
     mixed = mix(docs, labelled, targets, id_col).where("copies = 0")
     left = mixed.select(F.col("doc_id").alias("__left")).distinct()

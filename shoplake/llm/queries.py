@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoplake.llm import chat, exact, mixing, near, packing, secret_scan, substring, topk, toxicity, url_rules
+from shoplake.llm import (
+    chat,
+    exact,
+    mixing,
+    near,
+    packing,
+    secret_scan,
+    substring,
+    topk,
+    toxicity,
+    url_rules,
+)
 from shoplake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,7 +75,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
-    return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    return pieces.select(*columns, "loss")
 
 
 QUERIES: list[Query] = [

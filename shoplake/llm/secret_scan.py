@@ -34,15 +34,15 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     word it stands in, two words before it and one behind."""
     text = F.col(text_col).cast("string")
     # Most texts hold none and are not cut into words.
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text")).where(F.col("text").rlike(CANDIDATE))
-    rows = rows.select("doc_id", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
+    rows = rows.where(F.col("text").rlike(CANDIDATE)).select("doc_id", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
 
     def around(i: Column) -> Column:
-        word = F.get("words", i)
+        two, one = F.when(i > 1, F.get("words", i - 2)), F.when(i > 0, F.get("words", i - 1))
         return F.struct(
             i.cast("bigint").alias("word_no"),
-            word.alias("word"),
-            F.concat_ws(" ", F.when(i > 1, F.get("words", i - 2)), F.when(i > 0, F.get("words", i - 1))).alias("before"),
+            F.get("words", i).alias("word"),
+            F.concat_ws(" ", two, one).alias("before"),
             F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
         )
 
@@ -149,9 +149,9 @@ def scan(
     word each has a row, and so has each of repeated rows. Null ids stay null. Other columns
     play no part.
     """
-    found = stored(described(covered(candidates(docs, id_col, text_col), dictionary(docs, text_col))).withColumn(
-        "__features", vector_to_array("__features")
-    )).withColumn("__features", array_to_vector("__features"))
+    found = covered(candidates(docs, id_col, text_col), dictionary(docs, text_col))
+    found = described(found).withColumn("__features", vector_to_array("__features"))
+    found = stored(found).withColumn("__features", array_to_vector("__features"))
     if findings is None:
         findings = labelled_by_format(found)
     labels = findings.select(F.col("candidate").alias("__candidate"), "label").distinct()

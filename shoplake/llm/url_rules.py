@@ -49,8 +49,8 @@ def parsed(pages: DataFrame, id_col: str, url_col: str) -> DataFrame:
 
 def bounds(keyed: DataFrame, ranges: int) -> list[bytes]:
     """Where ranges of about as many keys each begin."""
-    share = SAMPLES * ranges / max(1, keyed.count())
-    picked = keyed.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
+    share = min(1.0, SAMPLES * ranges / max(1, keyed.count()))
+    picked = keyed.where(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(2**40)) < int(2**40 * share))
     keys = sorted(r[0].encode() for r in picked.select(F.substring("key", 1, LONGEST)).collect())
     step = len(keys) / ranges
     return sorted({keys[int(step * i)] for i in range(1, ranges)}) if step >= 1 else []
