@@ -187,9 +187,9 @@ def _documents(s: Shop, entity: str) -> DataFrame:
     """Raw records as documents that hold the records of a range of ids each, read back."""
     root = scratch_dir(s.spark)
     fields = s.raw[entity]
-    part = F.coalesce(F.floor(F.col("id") / views.PER_DOCUMENT), F.lit(-1))
-    # Records without an id, of which there may be many, are spread over as many documents.
-    part = F.when(F.col("id").isNull(), -1 - F.pmod(F.xxhash64(*_scalars(fields)), F.lit(64))).otherwise(part)
+    # Records without an id, of which there may be many, are spread over many documents.
+    loose = -1 - F.pmod(F.xxhash64(*_scalars(fields)), F.lit(64))
+    part = F.coalesce(F.floor(F.col("id") / views.PER_DOCUMENT), loose)
     record = F.struct(*fields.columns)
     documents = fields.groupBy(part.alias("part")).agg(F.collect_list(record).alias(entity))
     text = documents.select(F.to_json(F.struct(entity)).alias("value"))
@@ -209,14 +209,17 @@ def _malformed_counts(s: Shop) -> DataFrame:
     for entity, df in s.raw.items():
         line = F.to_json(F.struct(*df.columns))
         cut_off = F.coalesce(F.col("id") % views.BROKEN[entity] == 0, F.lit(False))
-        df.select(F.when(cut_off, F.left(line, F.length(line) - 3)).otherwise(line)).write.text(sources[entity])
+        text = F.when(cut_off, F.left(line, F.length(line) - 3)).otherwise(line)
+        df.select(text).write.text(sources[entity])
     landed = bronze.land(s.spark, sources, f"{root}/bronze", "lines", RUN_TS)
     for entity in s.raw:
         path = f"{root}/bronze/{entity}"
         read = bronze.read_records(s.spark, path, entity, "lines", "aside")
         aside = bronze.read_malformed(s.spark, path, entity, "lines")
         counts = [
-            df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(entity).alias("entity"), F.lit(kind).alias("kind"), "records")
+            df.agg(F.count(F.lit(1)).alias("records")).select(
+                F.lit(entity).alias("entity"), F.lit(kind).alias("kind"), "records"
+            )
             for df, kind in ((read, "read"), (aside, "aside"))
         ]
         both = counts[0].union(counts[1])
