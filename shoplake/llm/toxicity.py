@@ -29,6 +29,7 @@ SAMPLE = 24_000  # labelled documents that are learned from, at most
 CANDIDATES = 20_000  # stems that are weighed, at most
 LEXICON = 5_000  # stems that are kept, at most
 NEAR, SPAN = 5, 50  # words
+WORDS = 200_000  # words that a task remembers the codes of
 
 # Second-person words, and signs that stand for letters.
 SECOND_PERSON = {
@@ -90,7 +91,7 @@ class Codes(dict):
         shouted = 2 if len(word) > 2 and raw.isupper() else 0
         mixed = 8 if not letters and any(c.isalpha() for c in word) else 0
         code = (word in SECOND_PERSON) | shouted | disguised | mixed | int(weight * 64) << 4
-        if len(self) >= 400_000:
+        if len(self) >= WORDS:
             self.clear()
         self[raw] = code
         return code
@@ -136,13 +137,17 @@ def with_features(docs: DataFrame, text_col: str, lexicon: dict[str, float], car
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(lexicon)
         for batch in batches:
-            values = [described(t.as_py(), codes) for t in batch.column("__text")]
+            values = [described(t.as_py(), codes) for t in batch.column(name)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), pa.array(values, pa.list_(pa.float64()))],
                 names=[*carry, "__features"],
             )
 
-    given = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
+    # A text that is carried anyway goes to the task once.
+    name = text_col if text_col in carry else "__text"
+    given = docs.select(*carry)
+    if name not in carry:
+        given = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*carry).schema]
     found = given.mapInArrow(run, ", ".join([*fields, "__features array<double>"]))
     return found.withColumn("__features", array_to_vector("__features"))
