@@ -23,6 +23,9 @@ FEATURES = 8192
 EVIDENCE = 20  # words: longer texts weigh as much as these many, so that membership stays soft
 SEED = 17
 FILL = 0.97  # of the tokens that the scarcest domain allows: at all its rates would be at the top
+MAX_RATE = 16.0  # copies of a document in the mixture, at most
+KEEP = 0.6  # of all tokens: if the scarcest domain allows fewer, documents are repeated
+ABSENT = 0.01  # of its weight: a domain with a smaller share is noise of the soft membership
 
 
 def features(text: Column) -> Column:
@@ -31,6 +34,10 @@ def features(text: Column) -> Column:
     return F.explode_outer(found)
 
 
+def digest(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def hashed(word: Column) -> Column:
     return F.pmod(F.xxhash64(word), F.lit(FEATURES))
 
@@ -74,29 +81,30 @@ def learned(
 def memberships(
     docs: DataFrame, model: DataFrame, priors: list[float], id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``doc_id, tokens, p0, p1, ...`` for every row; tokens are words."""
+    """``doc_id, digest, tokens, p0, p1, ...`` for every row; tokens are words."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # All words of a row are in one task, so they are summed before anything moves.
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).cast("bigint").alias("doc_id"),
+        digest(text).alias("digest"),
         text.alias("text"),
     )
-    said = rows.select("row", "doc_id", features(F.col("text")).alias("word"))
-    said = said.select("row", "doc_id", "word", hashed(F.col("word")).alias("feature"))
+    said = rows.select("row", "doc_id", "digest", features(F.col("text")).alias("word"))
+    said = said.select("row", "doc_id", "digest", "word", hashed(F.col("word")).alias("feature"))
     # FEATURES rows.
     joined = said.join(F.broadcast(model), "feature", "left")
     n = range(len(priors))
-    sums = joined.groupBy("row", "doc_id").agg(
+    sums = joined.groupBy("row", "doc_id", "digest").agg(
         F.count("word").alias("tokens"),
         *[F.sum(F.when(F.col("word").isNotNull(), F.col(f"l{i}"))).alias(f"s{i}") for i in n],
     )
     weight = F.lit(float(EVIDENCE)) / F.greatest(F.lit(EVIDENCE), F.col("tokens"))
     logits = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) * weight + priors[i] for i in n]
     top = F.greatest(*logits) if len(logits) > 1 else logits[0]
-    odds = sums.select("doc_id", "tokens", *[F.exp(x - top).alias(f"o{i}") for i, x in enumerate(logits)])
+    odds = sums.select("doc_id", "digest", "tokens", *[F.exp(x - top).alias(f"o{i}") for i, x in enumerate(logits)])
     whole = sum((F.col(f"o{i}") for i in n), F.lit(0.0))
-    return odds.select("doc_id", "tokens", *[(F.col(f"o{i}") / whole).alias(f"p{i}") for i in n])
+    return odds.select("doc_id", "digest", "tokens", *[(F.col(f"o{i}") / whole).alias(f"p{i}") for i in n])
 
 
 def rate_after(errors: list[list[float]], start: float, max_rate: float) -> Column:
@@ -119,14 +127,23 @@ def fitted(
         return [float(x or 0.0) for x in scored.agg(*sums).first()]
 
     available = totals(F.lit(1.0))
-    # Nearly as many tokens as the scarcest domain allows, unless told.
-    most = min((a / w for a, w in zip(available, weights) if w and a), default=0.0) * max_rate * FILL
-    wanted = [w * (most if total is None else total) for w in weights]
-    start = min(max_rate, sum(wanted) / sum(available)) if sum(available) else max_rate
+    whole = sum(available)
+    matched = [a > 0 and a >= ABSENT * w * whole for a, w in zip(available, weights)]
+    if total is None:
+        scarcest = min((a / w for a, w, m in zip(available, weights, matched) if w and m), default=0.0)
+        once = min(1.0, max_rate)
+        if max_rate > 1 and scarcest * FILL < KEEP * whole:
+            wanted = [min(w * whole, a * max_rate) for w, a in zip(weights, available)]
+        else:
+            max_rate = once
+            wanted = [w * scarcest * once * FILL for w in weights]
+    else:
+        wanted = [w * total for w in weights]
+    start = min(max_rate, sum(wanted) / whole) if whole else max_rate
     errors: list[list[float]] = []
     while len(errors) < steps:
         reached = totals(rate_after(errors, start, max_rate))
-        error = [(x - t) / a if a else 0.0 for x, t, a in zip(reached, wanted, available)]
+        error = [(x - t) / a if m else 0.0 for x, t, a, m in zip(reached, wanted, available, matched)]
         if max(map(abs, error), default=0.0) <= tolerance:
             break
         errors.append(error)
@@ -148,14 +165,27 @@ def mix(
     """``doc_id, domain, probability, tokens, rate, copies`` for every input row.
 
     ``labelled`` has the id and ``domain``; ``targets`` the weight of each domain. ``total``
-    is how many tokens the mixture shall have, by default nearly as many as the scarcest domain
-    allows. Steps end when no domain is off by more than ``tolerance`` of its tokens.
-    ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the
-    rate. Labels of other domains and without an id play no part; of several labels of an
-    id the first by name counts. Null and empty texts have no tokens and the domains' priors
-    as membership, as all texts have without any label. Repeated rows get a row each. Domains
-    that are nowhere in the corpus are left unmatched. Other columns play no part.
+    is how many tokens the mixture shall have. By default each document is taken once at most
+    and there are nearly as many tokens as the scarcest domain allows. If these are less than
+    ``KEEP`` of all and ``max_rate`` is above 1, there are as many as in the corpus, and
+    documents are repeated; at a ``max_rate`` of 1 a scarce domain makes the mixture small.
+    Domains that even ``max_rate`` does not fill stay short; those with less than ``ABSENT``
+    of their weight are left unmatched and do not bear on the others. Steps end when no domain is off by more
+    than ``tolerance`` of its tokens. ``copies`` is the rate rounded up or down by a hash of
+    the id, so that its mean is the rate. Labels of other domains and without an id play no
+    part; of several labels of an id the first by name counts. Null and empty texts have no
+    tokens and the domains' priors as membership, as all texts have without any label.
+    Repeated rows get a row each. Other columns play no part.
     """
+    return _mixed(docs, labelled, targets, id_col, text_col, max_rate, total, sample, steps, tolerance).drop("digest")
+
+
+def _mixed(
+    docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
+    text_col: str = "text", max_rate: float = 1.0, total: float | None = None, sample: int = SAMPLE,
+    steps: int = 25, tolerance: float = 1e-4,
+) -> DataFrame:
+    """As ``mix``, with the digest of the text; rows of equal id and text have equal rates."""
     domains = sorted(targets)
     weights = [targets[d] / sum(targets.values()) for d in domains]
     model, priors = learned(docs, labelled, domains, id_col, text_col, sample)
@@ -164,19 +194,25 @@ def mix(
     each = [F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d")) for i, d in enumerate(domains)]
     best = F.greatest(*each, F.struct(F.lit(-1.0).alias("p"), F.lit("").alias("d")))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2**40)) / F.lit(2**40)
-    return scored.select("doc_id", "tokens", best.alias("best"), rate.alias("rate")).select(
-        "doc_id", F.col("best.d").alias("domain"), F.col("best.p").alias("probability"), "tokens", "rate",
+    return scored.select("doc_id", "digest", "tokens", best.alias("best"), rate.alias("rate")).select(
+        "doc_id", "digest", F.col("best.d").alias("domain"), F.col("best.p").alias("probability"), "tokens", "rate",
         F.floor(F.col("rate") + chance).cast("bigint").alias("copies"),
     )
 
 
 def drawn(
-    docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id"
+    docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
+    max_rate: float = MAX_RATE,
 ) -> DataFrame:
-    """The documents that the mixture takes, with all their columns."""
-    mixed = mix(docs, labelled, targets, id_col).where("copies = 0")
-    left = mixed.select(F.col("doc_id").alias("__left")).distinct()
-    return docs.join(left, F.col(id_col).cast("bigint").eqNullSafe(F.col("__left")), "left_anti")
+    """The documents that the mixture takes, with all their columns, a row for each copy."""
+    mixed = _mixed(docs, labelled, targets, id_col, max_rate=max_rate).where("copies <> 1")
+    # Of rows with equal id and text the rates may differ in their last digits.
+    other = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
+    other = other.agg(F.max("copies").alias("__copies"))
+    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (digest(F.col("text")) == F.col("__digest"))
+    taken = docs.join(other, same, "left").withColumn("__copies", F.coalesce("__copies", F.lit(1)))
+    taken = taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int"))).alias("__copy"))
+    return taken.drop("__copy")
 
 
 # The weights that the registered query mixes languages to.

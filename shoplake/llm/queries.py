@@ -46,7 +46,7 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages, as known for the documents that people have labelled."""
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, labelled_languages(spark, sf_dir), mixing.LANGUAGES)
+    return mixing.mix(docs, labelled_languages(spark, sf_dir), mixing.LANGUAGES, max_rate=mixing.MAX_RATE)
 
 
 def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

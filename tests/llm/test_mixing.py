@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from shoplake.llm.mixing import FILL, drawn, fitted, learned, memberships, mix
+from shoplake.llm.mixing import FILL, MAX_RATE, drawn, fitted, learned, memberships, mix
 
 WORDS = {
     "x": [f"x{i}" for i in range(60)],
@@ -92,3 +92,33 @@ def test_nulls_empty_and_long_texts_repeats_and_missing_labels(frames, spark):
     taken = drawn(docs, labelled, TARGETS)
     assert taken.columns == docs.columns
     assert taken.count() == sum(r.copies for r in found)
+
+
+def test_a_scarce_domain_is_repeated_and_an_absent_one_does_not_empty_the_mixture(frames):
+    pick = random.Random(7)
+    for scarce, share in (("z", 0.01), ("z", 0.0)):
+        rows = []
+        for i in range(2000):
+            domain = scarce if pick.random() < share else pick.choices("xy", weights=[6, 3])[0]
+            words = [f"{domain}{k}" for k in pick.choices(range(60), k=60)]
+            rows.append((i, " ".join(words), domain))
+        docs, labelled = frames(rows, [(i, d) for i, _, d in rows if i % 2 == 0])
+        weights = {"x": 0.6, "y": 0.3, "z": 0.1}
+        taken = drawn(docs, labelled, weights)
+        assert taken.columns == docs.columns
+        tokens = defaultdict(int)
+        for r in taken.collect():
+            tokens[rows[r.doc_id][2]] += 60
+        whole = sum(tokens.values())
+        assert whole > 0.85 * 60 * len(rows), tokens
+        goal = weights if share else {"x": 2 / 3, "y": 1 / 3}
+        assert all(abs(tokens[d] / whole - w) < 0.03 for d, w in goal.items()), tokens
+
+
+def test_rows_of_one_id_with_different_texts_are_drawn_apart(frames):
+    rows = [(i, f"x{i % 60} " * 50, "x") for i in range(300)] + [(i, "z1 z2 z3 " * 10, "z") for i in range(4)]
+    docs, labelled = frames(rows, [(i, "x") for i in range(10, 200)] + [(999, "z")])
+    docs = docs.unionByName(docs.limit(1).selectExpr("999L as doc_id", "'z1 z2 z3' as text", *docs.columns[2:]))
+    taken = drawn(docs, labelled, {"x": 0.9, "z": 0.1})
+    mixed = mix(docs, labelled, {"x": 0.9, "z": 0.1}, max_rate=MAX_RATE)
+    assert taken.count() == mixed.agg({"copies": "sum"}).first()[0]
