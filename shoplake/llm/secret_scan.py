@@ -1,6 +1,7 @@
 """Secret scans: candidate strings, and a random forest that tells secrets from the rest.
 
-A candidate is a run of 16 or more letters, digits and a few signs. Its features are its
+A candidate is a run of 16 or more letters, digits and a few signs, or what is assigned to a key
+word (``password = ...``, ``"token": "..."``), of any length and signs. Its features are its
 length, how often its characters change class, how much of it a dictionary covers, whether it
 stands in a path, and the words around it. The dictionary is made of the corpus itself: all
 runs of four letters of the words that are frequent in it. The forest is trained on findings
@@ -23,33 +24,79 @@ GRAM = 4
 KEY_WORDS = r"(?i)(passw|passwd|pwd|secret|token|api|key|auth|credential|bearer|login)"
 OTHER_WORDS = r"(?i)(sha|md5|hash|commit|checksum|uuid|digest|example|sample|dummy|test|card|phone)"
 
+# What is assigned to a key word: from an opening quote to the closing one, or to the end of the
+# word or the next name and sign of a query string. Possessive, as words may be very long.
+IS = r"[\w.\-]{0,64}+[\\\"'`\])]*+\s*+(?>=>|:=|==?+|:)"
+ASSIGNS = rf"(?i)(?:pass|pwd|secret|token|api|key|auth|credential|bearer|login){IS}"
+PASSWORD = rf"(?i)(?:pass|pwd){IS}"
+NEXT = r"[&;,?][\\\"'`]*+[\w.\-]{1,64}+[\\\"'`]*+[=:]"
+VALUE = (
+    rf"{ASSIGNS}\s*+(?:(?:bearer|basic)\s++)?+"
+    rf"(\\?+\"[^\"\s]++|\\?+'[^'\s]++|`[^`\s]++|(?:(?!{NEXT})[^\s\"'`])(?:(?!{NEXT})\S)*+)(?=\S*+$)"
+)
+
+OPENS = r"\s*+(?:(?:bearer|basic)\s++)?+[\\\"'`]*+$"  # stands between the sign and the value
+# Keys that their form alone tells: of clouds, code hosts, chats, payment and the like.
+KNOWN = (
+    r"^(?:(?:AKIA|ASIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}"
+    r"|glpat-[A-Za-z0-9_-]{20,}|xox[abeoprs]-[A-Za-z0-9-]{10,}|(?:sk|rk|pk)_live_[A-Za-z0-9]{16,}"
+    r"|sk-[A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35}|npm_[A-Za-z0-9]{36}|hf_[A-Za-z0-9]{30,}"
+    r"|SG\.[A-Za-z0-9_-]{16,}\.[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_.-]{10,})$"
+)
+
 FEATURES = [
     "length", "changes", "digits", "capitals", "distinct", "vowels", "hexadecimal", "coverage",
     "in_path", "in_url", "assigned", "quoted", "key_word", "other_word", "in_front", "behind",
 ]
 
 
+def assigned(near: Column) -> Column:
+    """What is assigned to key words in the last word of ``near``, without quotes around it.
+
+    Signs at the end that close a sentence or bracket do not count where no quote opens.
+    """
+    found = F.regexp_extract_all(near, F.lit(VALUE), 1)
+    quoted = r"^\\?[\"'`]"
+    bare = F.transform(
+        found,
+        lambda v: F.when(v.rlike(quoted), F.regexp_replace(F.regexp_replace(v, quoted, ""), r"\\+$", "")).otherwise(
+            F.regexp_replace(v, r"[\"'`)\]}>,;.]++$", "")
+        ),
+    )
+    return F.array_distinct(F.filter(bare, lambda v: v != ""))
+
+
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, word_no, candidate, word, before, after``: a row for each candidate, with the
-    word it stands in, two words before it and one behind."""
+    word it stands in, two words before it and one behind. A run that is assigned as a whole
+    has one row; of what is assigned with blanks in it the first word counts."""
     text = F.col(text_col).cast("string")
     # Most texts hold none and are not cut into words.
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    rows = rows.where(F.col("text").rlike(CANDIDATE)).select("doc_id", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
+    rows = rows.where(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(ASSIGNS))
+    rows = rows.select("doc_id", F.split("text", r"[\x20\x09-\x0D]+").alias("words"))
 
-    def around(i: Column) -> Column:
+    def before(i: Column) -> Column:
         two, one = F.when(i > 1, F.get("words", i - 2)), F.when(i > 0, F.get("words", i - 1))
+        return F.concat_ws(" ", two, one)
+
+    def around(i: Column) -> Column:
         return F.struct(
             i.cast("bigint").alias("word_no"),
             F.get("words", i).alias("word"),
-            F.concat_ws(" ", two, one).alias("before"),
+            before(i).alias("before"),
             F.coalesce(F.get("words", i + 1), F.lit("")).alias("after"),
         )
 
-    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).rlike(CANDIDATE))
+    def holds(i: Column) -> Column:
+        return F.get("words", i).rlike(CANDIDATE) | F.concat_ws(" ", before(i), F.get("words", i)).rlike(VALUE)
+
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), holds)
     found = rows.select("doc_id", F.explode(F.transform(places, around)).alias("at")).select("doc_id", "at.*")
-    runs = F.explode(F.regexp_extract_all("word", F.lit(CANDIDATE), 0))
-    return found.select("doc_id", "word_no", runs.alias("candidate"), "word", "before", "after")
+    runs = F.regexp_extract_all("word", F.lit(CANDIDATE), 0)
+    given = assigned(F.concat_ws(" ", "before", "word"))
+    found = found.select("*", F.explode(F.concat(runs, F.array_except(given, runs))).alias("candidate"))
+    return found.select("doc_id", "word_no", "candidate", "word", "before", "after")
 
 
 def grams(text: Column) -> Column:
@@ -166,20 +213,32 @@ def scan(
 
 
 def labelled_by_format(found: DataFrame) -> DataFrame:
-    """Findings whose kind their format shows: keys of known form, digests that are assigned to
-    a password or token; against them plain words and plain numbers. The rest stays open."""
+    """Findings whose kind their format shows: keys of known form, the first line of a private
+    key, and what is assigned to a key word if it is a digest, a random string, or a password
+    of several kinds of signs; against them plain words and plain numbers. The rest stays
+    open, as do plain words and numbers that are assigned to a password."""
     text, front = F.col("candidate"), F.concat_ws(" ", "before", "word")
-    key = text.rlike("^AKIA[A-Z2-7]{16}$")
-    given = text.rlike("^[0-9a-f]{16,64}$") & text.rlike("[a-f]") & front.rlike(r"(?i)(password|token)\s*=")
+    # All that stands before the candidate; the word ends in it where nothing follows.
+    at = F.instr("word", text)
+    ahead = F.concat_ws(" ", "before", F.substr(F.col("word"), F.lit(1), F.greatest(F.lit(0), at - 1)))
+    key = text.rlike(KNOWN)
+    block = ahead.rlike(r"PRIVATE KEY-----\W*$") & text.rlike("^[A-Za-z0-9+/]{40,}={0,2}$")
+    digest = text.rlike("^[0-9a-f]{16,64}$") & text.rlike("[a-f]") & front.rlike(r"(?i)(password|token)\s*=")
+    after_key, after_password = ahead.rlike(f"{ASSIGNS}{OPENS}"), ahead.rlike(f"{PASSWORD}{OPENS}")
+    kinds = sum((text.rlike(k).cast("int") for k in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]")), F.lit(0))
+    random = after_key & text.rlike("^[A-Za-z0-9+/_-]{20,}={0,2}$") & text.rlike("[a-z]") & text.rlike("[A-Z].*[0-9]|[0-9].*[A-Z]")
+    chosen = after_password & (F.length(text) >= 6) & (kinds >= 2) & ~text.rlike("^[A-Z]?[a-z]+[^A-Za-z0-9]?$")
     plain = text.rlike("^[A-Za-z]?[a-z]+$") | text.rlike("^[0-9]+$")
-    label = F.when(key | given, 1).when(plain, 0)
+    label = F.when(key | block | digest | random | chosen, 1).when(plain & ~after_password, 0)
     return found.select("candidate", label.alias("label")).where("label is not null").distinct()
 
 
 def redacted(scanned: DataFrame) -> DataFrame:
-    """Findings without the secrets themselves: their length, beginning and digest."""
+    """Findings without the secrets themselves: their length, beginning and digest. The
+    beginning is a quarter of a finding and four letters at most."""
+    shown = F.least(F.lit(4), F.floor(F.length("candidate") / 4)).cast("int")
     return scanned.select(
         "doc_id", "word_no", F.length("candidate").alias("length"),
-        F.concat(F.substring("candidate", 1, 4), F.lit("…")).alias("begins"),
+        F.concat(F.substr("candidate", F.lit(1), shown), F.lit("…")).alias("begins"),
         F.sha2("candidate", 256).alias("sha256"), "score", "is_secret",
     )
