@@ -164,12 +164,15 @@ def described(found: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> RandomForestClassificationModel | float:
     """A forest from described findings with ``label`` 0 or 1, or their rate if all agree.
 
-    Each label's findings are learned from once per distinct string; the ``sample`` with the
-    smallest hash are taken.
+    Each label's findings are learned from once per distinct string; of each label the half of
+    ``sample`` with the smallest hash are taken, so that a rare label is not lost.
     """
     rows = labelled.where("label in (0, 1)").groupBy("candidate", F.col("label").cast("double").alias("label"))
     rows = rows.agg(F.first("__features").alias("__features"))
-    rows = stored(rows.orderBy(F.xxhash64("candidate"), "candidate", "label").limit(sample).coalesce(4))
+    rows = stored(rows)
+    half = max(1, sample // 2)
+    no, yes = (rows.where(F.col("label") == n).orderBy(F.xxhash64("candidate"), "candidate").limit(half) for n in (0, 1))
+    rows = stored(no.unionByName(yes).coalesce(4))
     rate = rows.agg(F.avg("label")).first()[0] or 0.0
     if rate in (0.0, 1.0):
         return rate

@@ -119,3 +119,11 @@ def test_short_and_prefixed_secrets_are_positive_examples_and_found(documents):
     assert shown == {8: "hu…"}
     block = documents([(1, "-----BEGIN RSA PRIVATE KEY----- " + "MIIEpAIBAAKCAQEA" * 4)])
     assert [r.label for r in labelled_by_format(candidates(block)).collect()] == [1]
+
+
+def test_a_rare_label_is_in_the_sample(documents):
+    pick = random.Random(6)
+    pairs = [(i, "".join(pick.choices(WORDS, k=4))) for i in range(400)]
+    pairs += [(1000 + i, "AKIA" + "".join(pick.choices("ABCDEFGHJKLMNPQRSTUVWXYZ234567", k=16))) for i in range(3)]
+    found = scan(documents(pairs), sample=10).collect()
+    assert {r.doc_id for r in found if r.is_secret} == {1000, 1001, 1002}
