@@ -14,6 +14,7 @@ from shoplake.llm import (
     packing,
     secret_scan,
     substring,
+    token_counts,
     topk,
     toxicity,
     url_rules,
@@ -80,6 +81,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*columns, "loss")
 
 
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.counts_of_documents(table(spark, sf_dir, "documents"), vocabulary)
+
+
 QUERIES: list[Query] = [
     op1_secret_scan,
     op2_chat_formatting,
@@ -91,6 +97,7 @@ QUERIES: list[Query] = [
     op8_url_filters,
     op9_exact_dedup,
     op10_packing,
+    op13_token_counts,
 ]
 SQL = {
     "op2_chat_formatting": chat.SQL,

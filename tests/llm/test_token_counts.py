@@ -1,0 +1,93 @@
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from shoplake.llm import queries
+from shoplake.llm.token_counts import (
+    PrefixCounter,
+    count_prefixes,
+    counts_of_documents,
+    cut_to_budget,
+    prefixes,
+    tokens_before,
+)
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = Tokenizer.from_file(VOCABULARY)
+
+
+def numbers(texts):
+    return [len(e.ids) for e in TOKENIZER.encode_batch(texts, add_special_tokens=False)]
+
+
+def by_hand(text):
+    return numbers([text[:i] for i in range(len(text) + 1)])
+
+
+def samples():
+    pick = random.Random(5)
+    letters = list(" \n\t\r  \x85\x1c\x0b'sabé1!?.́日\U0001f600<|>lvertm　")
+    texts = ["".join(pick.choices(letters, k=pick.randrange(30))) for _ in range(1200)]
+    texts += ["", " ", "\n\n", "a  b", "it's we'll they've 're x'llama", "tab\tx ", "word " * 40]
+    texts += ["a<|endoftext|>b <|endoftext|><|endoftext|>  ", "<|endoftext|>", "x <|endoftext"]
+    return texts + ["mentlevition, Eauouon.\nÉrétrech iertion!! " * 3, "aaaaaaaaaaaaaaaaaaaa" * 4]
+
+
+def test_every_prefix_has_the_tokenizers_count():
+    counter, texts = PrefixCounter(VOCABULARY), samples()
+    for text in texts:
+        assert prefixes(counter.steps(text)).tolist() == by_hand(text), repr(text)
+    apart = [counter.steps(text) for text in texts]
+    assert counter.steps_of(texts) == apart
+
+
+def test_counts_do_not_depend_on_what_is_remembered(monkeypatch):
+    from shoplake.llm import token_counts
+
+    texts, whole = samples(), PrefixCounter(VOCABULARY)
+    monkeypatch.setattr(token_counts, "CACHE", 10)
+    monkeypatch.setattr(token_counts, "STEP", 7)
+    small = PrefixCounter(VOCABULARY)
+    assert [small.steps(t) for t in texts] == [whole.steps(t) for t in texts]
+
+
+def test_vocabularies_of_another_kind_are_refused():
+    with pytest.raises(ValueError, match="byte-level"):
+        PrefixCounter(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_edge_cases_and_clashing_columns(documents):
+    pairs = [(1, None), (2, ""), (3, " "), (None, "a b"), (4, "twice"), (4, "twice"), (5, "é " * 300_000)]
+    docs = documents(pairs).selectExpr("*", "1 as n_tokens", "'x' as prefix_steps", "2 as n_bytes")
+    found = count_prefixes(docs, VOCABULARY).collect()
+    expected = [(i, len((t or "").encode()), len(t or ""), numbers([t or ""])[0]) for i, t in pairs]
+    assert sorted(((r[0], r[1], r[2], r[3]) for r in found), key=str) == sorted(expected, key=str)
+    assert all(len(r.prefix_steps) == 2 * r.n_chars for r in found)
+    assert counts_of_documents(documents([]), VOCABULARY).count() == 0
+
+
+def test_budgets_and_prefixes_are_read_from_the_table(documents):
+    texts = [t for t in samples() if t][:150]
+    docs = documents(list(enumerate(texts)))
+    counted = count_prefixes(docs, VOCABULARY)
+    exact = [np.array(by_hand(t)) for t in texts]
+    for budget in (0, 3, 7):
+        for r in cut_to_budget(counted, budget).collect():
+            at = int(np.flatnonzero(exact[r.doc_id] <= budget)[-1])
+            assert (r.cut_chars, r.cut_tokens) == (at, exact[r.doc_id][at])
+    for r in tokens_before(cut_to_budget(counted, 3), 5).collect():
+        at = min(5, len(texts[r.doc_id]))
+        assert (r.cut_chars, r.cut_tokens) == (at, exact[r.doc_id][at])
+    assert cut_to_budget(counted, -1).where("cut_chars is not null").isEmpty()
+    assert cut_to_budget(counted, None).where("cut_chars is not null").isEmpty()
+
+
+def test_query_matches_the_tokenizer(spark):
+    found = queries.op13_token_counts(spark, "/root/testdata/sf0.001").collect()
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    counts = numbers([d.text for d in docs])
+    expected = [(d.doc_id, len(d.text.encode()), n, n > 512) for d, n in zip(docs, counts)]
+    assert sorted(map(tuple, found)) == sorted(expected)
