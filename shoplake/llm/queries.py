@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from shoplake.llm import (
     chat,
     exact,
+    merkle,
     mixing,
     near,
     packing,
@@ -81,6 +82,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*columns, "loss")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, received=merkle.without_line_breaks(docs))
+
+
 def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.counts_of_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -97,6 +103,7 @@ QUERIES: list[Query] = [
     op8_url_filters,
     op9_exact_dedup,
     op10_packing,
+    op12_merkle_manifest,
     op13_token_counts,
 ]
 SQL = {
@@ -105,6 +112,7 @@ SQL = {
     "op6_substring_dedup": substring.SQL,
     "op8_url_filters": url_rules.SQL,
     "op9_exact_dedup": exact.SQL,
+    "op12_merkle_manifest": merkle.SQL,
 }
 
 
