@@ -13,6 +13,7 @@ from shoplake.llm import (
     mixing,
     near,
     packing,
+    runs,
     secret_scan,
     substring,
     token_counts,
@@ -82,6 +83,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(*columns, "loss")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(runs.with_tail_repeated(table(spark, sf_dir, "documents")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return merkle.manifest(docs, received=merkle.without_line_breaks(docs))
@@ -103,6 +108,7 @@ QUERIES: list[Query] = [
     op8_url_filters,
     op9_exact_dedup,
     op10_packing,
+    op11_periodic_runs,
     op12_merkle_manifest,
     op13_token_counts,
 ]

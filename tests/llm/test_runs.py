@@ -1,0 +1,113 @@
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from shoplake.llm import queries, runs
+from shoplake.llm.runs import periodic_runs, primitive, to_the_left, to_the_right, with_tail_repeated, z_values
+
+
+def runs_by_hand(words):
+    found = []
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            size = i - start + q
+            own = words[start : start + size]
+            shorter = any(own[d:] == own[: size - d] for d in range(1, q)) if size >= max(6, 4 * q) else True
+            if not shorter:
+                found.append((start, size, q))
+            i = max(i, start + 1)
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def by_hand(doc_id, text):
+    words = (text or "").encode().split()
+    found = runs_by_hand(words)
+    gone = {i for start, size, q in found for i in range(start + q, start + size)}
+    told = "".join(f"{s},{n},{q}\n" for s, n, q in found).encode()
+    best = min(found, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+    ends = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    kept = b" ".join([w for i, w in enumerate(words) if i not in gone])
+    return (doc_id, len(found), *ends, hashlib.sha256(told).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def repetitive(pick, size):
+    words = []
+    while len(words) < size:
+        root = [pick.choice("abc"[: pick.randrange(1, 4)]) for _ in range(pick.choice([1, 1, 2, 3, 5, 8, 13, 20]))]
+        words += (root * pick.choice([1, 2, 4, 5, 9]))[: pick.randrange(1, 200)]
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("long, tile", [(10**9, 1 << 16), (10**9, 16), (20, 16), (20, 1 << 16)])
+def test_rows_match_brute_force(documents, monkeypatch, long, tile):
+    monkeypatch.setattr(runs, "TILE", tile)
+    pick = random.Random(4)
+    pairs = [(i, repetitive(pick, pick.choice([0, 5, 20, 60, 250, 600]))) for i in range(60)]
+    pairs += [(100, None), (101, ""), (102, " \t\n"), (103, "a " * 5), (104, "a\x0ba\ta\na\ra\x0ca"), (105, "é\xa0" * 9)]
+    pairs += [(106, "x " * 900), (106, "x " * 900), (None, "p q " * 8), (107, "p q " * 8), (108, "a a b " * 40)]
+    docs = documents(pairs).selectExpr("*", "1 as n", "'t' as plain", "2 as key", "3 as runs", "4 as period")
+    found = sorted((tuple(r) for r in periodic_runs(docs, long=long).collect()), key=str)
+    assert found == sorted((by_hand(i, t) for i, t in pairs), key=str)
+
+
+def test_no_rows(documents):
+    assert periodic_runs(documents([])).count() == 0
+
+
+def test_boundary_values():
+    import numpy as np
+
+    pick = random.Random(6)
+    for _ in range(60):
+        codes = np.array([pick.randrange(2) for _ in range(40)])
+        own = codes.tolist()
+        same = [next((k for k in range(40 - i) if own[k] != own[i + k]), 40 - i) for i in range(40)]
+        assert z_values(own, 30)[1:] == same[1:30]
+        at, top, reach = pick.randrange(40), pick.choice([2, 4, 8]), 8
+        right, left = to_the_right(codes, at, top, reach), to_the_left(codes, at, top, reach)
+        for q in range(1, top):
+            ahead = [i + q < 40 and own[i] == own[i + q] for i in range(at, 40)]
+            back = [i + q < 40 and own[i] == own[i + q] for i in range(at - 1, -1, -1)]
+            assert right[q] == min(reach, (ahead + [False]).index(False))
+            assert left[q] == min(reach, (back + [False]).index(False))
+
+
+def test_primitive_periods():
+    for q in range(1, 40):
+        for root in ("a", "ab", "abc", "aabab"):
+            own = (root * 80)[: 4 * q]
+            right = [next((k for k in range(len(own) - d) if own[k] != own[k + d]), len(own) - d) for d in range(q + 1)]
+            shorter = any(q % d == 0 and own[d:q] == own[: q - d] for d in range(1, q))
+            assert primitive(q, right) == (not shorter)
+
+
+def repeated(doc_id, text):
+    checksum = zlib.crc32(str(doc_id).encode())
+    words, g = (text or "").split(), checksum // 10
+    n = len(words)
+    if checksum % 10 or not n:
+        return text
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(words[i if i < a else a + (i - a) % p] for i in range(n))
+
+
+def test_tails_are_repeated_where_the_checksum_says(documents):
+    pairs = [(i, " ".join(f"w{k}" for k in range(i % 37))) for i in range(300)] + [(400, None)]
+    found = with_tail_repeated(documents(pairs)).collect()
+    assert sorted(map(tuple, found)) == [(i, repeated(i, t)) for i, t in pairs]
+
+
+def test_query_matches_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    docs = [d for d in docs if len(d.text.split()) < 1500]
+    found = {r.doc_id: tuple(r) for r in queries.op11_periodic_runs(spark, "/root/testdata/sf0.001").collect()}
+    assert all(found[d.doc_id] == by_hand(d.doc_id, repeated(d.doc_id, d.text)) for d in docs)
+    assert sum(r[1] > 0 for r in found.values()) >= len(docs) // 20
