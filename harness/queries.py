@@ -23,6 +23,7 @@ from shoplake.sources.tables import (
 
 AS_OF = dt.date(2025, 1, 1)
 RUN_TS = dt.datetime(2025, 1, 1, 6)
+RANGE = 65_536  # bytes
 SPEND_BOUNDS = (1.0, 500_000.0, 1_000_000.1, 1_000_000.2, 2_000_000.0)
 
 # Queries whose rows come in a fixed order.
@@ -183,8 +184,8 @@ def _json_lines(s: Shop, entity: str) -> DataFrame:
     return bronze.read_records(s.spark, f"{root}/bronze/{entity}", entity, "lines")
 
 
-def _documents(s: Shop, entity: str) -> DataFrame:
-    """Raw records as documents that hold the records of a range of ids each, read back."""
+def _document_files(s: Shop, entity: str) -> str:
+    """Raw records as documents that hold the records of a range of ids each."""
     root = scratch_dir(s.spark)
     fields = s.raw[entity]
     # Records without an id, of which there may be many, are spread over many documents.
@@ -194,7 +195,20 @@ def _documents(s: Shop, entity: str) -> DataFrame:
     documents = fields.groupBy(part.alias("part")).agg(F.collect_list(record).alias(entity))
     text = documents.select(F.to_json(F.struct(entity)).alias("value"))
     text.write.option("maxRecordsPerFile", 1).text(f"{root}/{entity}")
-    return bronze.read_records(s.spark, f"{root}/{entity}", entity, "documents")
+    return f"{root}/{entity}"
+
+
+def _documents(s: Shop, entity: str) -> DataFrame:
+    return bronze.read_records(s.spark, _document_files(s, entity), entity, "documents")
+
+
+def _ranges(s: Shop, entity: str) -> DataFrame:
+    """The same documents, each read in ranges of a few kilobytes."""
+    session = s.spark.newSession()
+    shuffles = "spark.sql.shuffle.partitions"
+    session.conf.set(shuffles, s.spark.conf.get(shuffles))
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(RANGE))
+    return bronze.read_records(session, _document_files(s, entity), entity, "ranges")
 
 
 def _scalars(df: DataFrame) -> list[str]:
@@ -293,6 +307,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_products_from_json": lambda s: _timeless(
         silver.products(_json_lines(s, "products"), RUN_TS)
     ),
+    "silver_products_from_ranges": lambda s: _timeless(
+        silver.products(_ranges(s, "products"), RUN_TS)
+    ),
     "silver_products_from_documents": lambda s: _timeless(
         silver.products(_documents(s, "products"), RUN_TS)
     ),
@@ -305,6 +322,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_users_from_json": lambda s: _timeless(
         silver.users(_json_lines(s, "users"), AS_OF, RUN_TS)
     ),
+    "silver_users_from_ranges": lambda s: _timeless(
+        silver.users(_ranges(s, "users"), AS_OF, RUN_TS)
+    ),
     "silver_users_from_documents": lambda s: _timeless(
         silver.users(_documents(s, "users"), AS_OF, RUN_TS)
     ),
@@ -317,6 +337,9 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "silver_cart_items_from_json": lambda s: _timeless(
         silver.cart_items(_json_lines(s, "carts"), RUN_TS)
     ),
+    "silver_cart_items_from_ranges": lambda s: _timeless(
+        silver.cart_items(_ranges(s, "carts"), RUN_TS)
+    ),
     "silver_cart_items_from_documents": lambda s: _timeless(
         silver.cart_items(_documents(s, "carts"), RUN_TS)
     ),
