@@ -483,6 +483,7 @@ _QUERIES = {
     "discount_agg": "select * from discounts",
     "customer_360": "select * from customer_360",
     "product_demand": "select * from demand",
+    "product_demand_sketched": "select * from demand",
     "product_demand_unique_lines": "select * from demand",
     "product_performance": "select * from product_performance",
     "product_performance_literal": """select * exclude (units_or_null),
@@ -573,6 +574,8 @@ _QUERIES = {
     "stored_product_performance": "select * from product_performance",
     "stored_stock_alert": "select * from stock_risk where risk_level in ('critical', 'high')",
     "stored_user_lines": "select * from cart_items where user_id = 4",
+    "bucketed_user_cart_agg": "select * from purchases",
+    "bucketed_customer_360": "select * from customer_360",
     "stored_views_sql": """select address_country as country, role, count(*) as lines,
         count(distinct brand) as brands from cart_items join users on user_id = users.id
         left join products on product_id = products.id group by address_country, role""",

@@ -18,6 +18,7 @@ from shoplake.sources.tables import (
     read_reports,
     read_user_lines,
     register_views,
+    save_lines_by_user,
     save_report,
 )
 
@@ -286,6 +287,22 @@ def _stored_user_lines(s: Shop) -> DataFrame:
     return _timeless(read_user_lines(s.spark, s.stored("cart_items"), 4))
 
 
+def _lines_by_user(s: Shop) -> DataFrame:
+    """The lines as a table in buckets by user."""
+    root = scratch_dir(s.spark)
+    return save_lines_by_user(s.items, root, f"lines_{root[-8:]}".replace("-", "_"), buckets=16)
+
+
+def _demand_by_parts(s: Shop) -> DataFrame:
+    """Sketches of two halves of the lines, each stored, then merged."""
+    root, half = scratch_dir(s.spark), F.pmod(F.xxhash64("cart_id", "product_id"), F.lit(2))
+    parts = []
+    for i in range(2):
+        gold.demand_sketches(s.items.where(half == i)).write.parquet(f"{root}/{i}")
+        parts.append(s.spark.read.parquet(f"{root}/{i}"))
+    return gold.sketched_demand(gold.merged_sketches(*parts))
+
+
 def _finite(df: DataFrame, *names: str) -> DataFrame:
     """NaN and infinity, which compare unlike in different engines, as null."""
     return df.withColumns({n: F.when(F.abs(F.col(n)) < float("inf"), F.col(n)) for n in names})
@@ -361,6 +378,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     # products
     "product_demand": lambda s: gold.product_demand(s.items),
     "product_demand_unique_lines": lambda s: gold.product_demand(s.items, unique_lines=True),
+    "product_demand_sketched": _demand_by_parts,
     "product_performance": lambda s: _timeless(s.product_performance),
     "product_performance_literal": lambda s: _timeless(
         gold.product_performance(
@@ -408,6 +426,10 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
         dashboard.stock_alert_panel(_stored(s, "stock_risk"))
     ),
     "stored_user_lines": _stored_user_lines,
+    "bucketed_user_cart_agg": lambda s: gold.user_cart_aggregate(_lines_by_user(s)),
+    "bucketed_customer_360": lambda s: _timeless(
+        gold.customer_360(s.users, _lines_by_user(s), s.products, RUN_TS)
+    ),
     "stored_views_sql": _stored_sql,
 }
 

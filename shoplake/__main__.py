@@ -1,7 +1,7 @@
 """Command line: land raw files, run the flow, show a report.
 
 python -m shoplake land  --source DIR --bronze DIR [--layout lines]
-python -m shoplake run   --bronze DIR --out DIR [--layout lines] [--as-of DATE] [--jdbc]
+python -m shoplake run   --bronze DIR --out DIR [--layout lines] [--as-of DATE] [--jdbc] [--resume]
 python -m shoplake report NAME --out DIR (--to DIR | --rows N)
 """
 
@@ -31,6 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--malformed", choices=MALFORMED, default="fail", help="stop at it, or set it aside"
     )
     running.add_argument("--user-buckets", type=int, default=BUCKETS)
+    running.add_argument("--resume", action="store_true", help="leave tables that are up to date")
     for command in (landing, running):
         command.add_argument("--bronze", required=True)
         command.add_argument("--layout", choices=LAYOUTS, default="documents")
@@ -60,6 +61,7 @@ def main(argv: list[str] | None = None) -> None:
             jdbc=jdbc,
             malformed=args.malformed,
             user_buckets=args.user_buckets,
+            resume=args.resume,
         )
     else:
         report = REPORTS[args.name](read_layer(spark, args.out, SILVER))

@@ -1,12 +1,13 @@
 """Parquet tables, quality reports and SQL views."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplake.schemas import TABLES
+from shoplake.sources.versions import commit, current, mark, next_version
 
 # Lines are spread over a fixed number of user buckets: a folder per user would mean as many
 # folders as users. The column's name holds the number, so that a reader needs no telling.
@@ -45,7 +46,7 @@ def with_user_bucket(df: DataFrame, column: str) -> DataFrame:
 
 def read_user_lines(spark: SparkSession, root: str, user_id: int) -> DataFrame:
     """The stored lines of one user, from that user's bucket alone."""
-    path = table_path(root, "cart_items")
+    path = current(spark, table_path(root, "cart_items"))
     column = next(c for c in spark.read.parquet(path).columns if c.startswith(USER_BUCKET))
     schema = T.StructType.fromDDL(TABLES["cart_items"])
     stored = T.StructType([*schema, T.StructField(column, T.IntegerType())])
@@ -63,20 +64,69 @@ def gather(df: DataFrame, by: Iterable[str | Column]) -> DataFrame:
 
 
 def save_table(
-    df: DataFrame, path: str, partition_by: Iterable[str] = (), gathered: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Iterable[str] = (),
+    gathered: bool = False,
+    said: Mapping | None = None,
 ) -> None:
-    """Overwrite a Parquet table. ``gathered`` says that the rows were brought together."""
-    columns = list(partition_by)
-    writer = (df if gathered else gather(df, columns)).write.mode("overwrite")
+    """Replace a Parquet table: the old one stays readable until the new one is complete.
+
+    ``gathered`` says that the rows were brought together; ``said`` is kept beside the table.
+    """
+    write_version(df, path, partition_by, gathered)(said)
+
+
+def write_version(df: DataFrame, path: str, partition_by: Iterable[str] = (), gathered: bool = False):
+    """Write the rows; the table changes when what is returned is called."""
+    columns, target = list(partition_by), next_version(path)
+    writer = (df if gathered else gather(df, columns)).write
     if columns:
-        writer = writer.option("partitionOverwriteMode", "static").partitionBy(*columns)
-    writer.parquet(path)
+        writer = writer.partitionBy(*columns)
+    writer.parquet(target)
+    return lambda said=None: commit(df.sparkSession, path, target, said)
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """A stored table with its declared types: partition values are not guessed."""
     schema = T.StructType.fromDDL(TABLES[name])
-    return spark.read.schema(schema).parquet(path).select(*schema.names)
+    return spark.read.schema(schema).parquet(current(spark, path)).select(*schema.names)
+
+
+# --- lines by user ----------------------------------------------------------------------
+
+
+def save_lines_by_user(
+    df: DataFrame, root: str, name: str = "lines_by_user", buckets: int = BUCKETS
+) -> DataFrame:
+    """Keep cart lines as a catalog table in buckets by user, and read them from there.
+
+    Spark knows which rows share a bucket: grouping by user, or by user and anything else, and
+    joining with a table in the same buckets, moves no line. A bucket is one task's, so there
+    should be many more of them than cores, and users of a like size.
+    """
+    spark, target = df.sparkSession, next_version(table_path(root, "cart_items") + "_by_user")
+    in_buckets = df.repartition(buckets, "user_id")
+    spark.sql(f"drop table if exists {name}")
+    writer = in_buckets.write.bucketBy(buckets, "user_id").sortBy("user_id").option("path", target)
+    writer.format("parquet").saveAsTable(name)
+    commit(spark, table_path(root, "cart_items") + "_by_user", target, {"buckets": buckets})
+    return spark.table(name)
+
+
+def lines_by_user(spark: SparkSession, root: str, name: str = "lines_by_user") -> DataFrame:
+    """The same table in another session, whose catalog may not know it."""
+    path = table_path(root, "cart_items") + "_by_user"
+    said = mark(spark, path)
+    if said is None:
+        raise ValueError(f"no lines by user below {root}")
+    spark.sql(f"drop table if exists {name}")
+    spark.sql(
+        f"""create table {name} ({TABLES["cart_items"]}) using parquet
+        clustered by (user_id) sorted by (user_id) into {said["buckets"]} buckets
+        location '{path}/{said["version"]}'"""
+    )
+    return spark.table(name)
 
 
 def table_path(root: str, name: str) -> str:

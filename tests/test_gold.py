@@ -225,3 +225,39 @@ def test_dashboard(users, products, items, rows):
     assert [r.user_id for r in dashboard.top_customers_panel(customers, 2).collect()] == [2, 3]
     alert = dashboard.stock_alert_panel(gold.stock_risk(products, items))
     assert rows(alert, "product_id") == [(1,), (2,), (4,)]
+
+
+def test_demand_counts_repeated_and_null_lines_once(spark, items, rows):
+    again = items.unionByName(items).unionByName(
+        spark.createDataFrame([item(None, 3, 1, 1), item(None, 4, 1, 1), item(1, 5, 2, 1), item(7, 1, None, 2)], ITEMS)
+    )
+    found = {r.product_id: (r.times_added_to_cart, r.unique_buyers) for r in gold.product_demand(again).collect()}
+    assert found == {1: (3, 3), 2: (3, 4), 3: (1, 1), 99: (1, 1), None: (1, 1)}
+
+
+def test_sketches_of_parts_merge_to_those_of_all(spark, items, rows):
+    parts = [gold.demand_sketches(items.where(f"cart_id % 3 = {i}")) for i in range(3)]
+    merged = gold.merged_sketches(*parts)
+    assert merged.dtypes == parts[0].dtypes
+    assert rows(gold.sketched_demand(merged)) == rows(gold.product_demand(items))
+    twice = gold.sketched_demand(gold.merged_sketches(merged, merged))
+    exact = {r.product_id: r for r in gold.product_demand(items).collect()}
+    for r in twice.collect():
+        assert r.unique_buyers == exact[r.product_id].unique_buyers
+        assert r.total_units_sold == 2 * exact[r.product_id].total_units_sold
+
+
+def test_estimates_keep_their_bound(spark):
+    lines = spark.range(120_000).selectExpr(
+        "id as cart_id", "(id * 7919) % 50000 as user_id", "id % 2 as product_id", "'t' as product_title",
+        "1.0D as unit_price", "1 as quantity", "1.0D as line_total", "0.0D as discount_percentage",
+        "1.0D as line_discounted_total",
+    )
+    halves = [gold.demand_sketches(lines.where(f"pmod(xxhash64(cart_id), 2) = {i}")) for i in range(2)]
+    found = gold.sketched_demand(gold.merged_sketches(*halves)).collect()
+    exact = {r.product_id: r for r in gold.product_demand(lines).collect()}
+    bound = 3 * 1.04 / 2 ** (gold.SKETCH_BITS / 2)
+    for r in found:
+        for name in ("times_added_to_cart", "unique_buyers"):
+            assert abs(r[name] - exact[r.product_id][name]) <= bound * exact[r.product_id][name]
+        assert r.total_revenue == exact[r.product_id].total_revenue

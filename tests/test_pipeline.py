@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 from unittest import mock
 
 import pytest
@@ -8,6 +9,7 @@ from shoplake.__main__ import main
 from shoplake.plans import gold, pipeline, silver
 from shoplake.plans.reports import REPORTS
 from shoplake.sources.bronze import land, read_records
+from shoplake.sources.versions import current, mark
 from shoplake.sources.tables import GOLD, SILVER, read_layer, read_reports
 
 AS_OF = dt.date(2025, 1, 1)
@@ -106,6 +108,34 @@ def test_a_second_run_replaces_the_first(spark, landed, tmp_path):
     assert reports.count() == reports.distinct().count()
 
 
+def test_a_stopped_run_is_taken_up_again(spark, landed, tmp_path, rows, monkeypatch):
+    (root, layout), out = landed, str(tmp_path / "out")
+
+    def versions():
+        paths = [f"{out}/silver/{n}" for n in SILVER] + [f"{out}/gold/{n}" for n in GOLD]
+        return {p.rsplit("/", 1)[1]: m["version"] for p in paths if (m := mark(spark, p))}
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "write_gold", mock.Mock(side_effect=RuntimeError("stopped")))
+        with pytest.raises(RuntimeError, match="stopped"):
+            pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS)
+    first = versions()
+    assert first.keys() == set(SILVER)
+
+    again = pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS, resume=True)
+    second = versions()
+    assert {n: second[n] for n in SILVER} == first and second.keys() == {*SILVER, *GOLD}
+    whole = pipeline.run_all(spark, root, str(tmp_path / "whole"), layout, AS_OF, RUN_TS)
+    assert again == whole
+
+    # Nothing is written a third time, unless it has another input.
+    assert pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS, resume=True) == whole
+    assert versions() == second
+    pipeline.run_all(spark, root, out, layout, dt.date(2025, 6, 1), RUN_TS, resume=True)
+    changed = {n for n, v in versions().items() if v != second[n]}
+    assert changed == {"users", "customer_360"}
+
+
 def test_reports_say_what_was_written_removed_and_where_levels_end(spark, landed, tmp_path):
     (root, layout), out = landed, str(tmp_path / "out")
     pipeline.run_all(spark, root, out, layout, AS_OF, RUN_TS, user_buckets=3)
@@ -116,7 +146,7 @@ def test_reports_say_what_was_written_removed_and_where_levels_end(spark, landed
     removed = {name for p, section, name in found if section == "removed_fields"}
     assert {"password", "bank.iban", "crypto"} <= removed and "email" not in removed
     assert all(r.note for r in found.values())
-    assert (tmp_path / "out/silver/cart_items/user_bucket_of_3=0").exists()
+    assert os.path.exists(f"{current(spark, f'{out}/silver/cart_items')}/user_bucket_of_3=0")
 
 
 @pytest.mark.parametrize("layout", ["documents", "lines"])
