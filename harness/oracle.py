@@ -424,6 +424,20 @@ _QUERIES = {
         count(*) as record_count, cast(0 as bigint) as malformed_count
         from raw_products union all select 'users', 'ok', count(*), 0 from raw_users
         union all select 'carts', 'ok', count(*), 0 from raw_carts""",
+    "file_manifest": _union(
+        f"""select '{entity}' as entity, {i} as half,
+        count(*) filter (where coalesce(id % 2, 0) = {i}) as record_count, true as has_files
+        from raw_{entity}"""
+        for entity in BROKEN
+        for i in range(2)
+    ),
+    "incremental_landing": _union(
+        f"""select '{entity}' as entity, {run} as run,
+        count(*) filter (where {run} < 0 or coalesce(id % 2, 0) = {run}) as record_count
+        from raw_{entity}"""
+        for entity in BROKEN
+        for run in (-1, 0, 1, 2)
+    ),
     "products_selected": f"""select id, title, description, category, {_finite("price")} as price,
         "discountPercentage" as discount_percentage, rating, stock, brand,
         "availabilityStatus" as availability_status, sku, weight from raw_products""",

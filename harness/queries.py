@@ -255,6 +255,46 @@ def _landing_manifest(s: Shop) -> DataFrame:
     return landed.select("entity", "status", "record_count", "malformed_count")
 
 
+def _file_manifest(s: Shop) -> DataFrame:
+    """Records by the file they come from: files hold the lines of an odd or an even id."""
+    root, found = scratch_dir(s.spark), None
+    for entity, df in s.raw.items():
+        half = F.coalesce(F.pmod(F.col("id"), F.lit(2)), F.lit(0)).cast("int")
+        df.withColumn("half", half).write.partitionBy("half").json(f"{root}/{entity}")
+        for i in range(2):
+            files = bronze.file_manifest(s.spark, f"{root}/{entity}/half={i}", entity, "lines")
+            told = files.agg(
+                F.lit(entity).alias("entity"),
+                F.lit(i).alias("half"),
+                F.sum("record_count").alias("record_count"),
+                F.count_if(F.col("source_size") > 0).alias("files"),
+            ).select("entity", "half", "record_count", (F.col("files") > 0).alias("has_files"))
+            found = told if found is None else found.unionByName(told)
+    return found
+
+
+def _incremental_landing(s: Shop) -> DataFrame:
+    """Lines that arrive in two parts: what each run lands, and what is read in the end."""
+    root, landed = scratch_dir(s.spark), None
+    sources = {entity: f"{root}/incoming/{entity}" for entity in s.raw}
+    for run in range(3):
+        if run < 2:
+            for entity, df in s.raw.items():
+                half = F.coalesce(F.pmod(F.col("id"), F.lit(2)), F.lit(0)) == run
+                df.where(half).write.mode("append").json(sources[entity])
+        run_ts = RUN_TS + dt.timedelta(days=run)
+        told = bronze.land_new(s.spark, sources, f"{root}/bronze", "lines", run_ts)
+        told = told.select("entity", F.lit(run).alias("run"), "record_count")
+        landed = told if landed is None else landed.unionByName(told)
+    for entity in s.raw:
+        read = bronze.read_records(s.spark, f"{root}/bronze/{entity}/*", entity, "lines")
+        counts = read.agg(F.count(F.lit(1)).alias("record_count"))
+        landed = landed.unionByName(
+            counts.select(F.lit(entity).alias("entity"), F.lit(-1).alias("run"), "record_count")
+        )
+    return landed
+
+
 def _quality_reports(s: Shop) -> DataFrame:
     """Counts observed while all tables were written, saved twice and read back."""
     root = scratch_dir(s.spark)
@@ -313,6 +353,8 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "bronze_counts": lambda s: reports.bronze_counts(s.raw_products, s.raw_users, s.raw_carts),
     "malformed_counts": _malformed_counts,
     "landing_manifest": _landing_manifest,
+    "file_manifest": _file_manifest,
+    "incremental_landing": _incremental_landing,
     # products
     "products_selected": lambda s: _finite(silver.select_products(s.raw_products), "price"),
     "products_typed": lambda s: silver.type_products(s.raw_products),

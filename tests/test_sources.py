@@ -333,6 +333,51 @@ def test_jdbc_writer_settings():
         write_jdbc(df, "gold_t", "ignore", jdbc_config(ENV))
 
 
+# --- files ------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("layout", ["documents", "lines"])
+def test_records_say_which_file_they_are_from(spark, tmp_path, samples, layout):
+    def text(ids):
+        records = [samples["products"] | {"id": i} for i in ids]
+        return json.dumps({"products": records}) if layout == "documents" else "\n".join(map(json.dumps, records)) + "\n"
+
+    for name, ids in (("a.json", [1, 2]), ("b.json", [3]), ("c.json", [])):
+        put(tmp_path / "in", name, text(ids))
+    found = bronze.read_records(spark, str(tmp_path / "in"), "products", layout, provenance=True).collect()
+    assert {int(r.id): os.path.basename(r.source_file) for r in found} == {1: "a.json", 2: "a.json", 3: "b.json"}
+    assert all(r.source_size == os.path.getsize(tmp_path / "in" / os.path.basename(r.source_file)) for r in found)
+    files = bronze.file_manifest(spark, str(tmp_path / "in"), "products", layout).collect()
+    counts = {os.path.basename(r.source_file): r.record_count for r in files}
+    assert counts == {"a.json": 2, "b.json": 1, "c.json": 0} and all(r.source_time for r in files)
+
+
+@pytest.mark.parametrize("layout", bronze.LAYOUTS)
+def test_only_new_files_are_landed(spark, tmp_path, samples, layout):
+    def text(ids):
+        records = [samples["products"] | {"id": i} for i in ids]
+        return "\n".join(map(json.dumps, records)) if layout == "lines" else json.dumps({"products": records})
+
+    sources, root = {"products": str(tmp_path / "in")}, str(tmp_path / "bronze")
+
+    def land(day):
+        (row,) = bronze.land_new(spark, sources, root, layout, dt.datetime(2025, 1, day)).collect()
+        return row.files, row.record_count
+
+    put(tmp_path / "in", "a b.json", text([1, 2]))
+    assert land(1) == (1, 2)
+    assert land(2) == (0, 0)
+    put(tmp_path / "in", "c.json", text([3]))
+    put(tmp_path / "in", "d.json", text([4, 5]))
+    assert land(3) == (2, 3)
+    put(tmp_path / "in", "c.json", text([3, 6]))
+    assert land(4) == (1, 2)
+    assert bronze.read_landed(spark, root).count() == 4
+    kept = "documents" if layout == "documents" else "lines"
+    read = bronze.read_records(spark, f"{root}/products/*", "products", kept)
+    assert sorted(int(r.id) for r in read.collect()) == [1, 2, 3, 3, 4, 5, 6]
+
+
 # --- replacing a table ------------------------------------------------------------------
 
 
