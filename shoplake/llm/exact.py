@@ -9,7 +9,7 @@ entry is some 60 bytes whatever the text's length, and a group of copies is one
 from the first round on, however many rows it has.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import lower_ascii, stored, tasks
@@ -79,18 +79,29 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat id and text one."""
+    """The rows that stay, with all their columns; of rows that repeat id and text the first by
+    their other columns.
+
+    Rows without an id all stay where no other row has their text, as ``exact_groups`` says.
+    What goes is settled on ids and digests; a text moves once at most, and not at all if what
+    goes is small enough for Spark to send it to the texts.
+    """
     text = lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    doc_id = F.coalesce(F.col(id_col).cast("bigint").cast("string"), F.lit("-"))
     groups = exact_groups(docs, id_col, text_col)
-    gone = groups.where("not kept").select(
-        F.col("doc_id").alias("__gone"), F.unhex("text_sha256").alias("__gone_sha")
-    )
-    keyed = docs.withColumn("__sha", F.unhex(F.sha2(text, 256)))
-    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__gone")) & (
-        F.col("__sha") == F.col("__gone_sha")
+    own = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256")
+    # One row for an id and a text that goes, or that is there more than once.
+    counted = groups.groupBy(own.alias("__of")).agg(
+        F.first("kept").alias("__kept"), F.count("doc_id").alias("__rows")
     )
-    left = keyed.join(gone, same, "left_anti")
-    return left.dropDuplicates([id_col, "__sha"]).drop("__sha")
+    counted = stored(counted.where("not __kept or __rows > 1"))
+    keyed = docs.withColumn("__key", F.concat_ws(":", doc_id, F.sha2(text, 256)))
+    left = keyed.join(counted.select("__of"), F.col("__key") == F.col("__of"), "left_anti")
+    repeated = keyed.join(counted.where("__kept").select("__of"), F.col("__key") == F.col("__of"), "left_semi")
+    columns = [F.col(c).asc() for c in docs.columns if c not in (id_col, text_col)]
+    order = Window.partitionBy("__key").orderBy(text_col, *columns)
+    first = repeated.withColumn("__place", F.row_number().over(order)).where("__place = 1")
+    return left.unionByName(first.drop("__place")).drop("__key")
 
 
 SQL = """

@@ -1,18 +1,21 @@
 """Mixing to target weights: soft membership, then document rates by projected gradient.
 
 A naive Bayes classifier over hashed words, learned from a labelled table, gives every document
-a probability for each domain. Rates of documents, between 0 and ``max_rate``, are then fitted
-so that the expected tokens of each domain, sum(rate * tokens * probability), come close to
-the targets. The loss is the sum over domains of (expected - target)^2 / (2 * available); in
-the metric that weighs a document by its tokens its gradient is the same small vector product
-for every document, ``sum(probability * error)``, and a step of length 1 never overshoots. So
-a step needs one error per domain from the whole corpus, and nothing is kept per document: its
-rate is computed again from the errors so far.
+a probability for each domain. Nonnegative rates of documents are then fitted so that the
+expected tokens of each domain, sum(rate * tokens * probability), are its target in the least
+squares. Errors are measured in the metric of the domains' Gram matrix, the sum over documents
+of tokens * probability * probability': in it a scarce domain counts as much as a common one,
+and a step of length 1 never overshoots. The gradient is then the same small vector product for
+every document, ``sum(probability * slope)``, where the slopes come from one error per domain.
+So a step needs one sum per domain over the corpus, and nothing is kept per document: its rate
+is computed again from the slopes so far.
 """
 
 import math
 from collections.abc import Mapping
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,12 +23,8 @@ from shoplake.llm.common import stored
 
 SAMPLE = 20_000  # labelled documents that are learned from, at most
 FEATURES = 8192
-EVIDENCE = 20  # words: longer texts weigh as much as these many, so that membership stays soft
 SEED = 17
-FILL = 0.97  # of the tokens that the scarcest domain allows: at all its rates would be at the top
-MAX_RATE = 16.0  # copies of a document in the mixture, at most
-KEEP = 0.6  # of all tokens: if the scarcest domain allows fewer, documents are repeated
-ABSENT = 0.01  # of its weight: a domain with a smaller share is noise of the soft membership
+RIDGE = 1e-6  # of the mean domain, added to each: a domain that nothing belongs to moves nothing
 
 
 def features(text: Column) -> Column:
@@ -99,55 +98,73 @@ def memberships(
         F.count("word").alias("tokens"),
         *[F.sum(F.when(F.col("word").isNotNull(), F.col(f"l{i}"))).alias(f"s{i}") for i in n],
     )
-    weight = F.lit(float(EVIDENCE)) / F.greatest(F.lit(EVIDENCE), F.col("tokens"))
-    logits = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) * weight + priors[i] for i in n]
+    logits = [F.coalesce(F.col(f"s{i}"), F.lit(0.0)) + priors[i] for i in n]
     top = F.greatest(*logits) if len(logits) > 1 else logits[0]
     odds = sums.select("doc_id", "digest", "tokens", *[F.exp(x - top).alias(f"o{i}") for i, x in enumerate(logits)])
     whole = sum((F.col(f"o{i}") for i in n), F.lit(0.0))
     return odds.select("doc_id", "digest", "tokens", *[(F.col(f"o{i}") / whole).alias(f"p{i}") for i in n])
 
 
-def rate_after(errors: list[list[float]], start: float, max_rate: float) -> Column:
-    """A document's rate after the steps that these errors stand for."""
+def rate_after(slopes: list[list[float]], start: float, max_rate: float | None) -> Column:
+    """A document's rate after steps along these slopes."""
     rate = F.lit(start)
-    for step in errors:
+    for step in slopes:
         slope = sum((F.col(f"p{i}") * e for i, e in enumerate(step)), F.lit(0.0))
-        rate = F.least(F.lit(max_rate), F.greatest(F.lit(0.0), rate - slope))
+        rate = F.greatest(F.lit(0.0), rate - slope)
+        rate = rate if max_rate is None else F.least(F.lit(max_rate), rate)
     return rate
 
 
+@dataclass
+class Fit:
+    """The rate of each row, and the domains' tokens that were wanted and are reached."""
+
+    rate: Column
+    wanted: list[float]
+    reached: list[float]
+    converged: bool
+    steps: int
+
+
 def fitted(
-    scored: DataFrame, weights: list[float], max_rate: float, total: float | None, steps: int, tolerance: float
-) -> Column:
-    """The rate of each row of ``scored``."""
+    scored: DataFrame,
+    weights: list[float],
+    max_rate: float | None = None,
+    total: float | None = None,
+    steps: int = 40,
+    tolerance: float = 1e-3,
+) -> Fit:
+    """Rates of the rows of ``scored``; converged if no domain is off by more than ``tolerance``
+    of what is wanted of it. Steps also end when they lead nowhere."""
     n = range(len(weights))
 
+    def sums(*values: Column) -> list[float]:
+        return [float(x or 0.0) for x in scored.agg(*[F.sum(v) for v in values]).first()]
+
     def totals(rate: Column) -> list[float]:
-        sums = [F.sum(F.col("tokens") * F.col(f"p{i}") * rate) for i in n]
-        return [float(x or 0.0) for x in scored.agg(*sums).first()]
-
-    available = totals(F.lit(1.0))
-    whole = sum(available)
-    matched = [a > 0 and a >= ABSENT * w * whole for a, w in zip(available, weights)]
-    if total is None:
-        scarcest = min((a / w for a, w, m in zip(available, weights, matched) if w and m), default=0.0)
-        once = min(1.0, max_rate)
-        if max_rate > 1 and scarcest * FILL < KEEP * whole:
-            wanted = [min(w * whole, a * max_rate) for w, a in zip(weights, available)]
-        else:
-            max_rate = once
-            wanted = [w * scarcest * once * FILL for w in weights]
-    else:
-        wanted = [w * total for w in weights]
-    start = min(max_rate, sum(wanted) / whole) if whole else max_rate
-    errors: list[list[float]] = []
-    while len(errors) < steps:
-        reached = totals(rate_after(errors, start, max_rate))
-        error = [(x - t) / a if m else 0.0 for x, t, a, m in zip(reached, wanted, available, matched)]
-        if max(map(abs, error), default=0.0) <= tolerance:
-            break
-        errors.append(error)
-    return rate_after(errors, start, max_rate)
+        return sums(*[F.col("tokens") * F.col(f"p{i}") * rate for i in n])
+
+    pairs = [(i, j) for i in n for j in n if i <= j]
+    gram = np.zeros((len(weights), len(weights)))
+    for (i, j), value in zip(pairs, sums(*[F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}") for i, j in pairs])):
+        gram[i, j] = gram[j, i] = value
+    whole = sum(totals(F.lit(1.0)))
+    gram += RIDGE * max(whole, 1.0) / len(weights) * np.eye(len(weights))
+    goal = whole if total is None else total
+    wanted = [w * goal for w in weights]
+    start = goal / whole if whole else 1.0
+    start = start if max_rate is None else min(max_rate, start)
+    slopes: list[list[float]] = []
+    reached = [math.inf] * len(weights)
+    while True:
+        rate = rate_after(slopes, start, max_rate)
+        before, reached = reached, totals(rate)
+        still = max(abs(x - y) for x, y in zip(reached, before)) <= tolerance / 100 * goal
+        error = np.subtract(reached, wanted)
+        done = all(abs(e) <= tolerance * w for e, w in zip(error, wanted))
+        if done or still or len(slopes) == steps or not whole:
+            return Fit(rate, wanted, reached, done, len(slopes))
+        slopes.append(np.linalg.solve(gram, error).tolist())
 
 
 def mix(
@@ -156,56 +173,66 @@ def mix(
     targets: Mapping[str, float],
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_rate: float = 1.0,
+    max_rate: float | None = None,
     total: float | None = None,
     sample: int = SAMPLE,
-    steps: int = 25,
-    tolerance: float = 1e-4,
+    steps: int = 40,
+    tolerance: float = 1e-3,
 ) -> DataFrame:
-    """``doc_id, domain, probability, tokens, rate, copies`` for every input row.
+    """``doc_id, domain, probability, tokens, rate, copies, target_share, reached_share,
+    converged`` for every input row.
 
     ``labelled`` has the id and ``domain``; ``targets`` the weight of each domain. ``total``
-    is how many tokens the mixture shall have. By default each document is taken once at most
-    and there are nearly as many tokens as the scarcest domain allows. If these are less than
-    ``KEEP`` of all and ``max_rate`` is above 1, there are as many as in the corpus, and
-    documents are repeated; at a ``max_rate`` of 1 a scarce domain makes the mixture small.
-    Domains that even ``max_rate`` does not fill stay short; those with less than ``ABSENT``
-    of their weight are left unmatched and do not bear on the others. Steps end when no domain is off by more
-    than ``tolerance`` of its tokens. ``copies`` is the rate rounded up or down by a hash of
-    the id, so that its mean is the rate. Labels of other domains and without an id play no
-    part; of several labels of an id the first by name counts. Null and empty texts have no
-    tokens and the domains' priors as membership, as all texts have without any label.
-    Repeated rows get a row each. Other columns play no part.
+    is how many tokens the mixture shall have, as many as there are by default: what is scarce
+    is repeated, at rates above 1, and what is common is thinned out. ``max_rate`` bounds the
+    rates; without it they are only not negative. Steps end when every domain is within
+    ``tolerance`` of its target, when nothing changes any more, or after ``steps``; ``converged``
+    says whether it was the first. A domain that no
+    document belongs to stays short, and the others reach their own targets. The shares are
+    those of the row's most probable domain in the expected mixture, the target's of ``total``.
+    ``copies`` is the rate rounded up or down by a hash of the id, so that its mean is the
+    rate. Labels of other domains and without an id play no part; of several labels of an id
+    the first by name counts. Null and empty texts have no tokens and the domains' priors as
+    membership, as all texts have without any label. Repeated rows get a row each. Other
+    columns play no part. No rows in, no rows out.
     """
     return _mixed(docs, labelled, targets, id_col, text_col, max_rate, total, sample, steps, tolerance).drop("digest")
 
 
 def _mixed(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
-    text_col: str = "text", max_rate: float = 1.0, total: float | None = None, sample: int = SAMPLE,
-    steps: int = 25, tolerance: float = 1e-4,
+    text_col: str = "text", max_rate: float | None = None, total: float | None = None,
+    sample: int = SAMPLE, steps: int = 40, tolerance: float = 1e-3,
 ) -> DataFrame:
     """As ``mix``, with the digest of the text; rows of equal id and text have equal rates."""
     domains = sorted(targets)
     weights = [targets[d] / sum(targets.values()) for d in domains]
     model, priors = learned(docs, labelled, domains, id_col, text_col, sample)
     scored = stored(memberships(docs, model, priors, id_col, text_col))
-    rate = fitted(scored, weights, max_rate, total, steps, tolerance)
-    each = [F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d")) for i, d in enumerate(domains)]
-    best = F.greatest(*each, F.struct(F.lit(-1.0).alias("p"), F.lit("").alias("d")))
+    fit = fitted(scored, weights, max_rate, total, steps, tolerance)
+    each = [
+        F.struct(F.col(f"p{i}").alias("p"), F.lit(d).alias("d"), F.lit(weights[i]).alias("target"),
+                 F.lit(fit.reached[i] / max(sum(fit.reached), 1e-300)).alias("reached"))
+        for i, d in enumerate(domains)
+    ]
+    lowest = [F.lit(-1.0).alias("p"), F.lit("").alias("d"), F.lit(0.0).alias("target"), F.lit(0.0).alias("reached")]
+    best = F.greatest(*each, F.struct(*lowest))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(2**40)) / F.lit(2**40)
-    return scored.select("doc_id", "digest", "tokens", best.alias("best"), rate.alias("rate")).select(
+    return scored.select("doc_id", "digest", "tokens", best.alias("best"), fit.rate.alias("rate")).select(
         "doc_id", "digest", F.col("best.d").alias("domain"), F.col("best.p").alias("probability"), "tokens", "rate",
         F.floor(F.col("rate") + chance).cast("bigint").alias("copies"),
+        F.col("best.target").alias("target_share"), F.col("best.reached").alias("reached_share"),
+        F.lit(fit.converged).alias("converged"),
     )
 
 
 def drawn(
     docs: DataFrame, labelled: DataFrame, targets: Mapping[str, float], id_col: str = "doc_id",
-    max_rate: float = MAX_RATE,
+    max_rate: float | None = None, total: float | None = None,
 ) -> DataFrame:
-    """The documents that the mixture takes, with all their columns, a row for each copy."""
-    mixed = _mixed(docs, labelled, targets, id_col, max_rate=max_rate).where("copies <> 1")
+    """The documents that the mixture takes, with all their columns, a row for each copy; see
+    ``mix``. Rows of equal id and text are taken equally often."""
+    mixed = _mixed(docs, labelled, targets, id_col, max_rate=max_rate, total=total).where("copies <> 1")
     # Of rows with equal id and text the rates may differ in their last digits.
     other = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
     other = other.agg(F.max("copies").alias("__copies"))

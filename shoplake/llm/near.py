@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import cut, mixed, slices, stored, words
@@ -34,7 +34,7 @@ ROWS, BANDS = 5, 40
 BLOCK = 512  # classes
 STEP = 1 << 21  # bytes of text at a time, about
 
-SIGNED = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>"
+SIGNED = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, mark bigint"
 SETS = "doc_id bigint, shingles array<bigint>"
 
 
@@ -101,15 +101,16 @@ def signed(size: int, per_band: int, bands: int):
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([digest(s) for s in sets], pa.binary()),
                         pa.array([next(keys) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+                        batch.column(2)[part],
                     ],
-                    names=["doc_id", "n_shingles", "key", "bands"],
+                    names=["doc_id", "n_shingles", "key", "bands", "mark"],
                 )
 
     return run
 
 
 def as_sets(size: int):
-    """Rows of ``doc_id, text, key`` to the sets that have the key, one for each id."""
+    """Rows of ``class, text, key`` to the sets that have the key, one for each class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, bytes]] = set()
@@ -193,33 +194,19 @@ def linked_by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataF
     return blocks.applyInArrow(linked_in_block(percent), "a bigint, b bigint")
 
 
-def near_groups(
-    docs: DataFrame,
-    shingle: int = 5,
-    percent: int = 80,
-    rows: int = ROWS,
-    bands: int = BANDS,
-    id_col: str = "doc_id",
-    text_col: str = "text",
+def _near_groups(
+    docs: DataFrame, shingle: int, percent: int, rows: int, bands: int, id_col: str, text_col: str
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every input row.
-
-    Words are lower-cased (A-Z) runs of other than ASCII white space; texts with fewer words
-    than a shingle count as one shingle. Documents are linked if 100 times the common shingles
-    are at least ``percent`` times all; a component is what links connect, and its smallest id
-    is kept. Null and empty texts have no shingles and are linked with nothing. Rows that
-    repeat an id are judged by their own text each; classes whose smallest id is the same
-    count as one. A null id is linked with nothing, has a null component and is kept. Other
-    columns play no part. No rows in, no rows out.
-    """
+    """As ``near_groups``, with the mark of each row's text."""
     doc_id, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
-    given = docs.select(doc_id.alias("doc_id"), text.alias("text"))
+    given = docs.select(doc_id.alias("doc_id"), text.alias("text"), text_mark(text).alias("mark"))
     read = stored(given.mapInArrow(signed(shingle, rows, bands), SIGNED))
     linkable = read.where("doc_id is not null and n_shingles > 0")
     classes = linkable.groupBy("key").agg(
-        F.min("doc_id").alias("class"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
+        F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    classes = stored(classes)
+    # Classes are numbered, as rows that repeat an id may be of several.
+    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()))
     buckets = classes.select(F.explode("bands").alias("bucket"), "class", "n")
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = stored(buckets.join(shared, "bucket"))
@@ -233,8 +220,8 @@ def near_groups(
     )
 
     wanted = classes.join(met.select("class").distinct(), "class", "left_semi")
-    wanted = wanted.select(F.col("class").alias("doc_id"), "key")
-    texts = given.join(wanted, "doc_id").select("doc_id", "text", "key")
+    wanted = wanted.select(F.col("least").alias("doc_id"), "class", "key")
+    texts = given.join(wanted, "doc_id").select("class", "text", "key")
     sets = stored(texts.mapInArrow(as_sets(shingle), SETS))
 
     first = starred.groupBy("b").agg(F.max(F.struct("meets", (-F.col("a")).alias("a"))).alias("hub"))
@@ -272,18 +259,47 @@ def near_groups(
     if not last.isEmpty():
         found = components(links.unionByName(last))
 
-    leader = found.select(F.col("node").alias("class"), "component")
-    of_class = classes.select("key", "class").join(leader, "class", "left")
-    of_class = of_class.select("key", F.coalesce("component", "class").alias("least"))
-    joined = read.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
+    # A component has its smallest id; most classes are in none with others.
+    linked = found.select(F.col("node").alias("class"), "component").join(classes.select("class", "least"), "class")
+    first_id = linked.groupBy("component").agg(F.min("least").alias("first_id"))
+    linked = linked.select("class", "component").join(first_id, "component").select("class", "first_id")
+    of_class = classes.select("key", "class", "least").join(linked, "class", "left")
+    of_class = of_class.select("key", F.coalesce("first_id", "least").alias("least"))
+    joined = read.select("doc_id", "n_shingles", "key", "mark").join(of_class, "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select(
         "doc_id", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), "mark",
     )
 
 
+def text_mark(text: Column) -> Column:
+    """Tells the texts of rows that repeat an id apart."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def near_groups(
+    docs: DataFrame,
+    shingle: int = 5,
+    percent: int = 80,
+    rows: int = ROWS,
+    bands: int = BANDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for every input row.
+
+    Words are lower-cased (A-Z) runs of other than ASCII white space; texts with fewer words
+    than a shingle count as one shingle. Documents are linked if 100 times the common shingles
+    are at least ``percent`` times all; a component is what links connect, and its smallest id
+    is kept. Null and empty texts have no shingles and are linked with nothing. Rows that
+    repeat an id are judged by their own text each. A null id is linked with nothing, has a null component and is kept. Other
+    columns play no part. No rows in, no rows out.
+    """
+    return _near_groups(docs, shingle, percent, rows, bands, id_col, text_col).drop("mark")
+
+
 def drop_near_copies(
     docs: DataFrame,
     shingle: int = 5,
@@ -291,7 +307,13 @@ def drop_near_copies(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of each component."""
-    groups = near_groups(docs, shingle, percent, id_col=id_col, text_col=text_col)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col).cast("bigint") == F.col("__gone"), "left_anti")
+    """The documents that stay, with all their columns: the smallest id of each component.
+
+    Rows that repeat an id stay or go by their own text each. Nulls and the like are as in
+    ``near_groups``.
+    """
+    groups = _near_groups(docs, shingle, percent, ROWS, BANDS, id_col, text_col)
+    gone = groups.where("not kept").select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    text = F.col(text_col).cast("string")
+    same = (F.col(id_col).cast("bigint") == F.col("__gone")) & (text_mark(text) == F.col("__mark"))
+    return docs.join(gone, same, "left_anti")

@@ -7,9 +7,10 @@ demands have the largest dot product with what is left of the limits, each weigh
 much of it the waiting pieces ask for. Pieces with equal demands share an entry, so a choice
 looks at the distinct demands only.
 
-Only ids' counts and checksums leave the tokenizer's task. Pieces are dealt to groups of some
-``GROUP`` by a hash; each group fills its own sequences, and only its last few are far from
-full. Sequences shorter than the limit are to be padded, except at a power of two.
+Only ids' counts and checksums leave the tokenizer's task. Pieces are dealt to groups by a
+hash, as many groups as there are tasks if these get ``FULL`` pieces each, and more where a group
+would have over ``GROUP``; each fills its own sequences, and only its last few are far from full.
+Sequences shorter than the limit are to be padded, except at a power of two.
 """
 
 import json
@@ -27,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shoplake.llm.common import stored
+from shoplake.llm.common import stored, tasks
 
-GROUP = 200_000  # pieces packed together, about
+GROUP, FULL = 20_000, 4_000  # pieces packed together, at most and at least, about
 CACHE = 400_000  # words whose ids a task remembers
 END_OF_TEXT = 1  # Fixed value: the id that closes a document.
 
@@ -228,10 +229,14 @@ def pack(
     """``pieces`` (doc_id, start, length, loss and others) with ``sequence_id`` and ``offset``.
 
     No sequence has more than the three limits allow; a piece that breaks one on its own has
-    its sequence to itself. Offsets are gapless from 0. Repeated pieces are packed each.
+    its sequence to itself. Offsets are gapless from 0. Repeated pieces are packed each. Columns
+    that are called ``sequence_id``, ``offset`` or ``__group`` already are replaced.
     """
-    groups = max(1, -(-pieces.count() // group_size))
-    key = F.xxhash64("doc_id", "start", "length")
+    pieces = pieces.drop("sequence_id", "offset", "__group")
+    many = pieces.count()
+    groups = max(-(-many // group_size), min(tasks(pieces.sparkSession), many // FULL), 1)
+    # Pieces that are alike, such as those without an id, are told apart by their place.
+    key = F.xxhash64("doc_id", "start", "length", F.monotonically_increasing_id())
     dealt = pieces.withColumn("__group", F.pmod(key, F.lit(groups)).cast("int"))
     schema = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in pieces.schema)}"
     # In a fixed order, so that a task that runs again fills the same sequences.

@@ -34,7 +34,7 @@ def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     rows = [(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)]
     probe = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
-    trees = chat.conversation_trees(given.where("conv_id is not null").unionByName(probe))
+    trees = chat.conversation_trees(given, "given").unionByName(chat.conversation_trees(probe, "probe"))
     return chat.digested(chat.format_trees(trees))
 
 
@@ -49,7 +49,7 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages, as known for the documents that people have labelled."""
     docs = table(spark, sf_dir, "documents")
-    return mixing.mix(docs, labelled_languages(spark, sf_dir), mixing.LANGUAGES, max_rate=mixing.MAX_RATE)
+    return mixing.mix(docs, labelled_languages(spark, sf_dir), mixing.LANGUAGES)
 
 
 def labelled_languages(spark: SparkSession, sf_dir: str) -> DataFrame:

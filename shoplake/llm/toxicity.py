@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 from shoplake.llm.common import stored
 
 SAMPLE = 24_000  # labelled documents that are learned from, at most
-CANDIDATES = 20_000  # stems that are weighed, at most
-LEXICON = 5_000  # stems that are kept, at most
+CANDIDATES = 20_000  # stems that are weighed, at most; those in most labelled documents
+LEXICON = 5_000  # stems that are kept, at most; the model travels to every task
 NEAR, SPAN = 5, 50  # words
 WORDS = 200_000  # words that a task remembers the codes of
 
@@ -175,13 +175,15 @@ def in_documents(wanted: set[str] | None):
     return run
 
 
-def learned_lexicon(sample: DataFrame) -> dict[str, float]:
+def learned_lexicon(
+    sample: DataFrame, candidates: int = CANDIDATES, lexicon: int = LEXICON
+) -> dict[str, float]:
     """Log odds of stems that toxic documents (``text, toxic``) have far more often."""
 
     def counted(rows: DataFrame, wanted: set[str] | None, least: int) -> dict[str, int]:
         found = rows.select("text").mapInArrow(in_documents(wanted), "stem string, like bigint")
         counts = found.groupBy("stem").agg(F.countDistinct("like").alias("n"))
-        top = counts.where(f"n >= {least} or stem = ''").orderBy(F.desc("n"), "stem").limit(CANDIDATES + 1)
+        top = counts.where(f"n >= {least} or stem = ''").orderBy(F.desc("n"), "stem").limit(candidates + 1)
         return {r.stem: r.n for r in top.collect()}
 
     toxic, clean = sample.where("toxic = 1"), sample.where("toxic = 0")
@@ -196,7 +198,7 @@ def learned_lexicon(sample: DataFrame) -> dict[str, float]:
         for s, n in in_toxic.items()
     }
     best = sorted((w for w in weights.items() if w[1] >= 2), key=lambda w: (-in_toxic[w[0]] * w[1], w[0]))
-    return dict(best[:LEXICON])
+    return dict(best[:lexicon])
 
 
 @dataclass
@@ -235,9 +237,12 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = SAMPLE,
+    candidates: int = CANDIDATES,
+    lexicon: int = LEXICON,
 ) -> Model:
     """Learns from labelled rows with ``remainder`` 1 to 4, at most ``sample`` of them: those
-    with the smallest hash of the id. Repeated labels of an id count as toxic if one is."""
+    with the smallest hash of the id. Repeated labels of an id count as toxic if one is. The
+    lexicon has ``lexicon`` stems at most, out of the ``candidates`` most frequent ones."""
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & (remainder(id_col) != 0))
     known = known.groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("toxic"))
     known = known.orderBy(F.xxhash64("__id"), "__id").limit(sample)
@@ -252,8 +257,8 @@ def fit(
         return Model({}, rate=rate)
 
     def described_by(learned: str, others: str) -> DataFrame:
-        lexicon = learned_lexicon(rows.where(learned))
-        found = with_features(rows.where(others).coalesce(8), "text", lexicon, ["part", "toxic"])
+        stems = learned_lexicon(rows.where(learned), candidates, lexicon)
+        found = with_features(rows.where(others).coalesce(8), "text", stems, ["part", "toxic"])
         found = found.withColumn("__features", vector_to_array("__features"))
         return found.withColumn("toxic", F.col("toxic").cast("double"))
 
@@ -268,7 +273,7 @@ def fit(
     calibration = IsotonicRegression(featuresCol="__raw", labelCol="toxic", predictionCol="__calibrated").fit(
         raw_scores(trees, features.where("part in (2, 4)").coalesce(2)).select("__raw", "toxic")
     )
-    return Model(learned_lexicon(rows), trees, calibration)
+    return Model(learned_lexicon(rows, candidates, lexicon), trees, calibration)
 
 
 def score_toxicity(
@@ -278,6 +283,8 @@ def score_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = SAMPLE,
+    candidates: int = CANDIDATES,
+    lexicon: int = LEXICON,
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every input row.
 
@@ -287,7 +294,7 @@ def score_toxicity(
     class missing in a part, every score is the rate of toxic labels (0 without any). Repeated
     rows get a row each. A null id is not held out. Other columns play no part.
     """
-    model = fit(docs, labels, id_col, text_col, label_col, sample)
+    model = fit(docs, labels, id_col, text_col, label_col, sample, candidates, lexicon)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return model.score(given, "text", ["doc_id"]).select(
         "doc_id",

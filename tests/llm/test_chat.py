@@ -94,3 +94,16 @@ def test_conversations_keep_the_order_of_their_turns(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     found = {r.conv_id: r for r in digested(format_trees(conversation_trees(df))).collect()}
     assert (found[1].n_turns, found[1].loss_chars, found[2].loss_chars) == (3, 100_000, 1)
+
+
+def test_turns_without_a_conversation_are_one_of_their_own(spark):
+    rows = [(None, 2, "assistant", "b"), (None, 1, "user", "a"), (-1, 1, "assistant", "given"), (7, 1, None, None)]
+    schema = "conv_id bigint, turn bigint, role string, text string, tree string, node int, n_turns int"
+    df = spark.createDataFrame([(*r, "t", 1, 2) for r in rows], schema)
+    probe = spark.createDataFrame([(-1, 1, "assistant", "probe")], "conv_id bigint, turn bigint, role string, text string")
+    trees = conversation_trees(df, "given").unionByName(conversation_trees(probe, "probe"))
+    found = digested(format_trees(trees)).collect()
+    assert sorted(((r.conv_id, r.n_turns, r.loss_chars) for r in found), key=str) == [
+        (-1, 1, 5), (-1, 1, 5), (7, 1, 0), (None, 2, 1),
+    ]
+    assert digested(format_trees(conversation_trees(df.where("false")))).count() == 0

@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from shoplake.llm.mixing import FILL, MAX_RATE, drawn, fitted, learned, memberships, mix
+from shoplake.llm.mixing import RIDGE, drawn, fitted, learned, memberships, mix
 
 WORDS = {
     "x": [f"x{i}" for i in range(60)],
@@ -40,7 +40,8 @@ def test_domains_are_predicted_and_totals_match_the_targets(frames):
     docs, labelled = frames(rows, [(i, d) for i, _, d in rows if i % 3 == 0] + [(None, "x"), (1, "other"), (2, None)])
     found = mix(docs, labelled, TARGETS, tolerance=1e-6).collect()
     truth = {i: (d, len(t.split())) for i, t, d in rows}
-    assert all(r.tokens == truth[r.doc_id][1] and 0 <= r.rate <= 1 for r in found)
+    assert all(r.tokens == truth[r.doc_id][1] and 0 <= r.rate and r.converged for r in found)
+    assert all(abs(r.reached_share - r.target_share) < 1e-4 for r in found)
     assert sum(r.domain == truth[r.doc_id][0] for r in found) > 0.95 * len(found)
     expected, drawn_ = defaultdict(float), defaultdict(float)
     for r in found:
@@ -54,18 +55,60 @@ def test_domains_are_predicted_and_totals_match_the_targets(frames):
 def test_rates_match_brute_force(spark):
     rng = np.random.default_rng(3)
     p, tokens = rng.dirichlet([0.3, 0.5, 0.4], 200), rng.integers(0, 500, 200)
-    weights = [0.6, 0.3, 0.1]
-    for total, steps in ((None, 15), (30_000.0, 12), (10.0**6, 4)):
-        available = tokens @ p
-        goal = np.array(weights) * (min(available / weights) * FILL if total is None else total)
-        rates = np.full(200, min(1.0, goal.sum() / available.sum()))
+    weights = [0.9, 0.08, 0.02]
+    rows = [(i, int(tokens[i]), *map(float, p[i])) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, tokens bigint, p0 double, p1 double, p2 double")
+    for total, most, steps in ((None, None, 15), (30_000.0, 1.0, 12), (10.0**6, None, 4), (10.0**6, 3.0, 6)):
+        goal = np.array(weights) * (tokens.sum() if total is None else total)
+        gram = (p * tokens[:, None]).T @ p + RIDGE * tokens.sum() / 3 * np.eye(3)
+        rates = np.full(200, min(goal.sum() / tokens.sum(), most or np.inf))
         for _ in range(steps):
-            rates = np.clip(rates - p @ (((tokens * rates) @ p - goal) / available), 0, 1)
-        rows = [(i, int(tokens[i]), *map(float, p[i])) for i in range(200)]
-        df = spark.createDataFrame(rows, "doc_id bigint, tokens bigint, p0 double, p1 double, p2 double")
-        rate = fitted(df, weights, 1.0, total, steps, 0.0)
-        found = {r[0]: r[1] for r in df.select("doc_id", rate).collect()}
+            rates = np.clip(rates - p @ np.linalg.solve(gram, (tokens * rates) @ p - goal), 0, most)
+        fit = fitted(df, weights, most, total, steps, -1.0)
+        found = {r[0]: r[1] for r in df.select("doc_id", fit.rate).collect()}
         assert np.allclose([found[i] for i in range(200)], rates, atol=1e-9)
+        assert np.allclose(fit.reached, (tokens * rates) @ p) and np.allclose(fit.wanted, goal)
+        assert fit.steps == steps and not fit.converged
+    # Where no rate is at a bound it is the least-squares fit.
+    fit = fitted(df, [0.5, 0.3, 0.2], tolerance=1e-9)
+    assert fit.converged and np.allclose(fit.reached, np.array([0.5, 0.3, 0.2]) * tokens.sum())
+
+
+def sized(shares, n=3000, seed=7):
+    pick = random.Random(seed)
+    rows = []
+    for i in range(n):
+        domain = pick.choices(list(shares), weights=list(shares.values()))[0]
+        rows.append((i, " ".join(f"{domain}{k}" for k in pick.choices(range(60), k=60)), domain))
+    return rows
+
+
+def test_shares_are_met_for_scarce_and_common_domains(frames):
+    rows = sized({"w": 0.6, "x": 0.375, "y": 0.02, "z": 0.005})
+    docs, labelled = frames(rows, [(i, d) for i, _, d in rows if i % 2 == 0])
+    for targets in ({"w": 0.25, "x": 0.25, "y": 0.25, "z": 0.25}, {"w": 0.05, "x": 0.04, "y": 0.9, "z": 0.01}):
+        found = mix(docs, labelled, targets).collect()
+        expected, drawn_ = defaultdict(float), defaultdict(float)
+        for r in found:
+            expected[rows[r.doc_id][2]] += r.rate * r.tokens
+            drawn_[rows[r.doc_id][2]] += r.copies * r.tokens
+        assert all(r.converged for r in found)
+        assert all(abs(expected[d] / sum(expected.values()) - w) < 0.01 for d, w in targets.items()), expected
+        assert all(abs(drawn_[d] / sum(drawn_.values()) - w) < 0.02 for d, w in targets.items()), drawn_
+        assert abs(sum(expected.values()) / (60 * len(rows)) - 1) < 0.01
+
+
+def test_the_mixture_changes_as_little_as_its_targets(frames):
+    rows = sized({"x": 0.5, "y": 0.5}, 600)
+    docs, labelled = frames(rows, [(i, d) for i, _, d in rows])
+    before = None
+    for share in (0.5, 0.8, 0.81):
+        found = mix(docs, labelled, {"x": share, "y": 1 - share}).collect()
+        tokens = sum(r.rate * r.tokens for r in found)
+        of_x = sum(r.rate * r.tokens for r in found if r.domain == "x") / tokens
+        assert abs(tokens / (60 * len(rows)) - 1) < 0.01 and abs(of_x - share) < 0.01
+        assert before is None or of_x > before
+        before = of_x
 
 
 def test_memberships_match_brute_force(frames):
@@ -94,25 +137,19 @@ def test_nulls_empty_and_long_texts_repeats_and_missing_labels(frames, spark):
     assert taken.count() == sum(r.copies for r in found)
 
 
-def test_a_scarce_domain_is_repeated_and_an_absent_one_does_not_empty_the_mixture(frames):
-    pick = random.Random(7)
-    for scarce, share in (("z", 0.01), ("z", 0.0)):
-        rows = []
-        for i in range(2000):
-            domain = scarce if pick.random() < share else pick.choices("xy", weights=[6, 3])[0]
-            words = [f"{domain}{k}" for k in pick.choices(range(60), k=60)]
-            rows.append((i, " ".join(words), domain))
-        docs, labelled = frames(rows, [(i, d) for i, _, d in rows if i % 2 == 0])
-        weights = {"x": 0.6, "y": 0.3, "z": 0.1}
-        taken = drawn(docs, labelled, weights)
-        assert taken.columns == docs.columns
-        tokens = defaultdict(int)
-        for r in taken.collect():
-            tokens[rows[r.doc_id][2]] += 60
-        whole = sum(tokens.values())
-        assert whole > 0.85 * 60 * len(rows), tokens
-        goal = weights if share else {"x": 2 / 3, "y": 1 / 3}
-        assert all(abs(tokens[d] / whole - w) < 0.03 for d, w in goal.items()), tokens
+def test_a_domain_that_is_not_there_leaves_the_others_at_their_targets(frames):
+    rows = sized({"x": 0.7, "y": 0.3}, 2000)
+    docs, labelled = frames(rows, [(i, d) for i, _, d in rows if i % 2 == 0])
+    found = mix(docs, labelled, {"x": 0.5, "y": 0.4, "z": 0.1}).collect()
+    assert not any(r.converged for r in found)
+    tokens = defaultdict(float)
+    for r in found:
+        tokens[rows[r.doc_id][2]] += r.rate * r.tokens / (60 * len(rows))
+    assert abs(tokens["x"] - 0.5) < 0.01 and abs(tokens["y"] - 0.4) < 0.01
+    whole = drawn(docs, labelled, {"x": 0.5, "y": 0.4, "z": 0.1}).count()
+    assert abs(whole / len(rows) - 0.9) < 0.03
+    some = drawn(docs, labelled, {"x": 0.5, "y": 0.5}, total=0.2 * 60 * len(rows)).count()
+    assert abs(some / len(rows) - 0.2) < 0.03
 
 
 def test_rows_of_one_id_with_different_texts_are_drawn_apart(frames):
@@ -120,5 +157,5 @@ def test_rows_of_one_id_with_different_texts_are_drawn_apart(frames):
     docs, labelled = frames(rows, [(i, "x") for i in range(10, 200)] + [(999, "z")])
     docs = docs.unionByName(docs.limit(1).selectExpr("999L as doc_id", "'z1 z2 z3' as text", *docs.columns[2:]))
     taken = drawn(docs, labelled, {"x": 0.9, "z": 0.1})
-    mixed = mix(docs, labelled, {"x": 0.9, "z": 0.1}, max_rate=MAX_RATE)
+    mixed = mix(docs, labelled, {"x": 0.9, "z": 0.1})
     assert taken.count() == mixed.agg({"copies": "sum"}).first()[0]

@@ -104,3 +104,18 @@ def test_components_of_a_long_chain_and_a_star(spark):
         **{i: 0 for i in range(301)}, **{i: 1000 for i in range(1000, 1400)},
     }
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_rows_that_repeat_an_id_go_by_their_own_text(documents):
+    pick = random.Random(12)
+    one = " ".join(f"w{pick.randrange(900)}" for _ in range(200))
+    other = " ".join(f"v{pick.randrange(900)}" for _ in range(200))
+    docs = documents([(3, one), (5, one + " end"), (5, other), (6, other + " end"), (None, one)])
+    kept = drop_near_copies(docs)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(3, one), (5, other), (None, one)], key=str
+    )
+    found = near_groups(docs).collect()
+    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == [
+        (0, 0, True), (3, 3, True), (5, 3, False), (5, 5, True), (6, 5, False),
+    ]

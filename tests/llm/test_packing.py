@@ -52,7 +52,8 @@ def test_bins_are_full_when_pieces_are_many():
 
 def test_pack_returns_every_piece_once(spark):
     rows = [(i, 0, 1 + i % 50, i % 20, "x") for i in range(300)] + [(None, 0, 70, 70, None)] * 2
-    found = pack(spark.createDataFrame(rows, PIECE), 60, 4, 30, group_size=40).collect()
+    given = spark.createDataFrame(rows, PIECE).selectExpr("*", "7 as sequence_id", "'x' as offset", "1 as __group")
+    found = pack(given, 60, 4, 30, group_size=40).collect()
     assert sorted((tuple(r)[:5] for r in found), key=str) == sorted(rows, key=str)
     bins = defaultdict(list)
     for r in found:
@@ -61,6 +62,7 @@ def test_pack_returns_every_piece_once(spark):
         own.sort(key=lambda r: r.offset)
         assert [r.offset for r in own] == [sum(x.length for x in own[:i]) for i in range(len(own))]
         assert len(own) == 1 or sum(r.length for r in own) <= 60
+        assert len(own) == 1 or (len(own) <= 4 and sum(r.loss for r in own) <= 30)
     assert pack(spark.createDataFrame([], PIECE), 60, 4, 30).count() == 0
 
 
@@ -78,3 +80,50 @@ def test_documents_are_cut_into_all_their_tokens(documents, limit):
             part = ids[r.start : r.start + r.length]
             assert (r.ids_crc32, r.doc_tokens) == (zlib.crc32(part.tobytes()), len(ids))
     assert pack_documents(documents([]), VOCABULARY).count() == 0
+
+
+def by_hand(demands, limits):
+    """The same choice over all pieces, one at a time, without shared entries."""
+    waiting, bins = list(range(len(demands))), []
+    shares = demands / limits
+    while waiting:
+        room, row = limits.copy(), []
+        while True:
+            fits = [i for i in waiting if (demands[i] <= room).all()]
+            if not fits:
+                break
+            asked = shares[waiting].sum(axis=0)
+            weight = asked / asked.sum() * (room / limits)
+            best = max(fits, key=lambda i: (round(float(shares[i] @ weight), 12), tuple(-demands[i]), -i))
+            row.append(best)
+            waiting.remove(best)
+            room = room - demands[best]
+        if not row:
+            return bins + [[i] for i in waiting]
+        bins.append(row)
+    return bins
+
+
+def test_bins_are_those_of_brute_force():
+    pick = np.random.default_rng(9)
+    for limits in (np.array([100, 6, 40]), np.array([60, 3, 60]), np.array([100, 50, 12])):
+        tokens = pick.integers(1, 60, 120)
+        demands = np.stack([tokens, np.ones_like(tokens), pick.integers(0, tokens + 1)], axis=1)
+        ours, theirs = list(filled(demands, limits)), by_hand(demands, limits)
+        kinds = [sorted(map(tuple, demands[row].tolist())) for row in ours]
+        alone = [k for k in kinds if (np.array(k[0]) > limits).any()]
+        assert [k for k in kinds if k not in alone] == [
+            k for k in (sorted(map(tuple, demands[row].tolist())) for row in theirs) if k not in alone
+        ]
+        # Each limit is the one that stops a bin somewhere.
+        used = np.array([demands[row].sum(axis=0) for row in ours])
+        assert (used <= limits).all(axis=1).sum() >= len(ours) - len(alone)
+
+
+def test_there_are_groups_for_all_tasks(spark, monkeypatch):
+    from shoplake.llm import packing
+
+    monkeypatch.setattr(packing, "FULL", 50)
+    rows = spark.range(400).selectExpr("cast(null as bigint) as doc_id", "0L as start", "10L as length", "9L as loss")
+    found = pack(rows, 100, 64, 100).selectExpr("sequence_id", "spark_partition_id() as task")
+    assert found.select("task").distinct().count() == 4
