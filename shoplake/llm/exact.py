@@ -79,8 +79,8 @@ def exact_groups(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat id and text the first by
-    their other columns.
+    """The rows that stay, with all their columns; of rows that repeat id and text the
+    smallest, column by column from the left, nulls first.
 
     Rows without an id all stay where no other row has their text, as ``exact_groups`` says.
     What goes is settled on ids and digests; a text moves once at most, and not at all if what
@@ -91,17 +91,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     groups = exact_groups(docs, id_col, text_col)
     own = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), "text_sha256")
     # One row for an id and a text that goes, or that is there more than once.
-    counted = groups.groupBy(own.alias("__of")).agg(
-        F.first("kept").alias("__kept"), F.count("doc_id").alias("__rows")
-    )
-    counted = stored(counted.where("not __kept or __rows > 1"))
-    keyed = docs.withColumn("__key", F.concat_ws(":", doc_id, F.sha2(text, 256)))
-    left = keyed.join(counted.select("__of"), F.col("__key") == F.col("__of"), "left_anti")
-    repeated = keyed.join(counted.where("__kept").select("__of"), F.col("__key") == F.col("__of"), "left_semi")
-    columns = [F.col(c).asc() for c in docs.columns if c not in (id_col, text_col)]
-    order = Window.partitionBy("__key").orderBy(text_col, *columns)
-    first = repeated.withColumn("__place", F.row_number().over(order)).where("__place = 1")
-    return left.unionByName(first.drop("__place")).drop("__key")
+    counted = groups.groupBy(own.alias("of")).agg(F.first("kept").alias("kept"), F.count("doc_id").alias("rows"))
+    counted = stored(counted.where("not kept or rows > 1"))
+    # As one column, so that no name of theirs meets one of these.
+    keyed = docs.select(F.struct("*").alias("row"), F.concat_ws(":", doc_id, F.sha2(text, 256)).alias("key"))
+    left = keyed.join(counted.select("of"), F.col("key") == F.col("of"), "left_anti")
+    repeated = keyed.join(counted.where("kept").select("of"), F.col("key") == F.col("of"), "left_semi")
+    first = repeated.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy("row")))
+    return left.unionByName(first.where("place = 1").drop("place")).select("row.*")
 
 
 SQL = """

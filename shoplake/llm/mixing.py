@@ -234,12 +234,15 @@ def drawn(
     ``mix``. Rows of equal id and text are taken equally often."""
     mixed = _mixed(docs, labelled, targets, id_col, max_rate=max_rate, total=total).where("copies <> 1")
     # Of rows with equal id and text the rates may differ in their last digits.
-    other = mixed.groupBy(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"))
-    other = other.agg(F.max("copies").alias("__copies"))
-    same = F.col(id_col).cast("bigint").eqNullSafe(F.col("__id")) & (digest(F.col("text")) == F.col("__digest"))
-    taken = docs.join(other, same, "left").withColumn("__copies", F.coalesce("__copies", F.lit(1)))
-    taken = taken.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int"))).alias("__copy"))
-    return taken.drop("__copy")
+    other = mixed.groupBy("doc_id", "digest").agg(F.max("copies").alias("copies"))
+    # As one column, so that no name of theirs meets one of these.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"), digest(F.col("text")).alias("own")
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("digest"))
+    copies = F.coalesce("copies", F.lit(1)).cast("int")
+    taken = rows.join(other, same, "left").select("row", F.explode(F.array_repeat(F.lit(0), copies)))
+    return taken.select("row.*")
 
 
 # The weights that the registered query mixes languages to.

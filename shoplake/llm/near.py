@@ -313,7 +313,10 @@ def drop_near_copies(
     ``near_groups``.
     """
     groups = _near_groups(docs, shingle, percent, ROWS, BANDS, id_col, text_col)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    text = F.col(text_col).cast("string")
-    same = (F.col(id_col).cast("bigint") == F.col("__gone")) & (text_mark(text) == F.col("__mark"))
-    return docs.join(gone, same, "left_anti")
+    gone = groups.where("not kept").select("doc_id", "mark").distinct()
+    # As one column, so that no name of theirs meets one of these.
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("doc_id"),
+        text_mark(F.col(text_col).cast("string")).alias("mark"),
+    )
+    return rows.join(gone, ["doc_id", "mark"], "left_anti").select("row.*")

@@ -12,11 +12,12 @@ import math
 import re
 import string
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -132,19 +133,21 @@ def described(text: str | None, codes: Codes) -> list[float]:
 
 
 def with_features(docs: DataFrame, text_col: str, lexicon: dict[str, float], carry: list[str]) -> DataFrame:
-    """The carried columns, and ``__features``."""
+    """The carried columns, and ``__features``. The text may be a field of a carried struct."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes = Codes(lexicon)
         for batch in batches:
-            values = [described(t.as_py(), codes) for t in batch.column(name)]
+            texts = pc.struct_field(batch.column(name), field) if field else batch.column(name)
+            values = [described(t.as_py(), codes) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), pa.array(values, pa.list_(pa.float64()))],
                 names=[*carry, "__features"],
             )
 
     # A text that is carried anyway goes to the task once.
-    name = text_col if text_col in carry else "__text"
+    name, _, field = text_col.partition(".")
+    name = name if name in carry else "__text"
     given = docs.select(*carry)
     if name not in carry:
         given = docs.select(*carry, F.col(text_col).cast("string").alias("__text"))
@@ -304,7 +307,9 @@ def score_toxicity(
     )
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
-    """The documents that score below a half, with all their columns."""
-    carry = list(columns or docs.columns)
-    return fit(docs, labels).score(docs, "text", carry).where("__score < 0.5").select(*carry)
+def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents that score below a half, with all their columns; see ``score_toxicity``."""
+    # As one column, so that no name of theirs meets one of the features'.
+    rows = docs.select(F.struct("*").alias("row"))
+    scored = fit(docs, labels).score(rows, "row.text", ["row"])
+    return scored.where("__score < 0.5").select("row.*")

@@ -22,7 +22,9 @@ def test_stages_one_by_one(spark):
         kept[name] = corpus_pipeline.stored(stage(spark, docs, SF_DIR))
         if name != "packing":
             assert kept[name].columns == docs.columns
-            assert kept[name].exceptAll(docs).isEmpty()
+            # Documents of a scarce language are there several times after mixing.
+            more = kept[name].subtract(docs) if name == "mixing" else kept[name].exceptAll(docs)
+            assert more.isEmpty()
         docs = kept[name]
 
     texts = {n: {r.doc_id: r.text for r in df.collect()} for n, df in kept.items() if n != "packing"}
@@ -45,3 +47,32 @@ def test_stages_one_by_one(spark):
 
 def test_run_gives_the_last_stage(spark):
     assert "sequence_id" in corpus_pipeline.run(spark, SF_DIR).columns
+
+
+def test_stages_take_any_rows(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    one = docs.where("length(text) between 500 and 900").orderBy("doc_id").first()
+    loud = "".join(c.upper() if c.isascii() else c for c in one.text)
+    odd = [(None, None), (None, "kept alone"), (9001, None), (9002, ""), (9003, "x " * 60_000)]
+    odd += [(9004, one.text), (9004, one.text), (9005, loud), (one.doc_id, "other words " * 30)]
+    rows = [(i, t, "en", None, None) for i, t in odd] + [tuple(one)] * 2
+    docs = spark.createDataFrame(rows, docs.schema)
+    names = ["__key", "__mark", "__gone", "__copies", "tokens", "rate", "copies", "label", "score", "n_shingles", "kept", "component"]
+    docs = docs.selectExpr("*", *[f"'own' as `{name}`" for name in names])
+    found, schema = {}, docs.schema
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.stored(stage(spark, docs, SF_DIR))
+        found[name] = out.collect()
+        if name != "packing":
+            assert out.columns == docs.columns
+            assert all(r[n] == "own" for r in found[name] for n in names)
+        docs = out if name != "mixing" else docs
+    kept = {name: sorted(((r.doc_id, r.text) for r in found[name]), key=str) for name in ("toxicity", "exact_dedup", "near_dedup")}
+    assert kept["toxicity"] == sorted(((r[0], r[1]) for r in rows), key=str)
+    expected = [(None, "kept alone"), (9002, ""), odd[4], (9005, loud), (one.doc_id, "other words " * 30)]
+    assert kept["exact_dedup"] == kept["near_dedup"] == sorted(expected, key=str)
+    assert len({r.doc_id for r in found["packing"]}) == len({i for i, _ in expected})
+
+    empty = spark.createDataFrame([], schema)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF_DIR).count() == 0
