@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplake.llm.common import cut, mixed, slices, stored, words
@@ -32,6 +32,7 @@ from shoplake.llm.rolling import Joined
 
 ROWS, BANDS = 5, 40
 BLOCK = 512  # classes
+NUMBERED = -(1 << 62)  # from here down numbers stand for classes, not ids of documents
 STEP = 1 << 21  # bytes of text at a time, about
 
 SIGNED = "doc_id bigint, n_shingles bigint, key binary, bands array<bigint>, mark bigint"
@@ -205,8 +206,13 @@ def _near_groups(
     classes = linkable.groupBy("key").agg(
         F.min("doc_id").alias("least"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")
     )
-    # Classes are numbered, as rows that repeat an id may be of several.
-    classes = stored(classes.withColumn("class", F.monotonically_increasing_id()))
+    # A class goes by its smallest id. Rows that repeat an id may be of several classes; all but
+    # one of these go by a number of their own.
+    place = F.row_number().over(Window.partitionBy("least").orderBy("key"))
+    number = F.lit(NUMBERED) - F.monotonically_increasing_id()
+    classes = classes.withColumn("place", place)
+    classes = classes.withColumn("class", F.when(F.col("place") == 1, F.col("least")).otherwise(number))
+    classes = stored(classes.drop("place"))
     buckets = classes.select(F.explode("bands").alias("bucket"), "class", "n")
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = stored(buckets.join(shared, "bucket"))
@@ -259,10 +265,12 @@ def _near_groups(
     if not last.isEmpty():
         found = components(links.unionByName(last))
 
-    # A component has its smallest id; most classes are in none with others.
-    linked = found.select(F.col("node").alias("class"), "component").join(classes.select("class", "least"), "class")
-    first_id = linked.groupBy("component").agg(F.min("least").alias("first_id"))
-    linked = linked.select("class", "component").join(first_id, "component").select("class", "first_id")
+    linked = found.select(F.col("node").alias("class"), F.col("component").alias("first_id"))
+    if not classes.where(F.col("class") <= NUMBERED).isEmpty():
+        # Components may have been named after a number: they take their smallest id instead.
+        least = linked.join(classes.select("class", "least"), "class").groupBy("first_id")
+        least = least.agg(F.min("least").alias("least"))
+        linked = linked.join(least, "first_id").select("class", F.col("least").alias("first_id"))
     of_class = classes.select("key", "class", "least").join(linked, "class", "left")
     of_class = of_class.select("key", F.coalesce("first_id", "least").alias("least"))
     joined = read.select("doc_id", "n_shingles", "key", "mark").join(of_class, "key", "left")
