@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shoplake.llm.common import cut
 
-ROWS = 100_000  # of a task, about: links are few next to what they were found in
+ROWS = 20_000  # of a task, about: links are few next to what they were found in
 TASKS = 4  # at least
 
 
