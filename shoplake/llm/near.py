@@ -12,8 +12,11 @@ are listed:
 1. every class with the busiest class it meets anywhere (the one that meets most others);
 2. with the busiest class of each of its buckets;
 3. where that leaves more than one component in a bucket: with all classes that have the same
-   busiest class (in blocks of ``BLOCK`` by ``BLOCK``, each compared within a task, which
-   returns links only), and with classes of another one in the same bucket.
+   busiest class, and with classes of another one in the same bucket. Classes of the same
+   busiest class are compared in blocks of ``BLOCK`` by ``BLOCK``, each within a task, which
+   returns links only. Where they are more than a block, only classes that share one of their
+   rarest shingles are compared (a prefix filter, which loses no link), unless so many do that
+   the blocks are less work.
 Steps 2 and 3 leave out pairs that the links found so far already connect, and sizes that rule
 a link out. Each pair is confirmed on the two full sets.
 """
@@ -175,15 +178,79 @@ def linked_in_block(percent: int):
     return run
 
 
-def linked_by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The shingles by which ``class, component, hub`` are looked up within their hub.
+
+    A set's shingles are ranked from the rarest in its hub to the commonest. Of two sets that are
+    similar enough, the first shingle they share is among the first ``n - percent % of n + 1`` of
+    the larger one, and even among the first ``n - 2 * percent / (100 + percent) of n + 1`` of
+    the smaller one: these are marked ``short``. Only shingles of several components are given.
+    """
+    own = sets.select(F.col("doc_id").alias("class"), F.explode("shingles").alias("token"))
+    each = members.select("class", "component", "hub").join(own, "class")
+    several = F.min("component") != F.max("component")
+    often = each.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("often"), several.alias("several"))
+    ranked = each.join(often, ["hub", "token"]).groupBy("hub", "class", "component").agg(
+        F.sort_array(F.collect_list(F.struct("often", "token", "several"))).alias("tokens")
+    )
+    n = F.size("tokens")
+    long = n - F.expr(f"int(({percent} * size(tokens) + 99) div 100)") + 1
+    short = n - F.expr(f"int(({2 * percent} * size(tokens) + {99 + percent}) div {100 + percent})") + 1
+    first = F.posexplode(F.slice("tokens", F.lit(1), long)).alias("place", "token")
+    looked = ranked.select("hub", "class", "component", n.alias("n"), short.alias("short"), first)
+    return looked.where("token.several").select(
+        "hub", "class", "component", "n", "place", F.col("token.token").alias("token"),
+        (F.col("place") < F.col("short")).alias("short"),
+    )
+
+
+def pairs_by_prefix(looked: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components that share a prefix shingle in their hub, where
+    sizes and places leave room for enough others."""
+    small = looked.where("short").select(
+        "hub", "token", *[F.col(c).alias(f"{c}_") for c in ("class", "component", "n", "place")]
+    )
+    room = F.least(F.col("n") - F.col("place"), F.col("n_") - F.col("place_"))
+    close = (100 + percent) * room >= percent * (F.col("n") + F.col("n_"))
+    ordered = F.struct("n_", "class_") < F.struct("n", "class")
+    met = looked.join(small, ["hub", "token"])
+    met = met.where((F.col("component") != F.col("component_")) & ordered & close)
+    return met.select(F.col("class").alias("a"), F.col("class_").alias("b")).distinct()
+
+
+def linked_in_hubs(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between ``class, component, hub, hub_component`` of the same hub.
 
+    Hubs of more than a block of classes go by prefixes where these name fewer pairs than the
+    blocks would move sets; the others go by blocks.
+    """
+    sizes = members.groupBy("hub").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"), F.count(F.lit(1)).alias("m")
+    )
+    each = cut(members.join(sizes, "hub"))
+    large = each.where("blocks > 1")
+    if large.isEmpty():
+        return linked_by_blocks(each, sets, percent)
+    looked = stored(prefixes(large, sets, percent))
+    met = looked.groupBy("hub", "token").agg(
+        (F.count(F.lit(1)) * F.count_if("short")).alias("pairs")
+    )
+    met = met.groupBy("hub").agg(F.sum("pairs").alias("pairs"))
+    hubs = large.select("hub", "blocks", "m").distinct().join(met, "hub", "left")
+    sparse = cut(hubs.where("2 * coalesce(pairs, 0) <= m * blocks").select("hub"))
+    found = confirmed(pairs_by_prefix(looked.join(sparse, "hub", "left_semi"), percent), sets, percent)
+    rest = each.join(sparse, "hub", "left_anti")
+    return found.unionByName(linked_by_blocks(rest, sets, percent))
+
+
+def linked_by_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between ``class, component, hub, hub_component, blocks`` of the same hub.
+
     Of two classes in different components one at least is not in the hub's, so only those
     are probes; they meet all others of their hub.
     """
-    sizes = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     shingles = sets.select(F.col("doc_id").alias("class"), "shingles")
-    each = members.join(sizes, "hub").join(shingles, "class")
+    each = members.join(shingles, "class")
     own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     probe = F.col("component") != F.col("hub_component")
@@ -254,13 +321,19 @@ def _near_groups(
     of_hub = known.select(F.col("class").alias("hub"), F.col("component").alias("hub_component"))
     single = open_.select("class", "component", "hub").distinct().join(of_hub, "hub", "left")
     single = single.withColumn("hub_component", F.coalesce("hub_component", "hub"))
-    blocked = linked_by_blocks(single, sets, percent)
-    other = open_.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("class", "n", "component", "hub")])
+    blocked = linked_in_hubs(single, sets, percent)
+    # Of two classes with other hubs one at least has not the bucket's commonest.
+    common = open_.groupBy("bucket", "hub").agg(F.count(F.lit(1)).alias("m"))
+    common = common.groupBy("bucket").agg(F.max(F.struct("m", "hub")).alias("most"))
+    other = open_.join(common, "bucket").where("hub <> most.hub")
+    other = other.select("bucket", *[F.col(c).alias(f"{c}_") for c in ("class", "n", "component", "hub")])
     close = (100 * F.least("n", "n_") >= percent * F.greatest("n", "n_")) & (
-        (F.col("component") < F.col("component_")) & (F.col("hub") != F.col("hub_"))
+        (F.col("component") != F.col("component_")) & (F.col("hub") != F.col("hub_"))
     )
     rest = open_.join(other, "bucket").where(close)
-    rest = rest.select(F.col("class").alias("a"), F.col("class_").alias("b")).distinct()
+    rest = rest.select(
+        F.least("class", "class_").alias("a"), F.greatest("class", "class_").alias("b")
+    ).distinct()
     last = cut(confirmed(rest, sets, percent).unionByName(blocked))
     if not last.isEmpty():
         found = components(links.unionByName(last))

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 
 from shoplake.llm.graph import components
+from shoplake.llm import near
 from shoplake.llm.near import BANDS, ROWS, drop_near_copies, near_groups, scrambled, shingled, signatures
 from shoplake.llm.rolling import BLOCK, Joined
 
@@ -119,3 +120,49 @@ def test_rows_that_repeat_an_id_go_by_their_own_text(documents):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in found) == [
         (0, 0, True), (3, 3, True), (5, 3, False), (5, 5, True), (6, 5, False),
     ]
+
+
+def template(pick, n, own, shared):
+    """Texts that share most of their words, and a near copy of every ninth."""
+    text = [f"t{i}" for i in range(shared)]
+    pairs = []
+    for i in range(n):
+        words = [*text, *[f"o{i}x{j}" for j in range(own)]]
+        pairs.append((2 * i, " ".join(words)))
+        if i % 9 == 0:
+            words[pick.randrange(5, shared - 5)] = f"n{i}"
+            pairs.append((2 * i + 1, " ".join(words)))
+    pick.shuffle(pairs)
+    return pairs
+
+
+@pytest.mark.parametrize("block", [16, 4096])
+def test_a_template_with_copies_is_joined_in_full(documents, monkeypatch, block):
+    monkeypatch.setattr(near, "BLOCK", block)
+    pairs = template(random.Random(4), 140, 24, 100) + corpus(3)[-60:]
+    found = {r.doc_id: tuple(r)[1:] for r in near_groups(documents(pairs, 3), 2).collect()}
+    assert found == by_hand(pairs, 2)
+
+
+@pytest.mark.parametrize("percent", [55, 80, 95])
+def test_prefixes_name_every_link(spark, percent):
+    pick = random.Random(percent)
+    sets = {}
+    for i in range(160):
+        if i and pick.random() < 0.7:
+            s = set(sets[pick.randrange(i)])
+            s = set(pick.sample(sorted(s), max(1, len(s) - pick.randint(0, 6))))
+        else:
+            s = set(range(40)) if pick.random() < 0.5 else set()
+        sets[i] = s | {pick.randrange(100, 400) for _ in range(pick.randint(1, 9))}
+    members = spark.createDataFrame([(i, i % 150, 7) for i in sets], "class bigint, component bigint, hub bigint")
+    rows = [(i, sorted(s)) for i, s in sets.items()]
+    stored_sets = spark.createDataFrame(rows, near.SETS)
+    named = near.pairs_by_prefix(near.prefixes(members, stored_sets, percent), percent)
+    found = {tuple(sorted(r)) for r in near.confirmed(named, stored_sets, percent).collect()}
+    links = {
+        (a, b) for a, b in combinations(sets, 2)
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and a % 150 != b % 150
+    }
+    assert links and found == links
+    assert named.count() < 160 * 159 // 2
