@@ -186,8 +186,9 @@ def prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     the larger one, and even among the first ``n - 2 * percent / (100 + percent) of n + 1`` of
     the smaller one: these are marked ``short``. Only shingles of several components are given.
     """
-    own = sets.select(F.col("doc_id").alias("class"), F.explode("shingles").alias("token"))
+    own = sets.select(F.col("doc_id").alias("class"), "shingles")
     each = members.select("class", "component", "hub").join(own, "class")
+    each = each.select("class", "component", "hub", F.explode("shingles").alias("token"))
     several = F.min("component") != F.max("component")
     often = each.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("often"), several.alias("several"))
     ranked = each.join(often, ["hub", "token"]).groupBy("hub", "class", "component").agg(
