@@ -40,6 +40,7 @@ def _plain(type_name: str) -> str:
         "int": "INTEGER",
         "double": "DOUBLE",
         "date": "DATE",
+        "boolean": "BOOLEAN",
     }
     return names.get(type_name, type_name)
 

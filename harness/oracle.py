@@ -446,22 +446,23 @@ _QUERIES = {
     "products_dedup": "select * from one_product",
     "silver_products": "select * from products",
     "silver_products_from_json": "select * from products",
-    "silver_products_from_documents": "select * from products",
     "silver_products_from_ranges": "select * from products",
+    "silver_products_from_documents": "select * from products",
     "users_flat": f"select id, {_FLAT} from raw_users",
     "users_age": "select id, email, birth_date, age_derived from clean_users",
     "silver_users": "select * from users",
     "silver_users_from_json": "select * from users",
-    "silver_users_from_documents": "select * from users",
     "silver_users_from_ranges": "select * from users",
+    "silver_users_from_documents": "select * from users",
     "carts_exploded": f"""select cart_id, user_id, id, title, {_finite("price")} as price, quantity,
         {_finite("total")} as total, "discountPercentage",
         {_finite("discountedTotal")} as "discountedTotal" from raw_lines""",
     "silver_cart_summary": "select * from cart_summary",
     "silver_cart_items": "select * from cart_items",
+    "silver_cart_items_late": "select * from cart_items",
     "silver_cart_items_from_json": "select * from cart_items",
-    "silver_cart_items_from_documents": "select * from cart_items",
     "silver_cart_items_from_ranges": "select * from cart_items",
+    "silver_cart_items_from_documents": "select * from cart_items",
     "rejects_by_rule": _union(
         f"""select '{table}' as "table", failed_rule, count(*) as rejected
         from (select {_failed(table)} as failed_rule from {_DISTINCT[table]})
@@ -497,8 +498,8 @@ _QUERIES = {
     "discount_agg": "select * from discounts",
     "customer_360": "select * from customer_360",
     "product_demand": "select * from demand",
-    "product_demand_sketched": "select * from demand",
     "product_demand_unique_lines": "select * from demand",
+    "product_demand_sketched": "select * from demand",
     "product_performance": "select * from product_performance",
     "product_performance_literal": """select * exclude (units_or_null),
         case when units_or_null = 0 then 'no_sales' when units_or_null < 5 then 'low'

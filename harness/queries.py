@@ -393,6 +393,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     ),
     "silver_cart_summary": lambda s: _timeless(s.cart_summary),
     "silver_cart_items": lambda s: _timeless(s.items),
+    "silver_cart_items_late": lambda s: _timeless(silver.cart_items(s.raw_carts, RUN_TS, late=True)),
     "silver_cart_items_from_json": lambda s: _timeless(
         silver.cart_items(_json_lines(s, "carts"), RUN_TS)
     ),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplake.functions import age_on, clean, clean_lower, or_unknown, real, whole
 from shoplake.functions.numbers import in_range
-from shoplake.operators.dedup import without_copies
+from shoplake.operators.dedup import without_copies, without_copies_late
 from shoplake.operators.nested import explode_keeping
 from shoplake.operators.quality import accepted, assess
 from shoplake.operators.rules import Rules, passing
@@ -249,9 +249,15 @@ class SilverTable:
     rules: Callable[[], dict[str, Column]]
     watched: tuple[str, ...] = ()
 
-    def build(self, cleaned: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-        """Duplicates go first, then invalid rows: an invalid copy may displace a valid one."""
-        kept = without_copies(cleaned, self.keys).filter(passing(self.rules()))
+    def build(
+        self, cleaned: DataFrame, run_ts: dt.datetime | None = None, late: bool = False
+    ) -> DataFrame:
+        """Duplicates go first, then invalid rows: an invalid copy may displace a valid one.
+
+        ``late`` finds repeated keys in a job of its own and moves only their rows.
+        """
+        first = without_copies_late if late else without_copies
+        kept = first(cleaned, self.keys).filter(passing(self.rules()))
         return with_audit(kept, "silver", run_ts, "bronze")
 
     def assess(self, cleaned: DataFrame) -> DataFrame:
@@ -301,5 +307,7 @@ def cart_summary(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame
     return CART_SUMMARY.build(clean_cart_summary(raw), run_ts)
 
 
-def cart_items(raw: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-    return CART_ITEMS.build(clean_cart_items(raw), run_ts)
+def cart_items(
+    raw: DataFrame, run_ts: dt.datetime | None = None, late: bool = False
+) -> DataFrame:
+    return CART_ITEMS.build(clean_cart_items(raw), run_ts, late)

@@ -14,6 +14,7 @@ from shoplake.operators import (
     rejects_by_rule,
     top,
     without_copies,
+    without_copies_late,
 )
 
 RECORD = st.tuples(
@@ -42,6 +43,9 @@ def test_dedup_keeps_the_smallest_row(spark, records):
 
     df = spark.createDataFrame(records, "k int, t string, v double").repartition(3)
     assert {tuple(r) for r in without_copies(df, ["k"]).collect()} == set(expected.values())
+    for most in (100, 0):
+        late = without_copies_late(df, ["k"], most).collect()
+        assert Counter(map(tuple, late)) == Counter(expected.values())
     tally = F.count_if(F.col("t").isNull()).alias("blank")
     found = {r[0]: tuple(r) for r in keep_first(df, ["k"], [tally]).collect()}
     assert found == {k: (*row, copies[k], blank[k]) for k, row in expected.items()}
@@ -57,6 +61,50 @@ def test_dedup_on_two_keys_keeps_column_order(spark, rows):
     assert keep_first(df, ["a", "b"]).columns == ["t", "a", "b", "c", "copies"]
 
 
+def test_late_dedup_of_no_rows_and_clashing_names(spark, rows):
+    df = spark.createDataFrame(
+        [(1, 2, 5), (1, 2, 4), (None, 2, 3), (None, 2, 3), (3, 3, 3)], "k int, k_0 int, copies int"
+    )
+    assert rows(without_copies_late(df, ["k"])) == [(None, 2, 3), (1, 2, 4), (3, 3, 3)]
+    assert rows(without_copies_late(df, ["k_0", "copies"])) == [
+        (None, 2, 3), (1, 2, 4), (1, 2, 5), (3, 3, 3),
+    ]
+    assert without_copies_late(df.limit(0), ["k"]).count() == 0
+
+
+def test_late_dedup_moves_keys_in_place_of_rows(spark, tmp_path):
+    """Shuffled bytes of lines of which one in fifty is there twice."""
+    lines = spark.range(0, 40_000, numPartitions=4).select(
+        (F.col("id") - (F.col("id") % 50 == 1).cast("int")).alias("k"),
+        *[F.sha2((F.col("id") + i).cast("string"), 256).alias(f"c{i}") for i in range(6)],
+    )
+    lines.write.parquet(str(tmp_path / "lines"))
+    lines = spark.read.parquet(str(tmp_path / "lines"))
+
+    def moved(df):
+        df.collect()
+        stack, total = [df._jdf.queryExecution().executedPlan()], 0
+        while stack:
+            node = stack.pop()
+            kind = node.getClass().getSimpleName()
+            if kind == "AdaptiveSparkPlanExec":
+                stack.append(node.executedPlan())
+                continue
+            if kind.endswith("QueryStageExec"):
+                stack.append(node.plan())
+                continue
+            if kind == "ShuffleExchangeExec":
+                total += node.metrics().apply("dataSize").value()
+            children = node.children()
+            stack += [children.apply(i) for i in range(children.size())]
+        return total
+
+    keys = moved(lines.groupBy("k").agg(F.count(F.lit(1)).alias("n")))
+    plain, late = without_copies(lines, ["k"]), without_copies_late(lines, ["k"])
+    assert 2 * (keys + moved(late)) < moved(plain)
+    assert sorted(late.collect()) == sorted(plain.collect())
+
+
 def test_a_hot_key_sends_few_rows(spark):
     """A key holding most rows is cut down before the shuffle, in both forms."""
     df = spark.range(0, 100_000, numPartitions=8).select(
