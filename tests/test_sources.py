@@ -144,6 +144,31 @@ def test_records_of_documents_are_spread(spark, raw, samples):
     assert "REBALANCE_PARTITIONS_BY_NONE" in found._jdf.queryExecution().toString()
 
 
+def test_a_document_is_read_once_or_so(spark, samples, tmp_path):
+    """Not once more for each number in it, and also where Spark cuts the file into ranges."""
+    records = [samples["products"] | {"id": i, "price": 1, "sku": "@"} for i in range(4000)]
+    # Numbers keep the text they have.
+    text = json.dumps({"products": records}).replace('"@"', "1.50")
+    put(tmp_path / "in", "a.json", text)
+    put(tmp_path / "in", "empty.json", "")
+    found = bronze.read_records(spark, str(tmp_path / "in"), "products")
+    files = spark._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read():
+        return sum(s.getBytesRead() for s in files.getAllStatistics() if s.getScheme() == "file")
+
+    before = read()
+    rows = found.collect()
+    assert read() - before < 3 * len(text)
+    assert sorted(int(r.id) for r in rows) == list(range(4000)) and {r.sku for r in rows} == {"1.50"}
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    assert session.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 5
+    cut = bronze.read_records(session, str(tmp_path / "in"), "products")
+    assert sorted(cut.collect()) == sorted(rows)
+
+
 def test_a_failed_landing_is_recorded_and_raised(spark, tmp_path, samples):
     put(tmp_path / "in", "a.json", json.dumps({"products": [samples["products"]]}))
     sources = {"products": str(tmp_path / "in"), "users": str(tmp_path / "missing")}
