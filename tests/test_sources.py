@@ -6,6 +6,7 @@ from unittest import mock
 import pytest
 from pyspark.sql import functions as F
 
+from harness import queries as harness_queries
 from shoplake.plans import dashboard, gold, reports
 from shoplake.sources import bronze
 from shoplake.sources.jdbc import jdbc_config, write_jdbc
@@ -169,6 +170,26 @@ def test_a_document_is_read_once_or_so(spark, samples, tmp_path):
     assert sorted(cut.collect()) == sorted(rows)
 
 
+def test_landed_lines_are_compressed(spark, tmp_path, samples):
+    text = "\n".join(json.dumps(samples["carts"] | {"id": i}) for i in range(3000))
+    put(tmp_path / "in", "a.json", text + '\n{"id": ')
+    target = str(tmp_path / "out")
+    assert bronze.copy_raw(spark, str(tmp_path / "in"), target, "carts", "lines") == (3000, 1)
+    assert sum(os.path.getsize(f"{target}/{f}") for f in os.listdir(target)) < len(text) / 3
+    found = bronze.read_records(spark, target, "carts", "lines", "aside")
+    assert sorted(int(r.id) for r in found.select("id").collect()) == list(range(3000))
+    assert [r.value for r in bronze.read_malformed(spark, target, "carts", "lines").collect()] == ['{"id": ']
+
+
+@pytest.mark.parametrize("query", ["silver_products_from_json", "malformed_counts", "landing_manifest", "file_manifest", "incremental_landing"])
+def test_queries_write_their_lines_compressed(spark, tmp_path, query, monkeypatch):
+    monkeypatch.setattr(harness_queries, "scratch_dir", lambda _: str(tmp_path / "out"))
+    harness_queries.queries()[query](spark, "/root/testdata/sf0.001").collect()
+    folders = [d for d in (tmp_path / "out").rglob("*") if d.is_dir() and d.name != "ingestion_manifest"]
+    lines = [f.name for d in folders for f in d.iterdir() if f.name.startswith("part-") and "parquet" not in f.name]
+    assert lines and all(name.endswith(".gz") for name in lines)
+
+
 def test_a_failed_landing_is_recorded_and_raised(spark, tmp_path, samples):
     put(tmp_path / "in", "a.json", json.dumps({"products": [samples["products"]]}))
     sources = {"products": str(tmp_path / "in"), "users": str(tmp_path / "missing")}
