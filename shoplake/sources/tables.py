@@ -103,10 +103,16 @@ def save_lines_by_user(
 
     Spark knows which rows share a bucket: grouping by user, or by user and anything else, and
     joining with a table in the same buckets, moves no line. A bucket is one task's, so there
-    should be many more of them than cores, and users of a like size.
+    should be many more of them than cores, and users of a like size. Lines without a user, which
+    are all of one bucket, are written by all tasks.
     """
     spark, target = df.sparkSession, next_version(table_path(root, "cart_items") + "_by_user")
-    in_buckets = df.repartition(buckets, "user_id")
+    # Spark's own rule for buckets, so that each of them is one task's to write.
+    bucket = F.pmod(F.hash("user_id"), F.lit(buckets))
+    spread = F.pmod(F.xxhash64("cart_id", "product_id"), F.lit(buckets)).cast("int")
+    in_buckets = df.repartitionById(
+        buckets, F.when(F.col("user_id").isNull(), spread).otherwise(bucket)
+    )
     spark.sql(f"drop table if exists {name}")
     writer = in_buckets.write.bucketBy(buckets, "user_id").sortBy("user_id").option("path", target)
     writer.format("parquet").saveAsTable(name)

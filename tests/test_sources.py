@@ -494,6 +494,26 @@ def test_lines_in_buckets_do_not_move(spark, tmp_path, rows):
     assert len(moved) <= 1 and all("cart_id" not in line and "category" not in line for line in moved)
 
 
+def test_lines_without_a_user_are_written_by_all_tasks(spark, tmp_path, rows):
+    df = items(spark).where("cart_id < 20").crossJoin(spark.range(200).select(F.col("id").alias("n")))
+    no_user = F.when(F.col("cart_id") % 10 > 4, F.col("user_id"))
+    df = df.withColumns({"cart_id": F.col("cart_id") * 200 + F.col("n"), "user_id": no_user}).drop("n")
+    stored = save_lines_by_user(df, str(tmp_path), "lines_without", buckets=4)
+    assert rows(stored.select(df.columns)) == rows(df)
+    place = F.col("_metadata.file_path").alias("file")
+    files = stored.select(place, F.isnull("user_id").alias("loose")).groupBy("file").agg(
+        F.count_if("loose").alias("loose"), F.count(F.lit(1)).alias("n")).collect()
+    told = sorted(f.loose for f in files if f.loose)
+    assert len(told) == 4 and told[-1] < sum(told) / 2
+    # A task writes its bucket, and its part of the lines without a user.
+    assert len(files) <= 8
+    users = stored.where("user_id is not null").select(place, "user_id").distinct()
+    assert users.count() == 5
+    plan = gold.user_cart_aggregate(stored)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert rows(gold.user_cart_aggregate(stored)) == rows(gold.user_cart_aggregate(df))
+
+
 def test_no_lines_by_user(spark, tmp_path):
     with pytest.raises(ValueError, match="no lines"):
         lines_by_user(spark, str(tmp_path))
