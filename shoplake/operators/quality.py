@@ -47,6 +47,15 @@ def accepted(assessed: DataFrame, columns: Sequence[str]) -> DataFrame:
     return assessed.filter(F.col(FAILED_RULE).isNull()).select(*columns)
 
 
+def only_counted(assessed: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """The same rows, of which those that fail a rule keep nothing but the columns in ``by`` and
+    what is counted: they are brought to the last stage for that alone."""
+    if not by:
+        return assessed
+    kept = F.col(FAILED_RULE).isNull()
+    return assessed.withColumns({c: F.when(kept, F.col(c)) for c in columns if c not in by})
+
+
 def written() -> list[Column]:
     """Of the rows as they are written."""
     return [F.count(F.lit(1)).alias("steps/05_written")]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from shoplake.functions.tiers import CRITICAL, DEMAND_TIERS, HIGH, MEDIUM, RISK_LEVELS
 from shoplake.operators.quality import (
     leaf_fields,
+    only_counted,
     report_frame,
     share_metrics,
     stage_metrics,
@@ -83,12 +84,14 @@ def write_silver_table(
     if resume and (known := up_to_date(raw.sparkSession, path, inputs)) is not None:
         return known
     cleaned = table.clean(raw, as_of) if table is silver.USERS else table.clean(raw)
+    typed = table.typed(raw) if table.typed else cleaned
+    assessed = table.assess(typed)
     for column in by:
         if column.startswith(USER_BUCKET):
-            cleaned = with_user_bucket(cleaned, column)
-    assessed, counts = _observe(
-        gather(table.assess(cleaned), by), stage_metrics(table.rules(), table.watched)
-    )
+            cleaned, assessed = (with_user_bucket(df, column) for df in (cleaned, assessed))
+    moved = gather(only_counted(assessed, typed.columns, by), by)
+    moved = table.derived(moved) if table.derived else moved
+    assessed, counts = _observe(moved, stage_metrics(table.rules(), table.watched))
     kept, rows = _observe(table.accept(assessed, cleaned, run_ts), written())
     finish = write_version(kept, path, by, gathered=True)
     found = counts.get | rows.get

@@ -169,8 +169,8 @@ def user_rules() -> Rules:
 # --- carts ------------------------------------------------------------------------------
 
 
-def clean_cart_summary(raw: DataFrame) -> DataFrame:
-    typed = raw.select(
+def type_cart_summary(raw: DataFrame) -> DataFrame:
+    return raw.select(
         whole("id", "bigint").alias("cart_id"),
         whole("userId", "bigint").alias("user_id"),
         whole("totalProducts").alias("total_products"),
@@ -178,6 +178,9 @@ def clean_cart_summary(raw: DataFrame) -> DataFrame:
         real("total").alias("cart_total"),
         real("discountedTotal").alias("cart_discounted_total"),
     )
+
+
+def with_savings(typed: DataFrame) -> DataFrame:
     saved = F.col("cart_total") - F.col("cart_discounted_total")
     return typed.withColumns(
         {
@@ -187,6 +190,10 @@ def clean_cart_summary(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_cart_summary(raw: DataFrame) -> DataFrame:
+    return with_savings(type_cart_summary(raw))
+
+
 def cart_summary_rules() -> Rules:
     return {
         "cart_id_present": F.col("cart_id").isNotNull(),
@@ -205,8 +212,8 @@ def explode_carts(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_cart_items(raw: DataFrame) -> DataFrame:
-    typed = explode_carts(raw).select(
+def type_cart_items(raw: DataFrame) -> DataFrame:
+    return explode_carts(raw).select(
         whole("cart_id", "bigint").alias("cart_id"),
         whole("user_id", "bigint").alias("user_id"),
         whole("id", "bigint").alias("product_id"),
@@ -217,6 +224,9 @@ def clean_cart_items(raw: DataFrame) -> DataFrame:
         real("discountPercentage").alias("discount_percentage"),
         real("discountedTotal").alias("line_discounted_total"),
     )
+
+
+def with_recomputed(typed: DataFrame) -> DataFrame:
     recomputed = F.round(F.col("unit_price") * F.col("quantity"), 2)
     return typed.withColumns(
         {
@@ -226,6 +236,10 @@ def clean_cart_items(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_cart_items(raw: DataFrame) -> DataFrame:
+    return with_recomputed(type_cart_items(raw))
+
+
 def cart_item_rules() -> Rules:
     return {
         "cart_id_present": F.col("cart_id").isNotNull(),
@@ -248,6 +262,11 @@ class SilverTable:
     clean: Callable[..., DataFrame]
     rules: Callable[[], dict[str, Column]]
     watched: tuple[str, ...] = ()
+    # What ``clean`` does as two steps, the second of which adds columns on the right that follow
+    # from the others: they don't decide which copy is kept, no rule looks at them, and so they
+    # need not be moved.
+    typed: Callable[[DataFrame], DataFrame] | None = None
+    derived: Callable[[DataFrame], DataFrame] | None = None
 
     def build(
         self, cleaned: DataFrame, run_ts: dt.datetime | None = None, late: bool = False
@@ -286,10 +305,22 @@ USERS = SilverTable(
     ("id", "email", "first_name", "last_name", "age", "birth_date", "gender"),
 )
 CART_SUMMARY = SilverTable(
-    "cart_summary", "carts", ("cart_id",), clean_cart_summary, cart_summary_rules
+    "cart_summary",
+    "carts",
+    ("cart_id",),
+    clean_cart_summary,
+    cart_summary_rules,
+    typed=type_cart_summary,
+    derived=with_savings,
 )
 CART_ITEMS = SilverTable(
-    "cart_items", "carts", ("cart_id", "product_id"), clean_cart_items, cart_item_rules
+    "cart_items",
+    "carts",
+    ("cart_id", "product_id"),
+    clean_cart_items,
+    cart_item_rules,
+    typed=type_cart_items,
+    derived=with_recomputed,
 )
 
 

@@ -10,7 +10,7 @@ from shoplake.plans import gold, pipeline, silver
 from shoplake.plans.reports import REPORTS
 from shoplake.sources.bronze import land, read_records
 from shoplake.sources.versions import current, mark
-from shoplake.sources.tables import GOLD, SILVER, read_layer, read_reports
+from shoplake.sources.tables import GOLD, SILVER, gather, read_layer, read_reports
 
 AS_OF = dt.date(2025, 1, 1)
 RUN_TS = dt.datetime(2025, 1, 1, 6)
@@ -246,3 +246,27 @@ def test_sources_without_a_valid_row(spark, raw, samples, tmp_path):
     assert counts["products_silver"]["dropped/failed_quality_filters"] == 1
     assert counts["carts_silver"]["rejected/cart_summary.total_not_negative"] == 1
     assert read_layer(spark, out, ["users"])["users"].count() == 0
+
+
+def test_rows_that_fail_are_moved_for_their_count_alone(spark, samples, raw, tmp_path, rows):
+    """What follows from other columns isn't moved either, and the stored rows are the same."""
+    line = samples["line"]
+    lines = [line | {"id": i, "price": i % 2 * 3.5, "title": "long title " * 40} for i in range(400)]
+    lines += [line | {"id": 3, "quantity": 1}, line | {"id": 5, "price": 0}]
+    carts = [samples["carts"] | {"id": i, "userId": i % 9 or None, "products": lines} for i in range(40)]
+    source = raw("carts", carts, "lines")
+    moved = []
+
+    def gathered(df, by):
+        moved.append(df)
+        return gather(df, by)
+
+    with mock.patch.object(pipeline, "gather", gathered):
+        counts = pipeline.write_silver_table(silver.CART_ITEMS, source, str(tmp_path), None, RUN_TS)
+    assert counts["rejected/price_positive"] == 40 * 201 and counts["steps/05_written"] == 40 * 199
+    expected = silver.cart_items(source, RUN_TS)
+    stored = read_layer(spark, str(tmp_path), ["cart_items"])["cart_items"]
+    assert rows(stored.select(expected.columns)) == rows(expected)
+    assert "line_total_recomputed" not in moved[0].columns
+    failed = moved[0].where("failed_rule is not null")
+    assert failed.count() == 40 * 201 and failed.where("product_title is not null").count() == 0
