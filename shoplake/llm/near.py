@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import cut, mixed, slices, stored, words
+from shoplake.llm.common import cut, mixed, short_batches, slices, stored, words
 from shoplake.llm.graph import components
 from shoplake.llm.rolling import Joined
 
@@ -267,6 +267,7 @@ def _near_groups(
     docs: DataFrame, shingle: int, percent: int, rows: int, bands: int, id_col: str, text_col: str
 ) -> DataFrame:
     """As ``near_groups``, with the mark of each row's text."""
+    short_batches(docs.sparkSession)
     doc_id, text = F.col(id_col).cast("bigint"), F.col(text_col).cast("string")
     given = docs.select(doc_id.alias("doc_id"), text.alias("text"), text_mark(text).alias("mark"))
     read = stored(given.mapInArrow(signed(shingle, rows, bands), SIGNED))

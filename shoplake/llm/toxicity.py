@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import stored
+from shoplake.llm.common import short_batches, stored
 
 SAMPLE = 24_000  # labelled documents that are learned from, at most
 CANDIDATES = 20_000  # stems that are weighed, at most; those in most labelled documents
@@ -145,6 +145,7 @@ def with_features(docs: DataFrame, text_col: str, lexicon: dict[str, float], car
                 names=[*carry, "__features"],
             )
 
+    short_batches(docs.sparkSession)
     # A text that is carried anyway goes to the task once.
     name, _, field = text_col.partition(".")
     name = name if name in carry else "__text"

@@ -1,0 +1,65 @@
+import uuid
+
+import pytest
+
+from shoplake.llm import near, runs
+from shoplake.llm.common import BATCH, BATCH_SETTING, short_batches
+
+MANY = 200  # texts of about 50 KB
+
+
+@pytest.fixture
+def unset(spark):
+    spark.conf.unset(BATCH_SETTING)
+    yield spark
+    spark.conf.unset(BATCH_SETTING)
+
+
+@pytest.fixture
+def long_texts(unset):
+    text = "array_join(transform(sequence(1, 4500), i -> concat(id, 'word', i)), ' ') as text"
+    return unset.range(1, MANY + 1, numPartitions=1).selectExpr("id as doc_id", text)
+
+
+def noted(maker, folder):
+    """What ``maker`` makes, leaving a file with the size of each batch that it is given."""
+
+    def make(*given):
+        run = maker(*given)
+
+        def told(batches):
+            for batch in batches:
+                (folder / uuid.uuid4().hex).write_text(str(batch.nbytes))
+                yield from run(iter([batch]))
+
+        return told
+
+    return make
+
+
+def largest(folder):
+    sizes = [int(path.read_text()) for path in folder.iterdir()]
+    assert sum(sizes) > 8e6
+    return max(sizes)
+
+
+def test_near_dedup_takes_long_texts_a_few_at_a_time(long_texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(near, "signed", noted(near.signed, tmp_path))
+    found = near.near_groups(long_texts).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.kept) for r in found) == [(i, 4496, True) for i in range(1, MANY + 1)]
+    assert largest(tmp_path) < 5e6
+
+
+def test_periodic_runs_take_long_texts_a_few_at_a_time(long_texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(runs, "searched", noted(runs.searched, tmp_path))
+    found = runs.periodic_runs(long_texts).collect()
+    assert sorted((r.doc_id, r.n_runs) for r in found) == [(i, 0) for i in range(1, MANY + 1)]
+    assert largest(tmp_path) < 5e6
+
+
+def test_a_size_that_was_set_stays(unset):
+    short_batches(unset)
+    assert unset.conf.get(BATCH_SETTING) == BATCH
+    unset.conf.set(BATCH_SETTING, "1m")
+    short_batches(unset)
+    assert unset.conf.get(BATCH_SETTING) == "1m"
