@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplake.llm.common import mixed, slices, stored, tasks, words
+from shoplake.llm.common import mixed, short_batches, slices, stored, tasks, words
 from shoplake.llm.rolling import BASE, powers
 
 # A run has so many periods and so many words at least.
@@ -300,6 +300,7 @@ def periodic_runs(
     ids stay null, repeated rows get a row each, other columns play no part. Texts of more
     than ``long`` words are searched by several tasks; the result is the same.
     """
+    short_batches(docs.sparkSession)
     rows = docs.select(
         F.monotonically_increasing_id().alias("key"),
         F.col(id_col).cast("bigint").alias("doc_id"),
