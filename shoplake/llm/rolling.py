@@ -6,7 +6,7 @@ from shoplake.llm.common import mixed
 
 BASE = 0x9E6C63D0876A3F6B  # odd, so that it has an inverse
 INVERSE = pow(BASE, -1, 2**64)
-BLOCK = 1 << 21  # bytes hashed at a time
+BLOCK = 1 << 18  # bytes hashed at a time; some 48 bytes are held for each
 
 
 def powers(base: int, n: int) -> np.ndarray:
