@@ -17,32 +17,38 @@ import json
 import re
 import sys
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from functools import partial
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from shoplake.llm.common import stored, tasks
+from shoplake.llm.common import gathered, slices, stored, tasks
 
 GROUP, FULL = 20_000, 4_000  # pieces packed together, at most and at least, about
-CACHE = 400_000  # words whose ids a task remembers
+STEP = 4 << 20  # bytes of text encoded at a time, about
 END_OF_TEXT = 1  # Fixed value: the id that closes a document.
 
 PIECES = """doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,
     loss bigint"""
 PACKED = f"{PIECES}, sequence_id bigint, offset bigint"
 
-# Words with the white space before them. The tokenizer never joins across these cuts, as long
-# as a cut has white space on its right only.
-CHUNK = re.compile(r"\s*\S+|\s+\Z")
-# White space to Python, but not to the tokenizer.
-ODD = re.compile("[\x1c-\x1f]")
+# What the vocabulary's rule for cutting text takes as white space, and words with
+# all white space before them. The tokenizer never joins across these cuts.
+OTHER = "\t\x0b-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = f" \n{OTHER}"
+WORD = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+# Texts with white space other than single blanks and line breaks, and where those are cut.
+SPACED = f"\\A[ \n]|[ \n][ \n]|[{OTHER}]"
+EDGES = f"([^{SPACE}])([{SPACE}])"
+# Words that white space before them would be joined with, or after them.
+APART = f"\\A\\z|\\A[{SPACE}][{SPACE}]|[{SPACE}]\\z"
 # Fixed value: how byte-level vocabularies of this kind cut text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -54,29 +60,54 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-class Words(dict):
-    """Ids of words by the word, which stands for itself with one space before it, or with the
-    line break it begins with. None for words that end in white space: they can't be cut off."""
+def word_table(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The distinct words of texts, each with all white space before it; the numbers of the words
+    in the texts, one text after the other; and where each text's numbers begin and end."""
+    texts = texts.cast(pa.large_string())
+    if pc.any(pc.match_substring(texts, "\0")).as_py():
+        lists = pa.array([WORD.findall(t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
+    else:
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n")
+        spaced = pc.match_substring_regex(texts, SPACED)
+        if pc.any(spaced).as_py():
+            again = pc.replace_substring_regex(texts.filter(spaced), EDGES, "\\1\0\\2")
+            cut = pc.replace_with_mask(cut, spaced, again)
+        lists = pc.split_pattern(cut, "\0")
+    words = lists.flatten().dictionary_encode()
+    return words.dictionary, words.indices.to_numpy(), lists.offsets.to_numpy()
 
-    def __init__(self, encode: Callable[[str], list[int]]):
-        self.encode = encode
 
-    def __missing__(self, word: str) -> bytes | None:
-        ids = None
-        if word and not word[-1].isspace():
-            ids = array("I", self.encode(word if word[0] == "\n" else " " + word)).tobytes()
-        if len(self) >= CACHE:
-            self.clear()
-        self[word] = ids
-        return ids
+def content(parts: pa.Array, between: str = "") -> pa.Buffer:
+    """Texts as one."""
+    lists = pa.ListArray.from_arrays([0, len(parts)], parts)
+    return pc.binary_join(lists, pa.scalar(between, parts.type))[0].as_buffer()
+
+
+def binary(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Values one after the other as byte strings of so many values each."""
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]) * values.itemsize
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), buffers)
+
+
+def joined(parts: pa.Array, numbers: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The parts by their numbers, put together from each place to the next."""
+    if not len(numbers):
+        return [b""] * (len(at) - 1)
+    taken = parts.take(pa.array(numbers))
+    _, offsets, data = taken.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(taken) + 1, taken.offset * 8)[at].tolist()
+    view = memoryview(data or b"")
+    return [bytes(view[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 class Encoder:
     """Ids of texts as little-endian 32-bit numbers, the same as ``Tokenizer.encode`` gives.
 
-    Words are encoded once each, by a faster library from the same vocabulary; that holds for
-    byte-level vocabularies whose ids are in the order of the merges, and others are encoded
-    by the tokenizer itself. So are whole texts where a special token might stand.
+    Words are encoded once for some texts, all at a time, by a faster library from the same
+    vocabulary; that holds for byte-level vocabularies whose ids are in the order of the merges,
+    and others are encoded by the tokenizer itself. So are whole texts where a special token
+    might stand.
     """
 
     def __init__(self, path: str):
@@ -94,8 +125,10 @@ class Encoder:
                 if token not in added
             }
             core = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-            self.one = core.encode_ordinary
-            self.words = Words(self.one)
+            self.many = partial(core.encode_to_numpy, disallowed_special=())
+            self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+            for token, i in ranks.items():
+                self.sizes[i] = len(token)
 
     @staticmethod
     def in_merge_order(given: dict) -> bool:
@@ -111,17 +144,37 @@ class Encoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype="<u4").tobytes()
 
+    def ids_of_words(self, words: pa.Array) -> pa.Array:
+        """Distinct words are one text to the library, with a line break before each: a token
+        of its own, as no word that is not encoded apart begins with two white spaces or ends
+        with one. The tokens' lengths in bytes say which are whose."""
+        apart = pc.match_substring_regex(words, APART).to_numpy(zero_copy_only=False)
+        together = words.filter(pa.array(~apart))
+        found, counts = np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        if len(together):
+            found = self.many("\n" + str(content(together, "\n"), "utf-8"))
+            sizes = pc.binary_length(together).to_numpy() + 1
+            starts = np.cumsum(self.sizes[found]) - self.sizes[found]
+            first = np.searchsorted(starts, np.cumsum(sizes) - sizes)
+            counts = np.diff(first, append=len(found)) - 1
+            found = np.delete(found, first)
+        own = [self.many(word) for word in words.filter(pa.array(apart)).to_pylist()]
+        ids = np.concatenate([found, *own]).astype("<u4")
+        counts = np.concatenate([counts, np.array([len(ids) for ids in own], dtype=np.int64)])
+        place = np.argsort(np.argsort(apart, kind="stable"), kind="stable")
+        return binary(ids, counts).take(pa.array(place))
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        if not self.merged:
+            return [self.whole(text) for text in texts]
+        special = [any(s in text for s in self.special) for text in texts]
+        plain = [text for text, own in zip(texts, special) if not own]
+        words, numbers, at = word_table(pa.array(plain, pa.large_string()))
+        found = iter(joined(self.ids_of_words(words), numbers, at))
+        return [self.whole(text) if own else next(found) for text, own in zip(texts, special)]
+
     def encode(self, text: str) -> bytes:
-        if not self.merged or any(s in text for s in self.special) or ODD.search(text):
-            return self.whole(text)
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if first and not first[-1].isspace():
-            try:
-                tail = b"".join(map(self.words.__getitem__, rest))
-                return array("I", self.one(first)).tobytes() + tail
-            except TypeError:  # white space in a row: cut before it instead
-                pass
-        return b"".join(array("I", self.one(c)).tobytes() for c in CHUNK.findall(text))
+        return self.encode_all([text])[0]
 
 
 def encoder(path: str) -> Encoder:
@@ -145,11 +198,12 @@ def tokenized(path: str, limit: int):
             yield doc_id, start, size, zlib.crc32(part), total, size - (start == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode
-        for batch in batches:
+        encode_all = encoder(path).encode_all
+        for batch in gathered(batches, STEP):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows += pieces(doc_id, encode(text.as_py()) + end)
+            for part, texts in slices(batch.column(1), STEP):
+                for doc_id, ids in zip(batch.column(0)[part].to_pylist(), encode_all(texts)):
+                    rows += pieces(doc_id, ids + end)
             columns = zip(*rows) if rows else [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
@@ -167,34 +221,36 @@ def filled(demands: np.ndarray, limits: np.ndarray) -> Iterator[list[int]]:
     stop = np.cumsum(np.bincount(members, minlength=len(kinds)))
     at = stop - np.bincount(members, minlength=len(kinds))
     left = stop - at
-    shares = kinds / limits
-    # Distinct demands that are used up leave the tables now and then.
-    alive = np.arange(len(kinds))
+    shares, columns = kinds / limits, np.ascontiguousarray(kinds.T)
     waiting = (shares * left[:, None]).sum(axis=0)
-    while len(alive):
+    while len(kinds):
         room, row = limits.astype(np.int64).copy(), []
         while True:
-            own = kinds[alive]
-            fits = (left[alive] > 0) & (own <= room).all(axis=1)
+            fits = left > 0
+            for column, most in zip(columns, room):
+                fits &= column <= most
             if not fits.any():
                 break
             weight = waiting / max(waiting.sum(), 1e-9)
-            value = np.where(fits, shares[alive] @ (weight * (room / limits)), -1.0)
-            kind = alive[value.argmax()]
+            value = np.where(fits, shares @ (weight * (room / limits)), -1.0)
+            kind = value.argmax()
             row.append(int(order[at[kind]]))
             at[kind] += 1
             left[kind] -= 1
             room -= kinds[kind]
             waiting = waiting - shares[kind]
         if not row:
-            for kind in alive[left[alive] > 0]:
+            for kind in np.flatnonzero(left > 0):
                 for i in order[at[kind] : stop[kind]]:
                     yield [int(i)]
             return
         yield row
-        if (left[alive] > 0).sum() < 0.9 * len(alive):
-            alive = alive[left[alive] > 0]
-        elif not (left[alive] > 0).any():
+        # Distinct demands that are used up leave the tables now and then.
+        some = left > 0
+        if some.sum() < 0.9 * len(kinds):
+            kinds, shares, left, at, stop = (own[some] for own in (kinds, shares, left, at, stop))
+            columns = np.ascontiguousarray(kinds.T)
+        elif not some.any():
             return
 
 

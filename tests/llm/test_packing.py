@@ -25,6 +25,28 @@ def test_encoder_gives_the_tokenizers_ids():
         assert encoder.encode(text) == ids.tobytes(), repr(text)
 
 
+def test_texts_together_have_the_ids_that_they_have_apart():
+    pick = random.Random(6)
+    letters = [*" \n\t\r\x85\x1c\x0b'sabé1!?日", "\u3000", "  ", "\n\n", " the", "<|endoftext|>"]
+    texts = ["".join(pick.choices(letters, k=pick.randrange(30))) for _ in range(2000)]
+    texts += ["", " ", "\n", " a", "a ", "a  b", "a\tb c", "x" * 5000]
+    encoder, tokenizer = Encoder(VOCABULARY), Tokenizer.from_file(VOCABULARY)
+    for own in (texts, [*texts, "a\0 b\0", "\0"], ["", ""], []):
+        ids = [np.array(e.ids, "<u4") for e in tokenizer.encode_batch(own, add_special_tokens=False)]
+        assert encoder.encode_all(own) == [i.tobytes() for i in ids]
+    other = Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.encode_all(["The end", ""]) == [other.whole("The end"), other.whole("")]
+
+
+def test_distinct_words_are_encoded_at_once():
+    encoder, calls = Encoder(VOCABULARY), []
+    many = encoder.many
+    encoder.many = lambda text: calls.append(text) or many(text)
+    texts = [f"some word{i},\nword{i} again" * 50 for i in range(500)]
+    assert encoder.encode_all(texts) == [encoder.whole(text) for text in texts]
+    assert len(calls) == 1 and len(calls[0]) < 25_000
+
+
 def test_other_vocabularies_are_left_to_the_tokenizer():
     path = public_tokenizers.path("word_bpe_49k.json")
     ids = Tokenizer.from_file(path).encode("The end", add_special_tokens=False).ids
