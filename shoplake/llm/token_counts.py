@@ -5,7 +5,8 @@ are: if their bytes together are encoded as these two. So every prefix has one l
 only, the token that ends there and agrees with the last token of the prefix before it, and
 its count is one more than that prefix's. One pass from left to right gives the counts of all
 prefixes, each as if the prefix were encoded on its own. Words repeat, so what a word adds to
-the counts is kept by the word.
+the counts is computed once for some texts; for the pieces of most words byte by byte for many
+pieces at once, and for those that begin alike once.
 
 The counts are stored as differences. Whether a text fits, where it must be cut for a budget,
 and how many tokens any prefix has are then read from the table; nothing is encoded again.
@@ -28,21 +29,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from shoplake.llm.common import slices
-from shoplake.llm.packing import Encoder, byte_letters
+from shoplake.llm.common import gathered, slices
+from shoplake.llm.packing import SPACE, Encoder, binary, byte_letters, content, joined, word_table
 
-CACHE = 10_000_000  # characters of words whose counts a worker remembers
-STEP = 4 << 20  # bytes of text at a time, about; characters of a longer text
+CACHE = 1 << 20  # pairs of tokens, and characters of words, that a worker remembers
+STEP = 8 << 20  # bytes of text at a time, about; characters of a longer text
+ROWS, WIDTH = 50_000, 32  # pieces counted at once, and their bytes; longer ones go one by one
 
-# What the vocabulary's rule for cutting text takes as white space, and the
-# contractions that are cut off as they are, of which these are longer than one letter.
-SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# The contractions that are cut off as they are, of which these are longer than
+# one letter.
 CONTRACTIONS = {"'re", "'ve", "'ll"}
-WORD = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 LEAD = re.compile(f"[{SPACE}]*")
 EDGE = re.compile(f"(?<=[^{SPACE}])[{SPACE}]")
-# Most words: letters, and signs that follow them as a piece of their own.
-SIMPLE = re.compile(r"([ \n]?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
+# Most words: letters or digits, and signs before or after them, a piece each. The letters are
+# those that all versions of Unicode have as such.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏΆΈ-ΊΌΎ-ΡΣ-ϵЀ-ҁҊ-ԣא-תؠ-يぁ-ゖァ-ヺ一-龥가-힣"
+SIGNS = "!-/:-@\\[-`{-~"
+SIMPLE = (
+    f"\\A(?P<line>\n?)(?P<open>(?: ?[{SIGNS.replace('!-/', '!-&(-/')}]+)?)"
+    f"(?P<stem> ?(?:[{LETTERS}]+|[0-9]+))(?P<signs>[{SIGNS}]*)\\z"
+)
 
 COUNTED = "doc_id bigint, n_bytes bigint, n_chars bigint, n_tokens bigint, prefix_steps binary"
 
@@ -58,6 +64,7 @@ class Pairs(dict):
     def __init__(self, ranks: dict[bytes, int], names: list[bytes]):
         self.ranks = ranks
         self.names = [*names, b""]
+        self.known = np.full(CACHE, -1, dtype=np.int64)
 
     def merged(self, piece: bytes) -> list[bytes]:
         """Byte-pair encoding as it is defined: the lowest rank is joined first."""
@@ -74,9 +81,21 @@ class Pairs(dict):
     def __missing__(self, key: int) -> bool:
         pair = [self.names[i] for i in divmod(key, len(self.names))]
         found = self.merged(b"".join(pair)) == [token for token in pair if token]
+        if len(self) >= CACHE:
+            self.clear()
         self[key] = found
         return found
 
+    def all_of(self, keys: np.ndarray) -> np.ndarray:
+        """As one by one; by a table in which pairs that share a place replace each other."""
+        place = (keys * 0x9E3779B1 >> 12) % len(self.known)
+        known = self.known[place]
+        new = np.flatnonzero(known >> 1 != keys)
+        if len(new):
+            found = [2 * key + self[key] for key in keys[new].tolist()]
+            known[new] = self.known[place[new]] = found
+        return (known & 1).astype(bool)
+
 
 class PrefixCounter:
     """Counts of a byte-level vocabulary whose ids are in the order of the merges."""
@@ -110,8 +129,24 @@ class PrefixCounter:
         self.lengths = {end: sorted(found, reverse=True) for end, found in ends.items()}
         self.words: dict[str, bytes] = {}
         self.size = 0  # characters of these words
+        self.set_backwards(names)
         self.before, self.count, self.last = b"", [0], [len(names)]
 
+    def set_backwards(self, names: list[bytes]) -> None:
+        """A tree of the tokens read from their ends, as a sorted table of its edges."""
+        edges: dict[int, int] = {}
+        tokens = {}
+        for i, name in enumerate(names):
+            node = 0
+            for byte in reversed(name[-WIDTH:]):
+                node = edges.setdefault(node << 8 | byte, len(edges) + 1)
+            if len(name) <= WIDTH:
+                tokens[node] = i
+        self.edges = np.array(sorted(edges), dtype=np.int64)
+        self.nodes = np.array([edges[key] for key in sorted(edges)], dtype=np.int64)
+        self.token_at = np.full(len(edges) + 1, -1, dtype=np.int64)
+        self.token_at[list(tokens)] = list(tokens.values())
+
     def by_byte(self, piece: bytes) -> list[int]:
         """The number of tokens of every prefix of a piece, the empty one first. What the
         piece before began with in the same way is not computed again."""
@@ -164,34 +199,113 @@ class PrefixCounter:
             done += own[-1]
         return counts
 
-    def learn(self, words: set[str]) -> None:
-        """Remember what each character of these words adds to the number of tokens."""
-        unknown = words.difference(self.words)
-        if self.size + sum(map(len, unknown)) > CACHE:
-            self.words.clear()
-            self.size, unknown = 0, words
-        parts: dict[str, list[str]] = {}
-        for word in unknown:
-            simple = SIMPLE.fullmatch(word)
-            if simple:
-                stem, signs = simple.groups()
-                first = "\n" if stem[0] == "\n" else ""
-                parts[word] = [part for part in (first, stem[len(first) :], signs) if part]
-        # In order, so that a piece shares most of its beginning with the one before.
-        simple = {part for found in parts.values() for part in found}
-        steps = {part: differences(self.by_character(part)) for part in sorted(simple)}
-        for word in unknown:
-            if word in parts:
-                self.words[word] = b"".join([steps[part] for part in parts[word]])
-            else:
-                self.words[word] = differences(self.of_word(word))
-            self.size += len(word)
+    def ending(self, letters: np.ndarray, depth: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The tokens that end at places of pieces, and their sizes, place by place and the
+        longest first; and where each place's begin and end."""
+        at, node = np.arange(len(depth)), np.zeros(len(depth), dtype=np.int64)
+        places, sizes, tokens = [], [], []
+        for size in range(1, WIDTH + 1):
+            inside = depth[at] >= size - 1
+            at, node = at[inside], node[inside]
+            key = node << 8 | letters[depth[at] - (size - 1), row[at]]
+            edge = np.minimum(np.searchsorted(self.edges, key), len(self.edges) - 1)
+            there = self.edges[edge] == key
+            at, node = at[there], self.nodes[edge[there]]
+            if not len(at):
+                break
+            token = self.token_at[node]
+            whole = token >= 0
+            places.append(at[whole])
+            sizes.append(np.full(len(places[-1]), size))
+            tokens.append(token[whole])
+        place = np.concatenate(places[::-1])
+        order = np.argsort(place, kind="stable")
+        stops = np.cumsum(np.bincount(place, minlength=len(depth)))
+        sizes, tokens = np.concatenate(sizes[::-1])[order], np.concatenate(tokens[::-1])[order]
+        return tokens, sizes, np.concatenate([[0], stops])
+
+    def at_once(self, pieces: pa.Array) -> pa.Array:
+        """``differences`` of what ``by_character`` gives, of short pieces in order."""
+        lengths = pc.binary_length(pieces).to_numpy()
+        inside = np.arange(lengths.max())[:, None] < lengths
+        letters = np.zeros(inside.shape[::-1], dtype=np.int64)
+        letters[inside.T] = np.frombuffer(content(pieces), dtype=np.uint8)
+        letters = np.ascontiguousarray(letters.T)
+        # Places whose beginning is not that of the piece before.
+        new = inside.copy()
+        new[:, 1:] &= ~np.logical_and.accumulate(letters[:, 1:] == letters[:, :-1], axis=0)
+        depth, row = np.nonzero(new)
+        tokens, sizes, ends = self.ending(letters, depth, row)
+        base, none = len(self.tokens) + 1, len(self.tokens)
+        last = np.full((len(letters) + 1, len(lengths)), none, dtype=np.int64)
+        count = np.zeros_like(last)
+        begin = np.searchsorted(depth, np.arange(len(letters) + 1))
+        for at in range(len(letters)):
+            open_, own = np.arange(begin[at], begin[at + 1]), ends[begin[at] : begin[at + 1]]
+            while len(open_):
+                before = at + 1 - sizes[own], row[open_]
+                fits = self.pairs.all_of(last[before] * base + tokens[own])
+                fits |= own + 1 == ends[open_ + 1]
+                done = before[0][fits], before[1][fits]
+                last[at + 1, done[1]] = tokens[own[fits]]
+                count[at + 1, done[1]] = count[done] + 1
+                open_, own = open_[~fits], own[~fits] + 1
+            # The others begin like the last new one before them.
+            same = np.maximum.accumulate(np.where(new[at], np.arange(len(lengths)), 0))
+            last[at + 1], count[at + 1] = last[at + 1, same], count[at + 1, same]
+        after = np.vstack([letters[1:], np.zeros_like(letters[:1])])
+        whole = inside & (after & 0xC0 != 0x80)
+        counts = count[1:].T[whole.T]
+        steps = np.diff(counts, prepend=0)
+        chars = whole.sum(axis=0)
+        starts = np.cumsum(chars) - chars
+        steps[starts] = counts[starts]
+        return binary(steps.astype("<i2"), chars)
+
+    def of_pieces(self, pieces: pa.Array) -> pa.Array:
+        """``differences`` of what ``by_character`` gives, of distinct pieces."""
+        sizes = pc.binary_length(pieces).to_numpy()
+        apart = (sizes == 0) | (sizes > WIDTH)
+        short = pieces.filter(pa.array(~apart))
+        order = pc.sort_indices(short)
+        ordered = short.take(order)
+        found = [self.at_once(ordered[at : at + ROWS]) for at in range(0, len(ordered), ROWS)]
+        own = [differences(self.by_character(piece)) for piece in pieces.filter(pa.array(apart)).to_pylist()]
+        places = np.concatenate([np.flatnonzero(~apart)[order.to_numpy()], np.flatnonzero(apart)])
+        return pa.concat_arrays([*found, pa.array(own, pa.large_binary())]).take(pa.array(np.argsort(places)))
+
+    def of_words(self, words: pa.Array) -> pa.Array:
+        """What each character of distinct words adds to the number of tokens."""
+        found = pc.extract_regex(words, SIMPLE)
+        simple = pc.and_not(found.is_valid(), pc.starts_with(words, "\n "))
+        own = found.filter(simple).flatten()
+        parts = pa.concat_arrays(own).dictionary_encode()
+        steps = self.of_pieces(parts.dictionary).take(parts.indices)
+        many = len(own[0])
+        own = [steps[at : at + many] for at in range(0, len(steps), many)] if many else [steps]
+        steps = pc.binary_join_element_wise(*own, pa.scalar(b"", pa.large_binary()))
+        others = [self.remembered(word) for word in words.filter(pc.invert(simple)).to_pylist()]
+        simple = simple.to_numpy(zero_copy_only=False)
+        place = np.argsort(np.argsort(~simple, kind="stable"), kind="stable")
+        return pa.concat_arrays([steps, pa.array(others, pa.large_binary())]).take(pa.array(place))
+
+    def remembered(self, word: str) -> bytes:
+        """``differences`` of what ``of_word`` gives, kept by the word."""
+        steps = self.words.get(word)
+        if steps is None:
+            steps = differences(self.of_word(word))
+            if self.size + len(word) > CACHE:
+                self.words.clear()
+                self.size = 0
+            if len(word) <= CACHE:
+                self.words[word] = steps
+                self.size += len(word)
+        return steps
 
     def ordinary(self, texts: list[str]) -> list[bytes]:
         """What each character adds in texts without special tokens."""
-        found = [WORD.findall(text) for text in texts]
-        self.learn(set().union(*found))
-        return [b"".join(map(self.words.__getitem__, words)) for words in found]
+        words, numbers, at = word_table(pa.array(texts, pa.large_string()))
+        return joined(self.of_words(words), numbers, at)
 
     def blocks(self, text: str) -> Iterator[str]:
         """A text, cut before white space."""
@@ -244,7 +358,7 @@ def counting(path: str):
         count = counter(path)
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.large_binary()]
         names = ["doc_id", "n_bytes", "n_chars", "n_tokens", "prefix_steps"]
-        for batch in batches:
+        for batch in gathered(batches, STEP):
             for part, texts in slices(batch.column(1), STEP):
                 steps = count.steps_of(texts)
                 sizes = pc.binary_length(batch.column(1)[part].cast(pa.large_binary()))

@@ -54,6 +54,24 @@ def test_counts_do_not_depend_on_what_is_remembered(monkeypatch):
     assert [small.steps(t) for t in texts] == [whole.steps(t) for t in texts]
 
 
+def test_texts_with_nul_and_long_words_among_others():
+    counter = PrefixCounter(VOCABULARY)
+    texts = [*samples()[-60:], "a\0b \0 c", "\0", "letters" * 30 + ".", "é" * 40 + "!?", "(1) [x] it's 12,345.6%"]
+    texts += ["\n (a)\n(b) \"c'\" ('s) 's 'so #1's", "Привет, «мир»! Ὁ λόγος (日本語) 한국어. कखग שלום ϶a"]
+    for own in (texts, texts[::-1], ["", ""], []):
+        assert [prefixes(steps).tolist() for steps in counter.steps_of(own)] == [by_hand(text) for text in own]
+
+
+def test_pieces_of_words_are_counted_at_once(monkeypatch):
+    counter, calls = PrefixCounter(VOCABULARY), []
+    one = counter.by_byte
+    monkeypatch.setattr(counter, "by_byte", lambda piece: calls.append(piece) or one(piece))
+    texts = [f"letters{chr(97 + i % 26)}{'abc' * (i % 7)} Wörter*** word, 1{i}\n" * 3 + "end" for i in range(300)]
+    found = [int(prefixes(steps)[-1]) for steps in counter.steps_of(texts)]
+    assert found == numbers(texts)
+    assert len([piece for piece in calls if piece]) < 50
+
+
 def test_vocabularies_of_another_kind_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         PrefixCounter(public_tokenizers.path("word_bpe_49k.json"))
