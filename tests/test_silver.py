@@ -227,3 +227,11 @@ def test_builder_and_assessed_form_keep_the_same_rows(raw, samples, rows):
     assessed = silver.PRODUCTS.assess(cleaned)
     assert rows(plain) == rows(silver.PRODUCTS.accept(assessed, cleaned, RUN_TS))
     assert assessed.agg(F.sum("copies")).first()[0] == len(changes)
+
+
+def test_columns_that_follow_from_others_are_not_moved(raw, samples):
+    for build in (silver.cart_items, silver.cart_summary):
+        plan = build(raw("carts", [samples["carts"]]), RUN_TS)._jdf.queryExecution().executedPlan().toString()
+        first = plan.index("Window [")
+        for name in ("line_total_discrepancy", "discount_rate"):
+            assert name not in plan[first:]

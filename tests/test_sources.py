@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harness import queries as harness_queries
+from harness import views
 from shoplake.plans import dashboard, gold, reports
 from shoplake.sources import bronze
 from shoplake.sources.jdbc import jdbc_config, write_jdbc
@@ -190,6 +191,48 @@ def test_queries_write_their_lines_compressed(spark, tmp_path, query, monkeypatc
     assert lines and all(name.endswith(".gz") for name in lines)
 
 
+def test_documents_are_written_compressed_and_of_whole_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(harness_queries, "scratch_dir", lambda _: str(tmp_path / "out"))
+    found = harness_queries.queries()["silver_cart_items_from_documents"](spark, "/root/testdata/sf0.001")
+    files = [f for f in (tmp_path / "out" / "carts").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".gz") for f in files)
+    expected = harness_queries.queries()["silver_cart_items"](spark, "/root/testdata/sf0.001")
+    assert sorted(found.collect()) == sorted(expected.collect())
+
+
+def test_orders_and_lines_move_once_on_their_way_to_documents(spark, tmp_path):
+    """Also those without an id, in whatever partitions they come, and each range is one document."""
+    order = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double"
+    keys = [*range(70), None, None]
+    orders = [(k, i % 5, "O", 10.0 + i) for i, k in enumerate(keys)]
+    spark.createDataFrame(orders, order).write.parquet(str(tmp_path / "orders.parquet"))
+    names = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    names += "l_extendedprice double, l_discount double"
+    lines = [(k, i, 1, i % 7 + 1, 2.0, 8.0 + i, 0.1) for i in range(300) for k in [keys[i % 72]]]
+    spark.createDataFrame(lines, names).write.parquet(str(tmp_path / "lineitem.parquet"))
+    for session in (spark, harness_queries._building(spark)):
+        plain = views.bronze_carts(session, str(tmp_path))
+        parts = views.bronze_carts(session, str(tmp_path), 10)
+        assert sorted(map(str, parts.drop("part").collect())) == sorted(map(str, plain.collect()))
+        grouped = parts.groupBy("part").agg(F.collect_list("id").alias("ids"))
+        found = {r.part: r.ids for r in grouped.collect()}
+        assert grouped.count() == len(found) and {p for p in found if p >= 0} == set(range(7))
+        assert all(i // 10 == p for p, ids in found.items() if p >= 0 for i in ids)
+    text = grouped._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "ObjectHashAggregate" in text and "ENSURE_REQUIREMENTS" not in text
+
+
+def test_records_of_many_documents_stay_where_they_were_parsed(spark, tmp_path, samples):
+    for i in range(3 * spark.sparkContext.defaultParallelism):
+        put(tmp_path / "in", f"{i}.json", json.dumps({"products": [samples["products"] | {"id": i + 100}]}))
+    found = bronze.read_records(spark, str(tmp_path / "in"), "products")
+    assert "REBALANCE" not in found._jdf.queryExecution().toString()
+    assert found.count() == 3 * spark.sparkContext.defaultParallelism
+    put(tmp_path / "in", "large.json", json.dumps({"products": [samples["products"]] * 9}))
+    found = bronze.read_records(spark, str(tmp_path / "in"), "products")
+    assert "REBALANCE" in found._jdf.queryExecution().toString()
+
+
 def test_a_failed_landing_is_recorded_and_raised(spark, tmp_path, samples):
     put(tmp_path / "in", "a.json", json.dumps({"products": [samples["products"]]}))
     sources = {"products": str(tmp_path / "in"), "users": str(tmp_path / "missing")}
