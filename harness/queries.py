@@ -11,7 +11,7 @@ from shoplake.operators import quality
 from shoplake.operators.rules import rejects_by_rule
 from shoplake.plans import dashboard, gold, pipeline, reports, silver
 from shoplake.sources import bronze
-from shoplake.sources.session import scratch_dir
+from shoplake.sources.session import scratch_dir, shuffles_dropped
 from shoplake.sources.tables import (
     SILVER,
     read_layer,
@@ -226,7 +226,8 @@ def _document_files(s: Shop, entity: str, **options: str) -> str:
     record = F.struct(*fields.columns[1:])
     documents = fields.groupBy("part").agg(F.collect_list(record).alias(entity))
     text = documents.select(F.to_json(F.struct(entity)).alias("value"))
-    text.write.options(**options).option("maxRecordsPerFile", 1).text(f"{root}/{entity}")
+    with shuffles_dropped(text.sparkSession):
+        text.write.options(**options).option("maxRecordsPerFile", 1).text(f"{root}/{entity}")
     return f"{root}/{entity}"
 
 

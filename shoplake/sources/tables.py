@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplake.schemas import TABLES
+from shoplake.sources.session import shuffles_dropped
 from shoplake.sources.versions import commit, current, mark, next_version
 
 # Lines are spread over a fixed number of user buckets: a folder per user would mean as many
@@ -80,10 +81,11 @@ def save_table(
 def write_version(df: DataFrame, path: str, partition_by: Iterable[str] = (), gathered: bool = False):
     """Write the rows; the table changes when what is returned is called."""
     columns, target = list(partition_by), next_version(path)
-    writer = (df if gathered else gather(df, columns)).write
+    writer = (df if gathered else gather(df, columns)).write.option("compression", "zstd")
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.parquet(target)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(target)
     return lambda said=None: commit(df.sparkSession, path, target, said)
 
 

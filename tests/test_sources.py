@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import os
+import time
 from unittest import mock
 
 import pytest
@@ -8,13 +9,14 @@ from pyspark.sql import functions as F
 
 from harness import queries as harness_queries
 from harness import views
-from shoplake.plans import dashboard, gold, reports
+from shoplake.plans import dashboard, gold, pipeline, reports
 from shoplake.sources import bronze
 from shoplake.sources.jdbc import jdbc_config, write_jdbc
-from shoplake.sources.session import scratch_dir
+from shoplake.sources.session import CLEANUP, scratch_dir, shuffles_dropped
 from shoplake.sources import tables, versions
 from shoplake.sources.tables import (
     lines_by_user,
+    read_layer,
     read_table,
     register_views,
     save_lines_by_user,
@@ -191,6 +193,36 @@ def test_queries_write_their_lines_compressed(spark, tmp_path, query, monkeypatc
     assert lines and all(name.endswith(".gz") for name in lines)
 
 
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if "shuffle_" in found.apply(i).getName()}
+
+
+def test_written_tables_leave_no_files_of_their_shuffles(spark, tmp_path, samples, raw):
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP)
+    records = [samples["products"] | {"id": i % 50} for i in range(200)]
+    carts = [samples["carts"] | {"id": i} for i in range(90)]
+    found = {"products": records, "users": [samples["users"]], "carts": carts}
+    written = pipeline.write_silver({e: raw(e, r, "lines") for e, r in found.items()}, str(tmp_path), RUN_TS.date(), RUN_TS)
+    assert written["products"]["dropped/duplicates"] == 150 and written["cart_items"]["steps/05_written"] == 90
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(CLEANUP) == setting
+    assert read_layer(spark, str(tmp_path), ["products"])["products"].count() == 50
+
+
+def test_shuffles_are_dropped_only_while_something_is_written(spark):
+    session = spark.newSession()
+    session.conf.set(CLEANUP, "false")
+    with shuffles_dropped(session):
+        with pytest.raises(KeyError), shuffles_dropped(session):
+            raise KeyError
+        assert session.conf.get(CLEANUP) == "true" and spark.conf.get(CLEANUP) == "false"
+    assert session.conf.get(CLEANUP) == "false"
+
+
 def test_documents_are_written_compressed_and_of_whole_parts(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(harness_queries, "scratch_dir", lambda _: str(tmp_path / "out"))
     found = harness_queries.queries()["silver_cart_items_from_documents"](spark, "/root/testdata/sf0.001")
